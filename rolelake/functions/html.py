@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F
 from rolelake.functions.text import _col, strip_ws
 
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Tried before the whole table is searched.
+_COMMON_REFERENCES = ("amp", "nbsp", "quot", "lt", "gt", "apos")
 _LARGEST_CODE_POINT = 0x10FFFF
 
 
@@ -27,8 +29,11 @@ def _code_point(n: Column) -> Column:
 def _decode_reference(ref: Column) -> Column:
     digits = F.regexp_extract(ref, r"^&#([0-9]+);$", 1)
     hex_digits = F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);$", 1)
+    common = F
+    for name in _COMMON_REFERENCES:
+        common = common.when(ref == f"&{name};", F.lit(html5[f"{name};"]))
     return (
-        F.when(digits != "", _code_point(digits.try_cast("bigint")))
+        common.when(digits != "", _code_point(digits.try_cast("bigint")))
         .when(hex_digits != "", _code_point(F.conv(hex_digits, 16, 10).try_cast("bigint")))
         .otherwise(F.coalesce(F.try_element_at(_named_references(), F.substring(ref, 2, 40)), ref))
     )

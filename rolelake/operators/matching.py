@@ -228,14 +228,13 @@ def keyword_frequency(
     return df.select(*kept, F.inline(F.array_compact(F.array(*counts))))
 
 
-def _contexts(text: Column, regex: str, width: int) -> Column:
-    """Each occurrence with ``width`` characters on both sides, stripped.
+def _around(between: str, hits: str, width: int) -> Column:
+    """Contexts of all occurrences, from the texts between them and the occurrences.
 
     Segment j is the text since the previous occurrence plus occurrence j, at least one
-    character long, so the ``width`` nearest segments always reach far enough.
+    character long, so the ``width`` nearest segments always reach far enough and the work
+    per occurrence does not grow with the text.
     """
-    between = F.split(text, regex, -1)
-    hits = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
 
     def around(hit: Column, i: Column) -> Column:
         first = F.greatest(i - width, F.lit(0))
@@ -250,12 +249,12 @@ def _contexts(text: Column, regex: str, width: int) -> Column:
             ),
             F.get(between, i),
         )
-        # The occurrence after the last is '', which the last piece of text needs as partner.
+        # The last piece of text has no occurrence after it.
         right = F.array_join(
             F.zip_with(
                 F.slice(between, i + 2, F.lit(width + 1)),
                 F.slice(hits, i + 2, F.lit(width + 1)),
-                lambda piece, nxt: F.concat(piece, F.coalesce(nxt, F.lit(""))),
+                lambda piece, hit_after: F.concat(piece, F.coalesce(hit_after, F.lit(""))),
             ),
             "",
         )
@@ -272,20 +271,22 @@ def keyword_context(
     context_chars: int = 50,
 ) -> DataFrame:
     """One row per (row, matched keyword, occurrence) with the text around it."""
-    contexts = [
-        F.when(
-            F.array_contains(matched, k),
-            F.struct(
-                F.lit(k).alias("keyword"),
-                _contexts(_col(text), keyword_regex(dictionary, k), context_chars).alias("contexts"),
-            ),
+
+    def cut(keyword: str) -> Column:
+        regex = keyword_regex(dictionary, keyword)
+        return F.struct(
+            F.lit(keyword).alias("keyword"),
+            F.split(text, regex, -1).alias("_between"),
+            F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("_hits"),
         )
-        for k in dictionary.variants
-    ]
+
+    cuts = [F.when(F.array_contains(matched, k), cut(k)) for k in dictionary.variants]
     kept = [c for c in df.columns if c not in (text, matched)]
-    per_keyword = df.select(*kept, F.inline(F.array_compact(F.array(*contexts))))
+    per_keyword = df.select(*kept, F.inline(F.array_compact(F.array(*cuts))))
     return per_keyword.select(
-        *kept, "keyword", F.posexplode("contexts").alias("occurrence", "context")
+        *kept,
+        "keyword",
+        F.posexplode(_around("_between", "_hits", context_chars)).alias("occurrence", "context"),
     )
 
 
