@@ -22,25 +22,43 @@ def _runs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
 
 
-def _run_lengths(variants: DataFrame) -> list[int]:
-    # A handful of small numbers: how many runs the variants consist of.
-    rows = variants.select(F.size(_runs(F.col("variant"))).alias("n")).distinct()
-    return sorted(r["n"] for r in rows.collect() if r["n"] > 0)
-
-
-def _sequences(runs: Column, lengths: list[int]) -> Column:
-    def starting_at(i: Column, length: int) -> Column:
-        first, last = F.get(runs, i), F.get(runs, i + (length - 1))
-        opens = first.rlike(f"^{WORD}") | (i > 0)
-        closes = last.rlike(f"^{WORD}") | (i + length < F.size(runs))
-        fits = last.isNotNull() & opens & closes
-        return F.when(fits, F.array_join(F.slice(runs, i + 1, F.lit(length)), ""))
-
-    starts = F.sequence(F.lit(0), F.greatest(F.size(runs) - 1, F.lit(0)))
-    grams = F.flatten(
-        F.transform(starts, lambda i: F.array(*[starting_at(i, n) for n in lengths]))
-    )
-    return F.array_distinct(F.array_compact(grams))
+def _starts_with_word(runs: Column) -> Column:
+    return F.coalesce(F.get(runs, F.lit(0)).rlike(f"^{WORD}"), F.lit(False))
+
+
+def _shapes(variants: DataFrame) -> list[tuple[bool, int]]:
+    """(starts with a word run, number of runs) of the variants: a handful of pairs."""
+    runs = _runs(F.col("variant"))
+    shapes = variants.select(_starts_with_word(runs).alias("word"), F.size(runs).alias("n"))
+    return sorted((r["word"], r["n"]) for r in shapes.where("n > 0").distinct().collect())
+
+
+def _sequences(runs: str, first_is_word: str, shapes: list[tuple[bool, int]]) -> Column:
+    """Distinct run sequences of the given shapes.
+
+    Word and separator runs alternate, so the starts of one kind are every second run.  A
+    separator run needs a word run beyond it, which moves the first or last start by one.
+    """
+    size = F.size(runs)
+    per_shape = []
+    for word, n in shapes:
+        first = (
+            F.when(F.col(first_is_word), 0).otherwise(1)
+            if word
+            else F.when(F.col(first_is_word), 1).otherwise(2)
+        )
+        ends_with_word = word == (n % 2 == 1)
+        last = size - n if ends_with_word else size - n - 1
+        starts = F.when(last >= first, F.sequence(first, last, F.lit(2)))
+        cut = F.transform(starts, _slice_at(runs, n))
+        per_shape.append(F.coalesce(cut, F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*per_shape))
+
+
+def _slice_at(runs: str, n: int):
+    if n == 1:
+        return lambda i: F.get(runs, i)
+    return lambda i: F.array_join(F.slice(runs, i + 1, F.lit(n)), "")
 
 
 def keyword_pairs(
@@ -57,26 +75,19 @@ def keyword_pairs(
     """
     fold = (lambda c: c) if case_sensitive else fold_case_column
     lookup = variants.select("keyword", fold(F.col("variant")).alias("_gram")).distinct()
-    lengths = _run_lengths(variants)
-    if not lengths:
+    shapes = _shapes(variants)
+    if not shapes:
         return docs.select(key, F.lit(None).cast("string").alias("keyword"))
-    grams = docs.select(key, _runs(fold(F.col(text))).alias("_runs")).select(
-        key,
-        # The null sequence keeps texts without a match.
-        F.explode(
-            F.array_append(
-                F.coalesce(
-                    F.when(F.size("_runs") > 0, _sequences(F.col("_runs"), lengths)),
-                    F.array().cast("array<string>"),
-                ),
-                F.lit(None).cast("string"),
-            )
-        ).alias("_gram"),
-    )
+    runs = docs.select(
+        key, F.coalesce(_runs(fold(F.col(text))), F.array().cast("array<string>")).alias("_runs")
+    ).select(key, "_runs", _starts_with_word(F.col("_runs")).alias("_word_first"))
+    # The null sequence keeps texts without a match.
+    sequences = F.array_append(_sequences("_runs", "_word_first", shapes), F.lit(None).cast("string"))
+    grams = runs.select(key, F.explode(sequences).alias("_gram"))
     joined = lookup_join(
         grams, lookup, "_gram", spread_by=key, how="left", broadcast_rows=broadcast_rows
     )
-    return joined.select(key, "keyword")
+    return joined.where("keyword is not null or _gram is null").select(key, "keyword")
 
 
 def keywords_by_join(

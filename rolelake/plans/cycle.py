@@ -10,16 +10,21 @@ from pyspark.sql import DataFrame, functions as F
 from rolelake.dictionaries import KeywordDictionary
 from rolelake.operators.dedup import last_wins, union_sources
 from rolelake.operators.durable import cut_lineage
-from rolelake.operators.matching import with_keywords
+from rolelake.operators.matching import DEFAULT_TEXT_COLUMNS, with_keywords
 from rolelake.operators.quality import valid_rows
 from rolelake.operators.ranking import top_matches
 from rolelake.plans.logs import notification_log_rows, run_log_rows
 from rolelake.plans.records import stored_record
 from rolelake.plans.store import NOTIFICATIONS, POSTINGS, REPORTED, RUNS, PostingStore
 from rolelake.plans.views import global_stats, unnotified
+from rolelake.schema import ALLOWED_SOURCES
 
 
-def collect_batch(sources: Sequence[DataFrame], only_source: str | None = None) -> DataFrame:
+def collect_batch(
+    sources: Sequence[DataFrame],
+    only_source: str | None = None,
+    allowed_sources: Sequence[str] = ALLOWED_SOURCES,
+) -> DataFrame:
     """Valid rows of all sources, one per source and URL: the last, at the first's position.
 
     Every source has the posting columns and ``seq``, which orders the rows of all sources.
@@ -27,14 +32,20 @@ def collect_batch(sources: Sequence[DataFrame], only_source: str | None = None)
     rows = union_sources(sources)
     if only_source is not None:
         rows = rows.where(F.lower("source") == only_source.lower())
-    unique = last_wins(valid_rows(rows), ["source", "posting_url"], "seq")
+    unique = last_wins(valid_rows(rows, allowed_sources), ["source", "posting_url"], "seq")
     return unique.drop("seq").withColumnRenamed("position", "seq")
 
 
 def labelled_batch(
-    sources: Sequence[DataFrame], dictionary: KeywordDictionary, only_source: str | None = None
+    sources: Sequence[DataFrame],
+    dictionary: KeywordDictionary,
+    only_source: str | None = None,
+    allowed_sources: Sequence[str] = ALLOWED_SOURCES,
+    text_columns: Sequence[str] = DEFAULT_TEXT_COLUMNS,
 ) -> DataFrame:
-    return with_keywords(collect_batch(sources, only_source), dictionary)
+    """The collected batch with its keywords."""
+    batch = collect_batch(sources, only_source, allowed_sources)
+    return with_keywords(batch, dictionary, text_columns)
 
 
 def notify_once(

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolelake.functions.dates import parse_date, timestamp_lit
 from rolelake.functions.text import (
     DEFAULT_CITY,
+    KNOWN_CITIES,
     NO_LOCATION,
     _KEPT_PUNCTUATION,
     clean_text,
@@ -67,6 +68,7 @@ class LinkRules:
     skip_own_url: bool
     company_href: str | None = None
     find_city: bool = False
+    cities: Sequence[str] = KNOWN_CITIES
     default_place: str = NO_LOCATION
     block_tags: Sequence[str] = ("article", "div", "li", "section")
     margin: int = 10
@@ -345,7 +347,11 @@ def page_cards(
             "blocks",
             lambda b: F.struct(
                 extract_salary(b["text"]).alias("salary"),
-                first_city(b["text"], default=rules.default_place).alias("city"),
+                first_city(
+                    b["text"],
+                    getattr(rules, "cities", KNOWN_CITIES),
+                    rules.default_place,
+                ).alias("city"),
                 b["company"].alias("company"),
             ),
         ).alias("_blocks"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,6 +38,10 @@ def anchors(html: Column | str) -> Column:
     )
 
 
+def _href_contains(pattern: str) -> Callable[[Column], Column]:
+    return lambda anchor: F.contains(anchor["href"], F.lit(pattern))
+
+
 def page_links(
     pages: DataFrame,
     patterns: Sequence[str],
@@ -57,10 +61,8 @@ def page_links(
     parsed = pages.select(key, url, anchors(F.col(html)).alias("_anchors"))
     chosen = F
     for pattern in patterns:
-        hits = F.filter("_anchors", lambda a, p=pattern: F.contains(a["href"], F.lit(p)))
-        chosen = chosen.when(
-            F.exists("_anchors", lambda a, p=pattern: F.contains(a["href"], F.lit(p))), hits
-        )
+        hit = _href_contains(pattern)
+        chosen = chosen.when(F.exists("_anchors", hit), F.filter("_anchors", hit))
     usable = parsed.select(key, url, chosen.alias("_hits")).select(
         key,
         url,
