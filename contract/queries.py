@@ -41,7 +41,7 @@ def register(build):
 
 @register
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", spread=True)
     found = links.page_links(pages, ["/th", "/d", "/"], min_title_length=4)
     return found.select("page_id", "pos", "href", "job_title", "posting_url")
 
@@ -61,7 +61,7 @@ def page_cards(spark, sf_dir):
         default_place="nowhere",
         block_tags=("nav", "article"),
     )
-    found = cards.page_cards(table(spark, sf_dir, "pages"), rules, AS_OF)
+    found = cards.page_cards(table(spark, sf_dir, "pages", spread=True), rules, AS_OF)
     return found.select("page_id", "pos", "job_title", "company", "location", "posting_url", "salary_text")
 
 
@@ -152,7 +152,7 @@ def run_log_events(spark, sf_dir):
 
 @register
 def notification_log(spark, sf_dir):
-    batch = views.unnotified(postings(spark, sf_dir), 2)
+    batch = views.unnotified(postings(spark, sf_dir, exchanged=True), 2)
     rows = logs.notification_log_rows(batch, "team@example.com", AS_OF)
     ids = F.array_join(F.transform("job_ids", lambda i: i.cast("string")), ",")
     return rows.select(
@@ -171,7 +171,7 @@ def job_alerts(spark, sf_dir):
 @register
 def notify_once(spark, sf_dir):
     """First cycle reports the older postings, the second finds only the rest."""
-    jobs = postings(spark, sf_dir)
+    jobs = postings(spark, sf_dir, exchanged=True)
     first = views.unnotified(jobs.where(F.col("scrape_timestamp") < AS_OF - timedelta(days=100)), 2)
     sent = first.select("id", F.lit(str(AS_OF)).cast("timestamp_ntz").alias("sent_at"))
     return views.unnotified(jobs, 2, notified=sent).select("id", "keyword_match_count", "posting_url")
@@ -246,7 +246,7 @@ def derived_columns(spark, sf_dir):
 
 @register
 def recent_matched(spark, sf_dir):
-    return views.recent_matched(postings(spark, sf_dir), AS_OF).select(
+    return views.recent_matched(postings(spark, sf_dir, exchanged=True), AS_OF).select(
         "id", "company", "posting_url", joined("keywords_matched").alias("keywords_matched"),
         F.col("keyword_match_count").cast("bigint").alias("keyword_match_count"),
         stamp("scrape_timestamp").alias("scrape_timestamp"), "is_notified",
@@ -270,14 +270,14 @@ def by_source(spark, sf_dir):
 
 @register
 def unnotified(spark, sf_dir):
-    return views.unnotified(postings(spark, sf_dir), 3).select(
+    return views.unnotified(postings(spark, sf_dir, exchanged=True), 3).select(
         "id", "company", joined("keywords_matched").alias("keywords_matched"), "posting_url"
     )
 
 
 @register
 def unnotified_brief(spark, sf_dir):
-    return views.unnotified_brief(postings(spark, sf_dir)).select(
+    return views.unnotified_brief(postings(spark, sf_dir, exchanged=True)).select(
         "job_id", "company", "location",
         F.col("keyword_match_count").cast("bigint").alias("keyword_match_count"), "posting_url",
     )
@@ -285,7 +285,7 @@ def unnotified_brief(spark, sf_dir):
 
 @register
 def keyword_search(spark, sf_dir):
-    return views.keyword_search(postings(spark, sf_dir), ["Rewh", "License", "Absent"]).select(
+    return views.keyword_search(postings(spark, sf_dir, exchanged=True), ["Rewh", "License", "Absent"]).select(
         "job_id", "company", joined("keywords_matched").alias("keywords_matched"), "posting_url"
     )
 
@@ -293,24 +293,18 @@ def keyword_search(spark, sf_dir):
 # -- keyword matching -----------------------------------------------------------------------
 
 
-def _exploded(df: DataFrame, *kept: str) -> DataFrame:
-    return df.select(*kept, F.explode("keywords_matched").alias("keyword"))
-
-
 @register
 def keyword_match(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return _exploded(
-        docs.select("doc_id", matching.match_keywords("text", SAMPLE).alias("keywords_matched")), "doc_id"
-    )
+    docs = table(spark, sf_dir, "documents", spread=True)
+    labelled = docs.select("doc_id", matching.match_keywords("text", SAMPLE).alias("keywords_matched"))
+    return matching.each_keyword(labelled, "doc_id")
 
 
 @register
 def keyword_match_join(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return _exploded(
-        matching_join.keywords_by_join(docs, "doc_id", "text", SAMPLE.variant_table(spark)), "doc_id"
-    )
+    docs = table(spark, sf_dir, "documents", spread=True)
+    labelled = matching_join.keywords_by_join(docs, "doc_id", "text", SAMPLE.variant_table(spark))
+    return matching.each_keyword(labelled, "doc_id")
 
 
 @register
@@ -320,7 +314,7 @@ def keyword_score(spark, sf_dir):
 
 @register
 def keyword_score_join(spark, sf_dir):
-    rows = raw_postings(spark, sf_dir).select(
+    rows = raw_postings(spark, sf_dir, spread=True).select(
         "id", "job_title", matching.combined_text("job_title", "full_description").alias("t")
     )
     variants = SAMPLE.variant_table(spark)
@@ -357,7 +351,7 @@ def relabel(spark, sf_dir):
 
 @register
 def keyword_frequency(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents", spread=True).select(
         "doc_id", "text", matching.match_keywords("text", SAMPLE).alias("keywords_matched")
     )
     return matching.keyword_frequency(docs, SAMPLE, "text").select(
@@ -367,7 +361,7 @@ def keyword_frequency(spark, sf_dir):
 
 @register
 def keyword_context(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents", spread=True).select(
         "doc_id", "text", matching.match_keywords("text", SINGLE_WORDS).alias("keywords_matched")
     )
     return matching.keyword_context(docs, SINGLE_WORDS, "text").select(
@@ -386,7 +380,7 @@ def skill_categories(spark, sf_dir):
 
 @register
 def skill_categories_join(spark, sf_dir):
-    pairs = _exploded(postings(spark, sf_dir), "id")
+    pairs = matching.each_keyword(postings(spark, sf_dir), "id")
     found = matching_join.categorize_pairs(pairs, SAMPLE.category_table(spark), "id")
     return found.select("id", "category", joined("keywords").alias("keywords"))
 
@@ -399,7 +393,7 @@ def skill_suggestions(spark, sf_dir):
 
 @register
 def skill_suggestions_join(spark, sf_dir):
-    pairs = _exploded(postings(spark, sf_dir), "id")
+    pairs = matching.each_keyword(postings(spark, sf_dir, exchanged=True), "id")
     return matching_join.suggest_for_pairs(pairs, SAMPLE.pairing_table(spark), "id")
 
 
@@ -437,12 +431,12 @@ def global_stats(spark, sf_dir):
 @register
 def batch_analysis(spark, sf_dir):
     listed = F.transform("top_keywords", lambda e: F.concat(e["keyword"], F.lit(":"), e["n"].cast("string")))
-    return views.batch_analysis(postings(spark, sf_dir)).withColumn("top_keywords", joined(listed))
+    return views.batch_analysis(postings(spark, sf_dir, exchanged=True)).withColumn("top_keywords", joined(listed))
 
 
 @register
 def digest_summary(spark, sf_dir):
-    return views.digest_summary(views.unnotified(postings(spark, sf_dir)))
+    return views.digest_summary(views.unnotified(postings(spark, sf_dir, exchanged=True)))
 
 
 @register
@@ -476,7 +470,7 @@ def digest_rank(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+    return table(spark, sf_dir, "documents", spread=True)
 
 
 @register
@@ -533,7 +527,7 @@ def _date_texts(spark, sf_dir):
         F.upper(F.date_format(ts, "MMM d, yyyy")), F.date_format(ts, "dd  MMM yyyy"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"), "31/02/2024",
     ]
-    return table(spark, sf_dir, "events").select("event_id", pick("event_id", words).alias("t"))
+    return table(spark, sf_dir, "events", spread=True).select("event_id", pick("event_id", words).alias("t"))
 
 
 @register
@@ -564,7 +558,7 @@ def _links(spark, sf_dir):
         F.col("url"), F.concat(F.lit("  "), "url"), F.substring_index("url", "://", -1),
         F.concat(F.lit("1"), "url"), F.concat("url", F.lit("/a b")), None,
     ]
-    return table(spark, sf_dir, "pages").select("page_id", "url", pick("page_id", broken).alias("link"))
+    return table(spark, sf_dir, "pages", spread=True).select("page_id", "url", pick("page_id", broken).alias("link"))
 
 
 @register
@@ -585,7 +579,7 @@ def absolute_url(spark, sf_dir):
         F.concat(F.lit("../../up/./"), n), F.concat(F.lit("//other.org/"), n),
         F.concat(F.lit("?q="), n), F.concat(F.lit("#f"), n), "", F.concat(F.lit("https://x.org/"), n),
     ]
-    rows = table(spark, sf_dir, "pages").select("page_id", "url", pick("page_id", relatives).alias("r"))
+    rows = table(spark, sf_dir, "pages", spread=True).select("page_id", "url", pick("page_id", relatives).alias("r"))
     return rows.select("page_id", urls.make_absolute_url("url", "r").alias("absolute"))
 
 

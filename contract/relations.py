@@ -13,6 +13,7 @@ from rolelake.dictionaries import KeywordDictionary
 from rolelake.functions.dates import timestamp_lit
 from rolelake.operators.matching import with_keywords
 from rolelake.plans.records import keyword_count
+from rolelake.sources.tables import read_table
 
 AS_OF = datetime(2024, 2, 1)
 EVENTS_AS_OF = datetime(2024, 1, 30, 12)
@@ -50,8 +51,8 @@ SINGLE_WORDS = KeywordDictionary.of(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet", spread)
 
 
 def stamp(c: Column | str) -> Column:
@@ -62,10 +63,10 @@ def joined(c: Column | str) -> Column:
     return F.array_join(c, "|")
 
 
-def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_postings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Postings from documents: the first line is the title, the whole text the description."""
     doc = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread).select(
         doc.alias("id"),
         doc.alias("seq"),
         F.substring_index("text", "\n", 1).alias("job_title"),
@@ -90,11 +91,17 @@ def days_before(moment: datetime, days: Column) -> Column:
     return timestamp_lit(moment) - F.make_dt_interval(days.cast("int"))
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled postings, shaped like the stored table."""
-    return with_keywords(
-        raw_postings(spark, sf_dir), SAMPLE, ["job_title", "full_description"]
+def postings(spark: SparkSession, sf_dir: str, exchanged: bool = False) -> DataFrame:
+    """Labelled postings, shaped like the stored table.
+
+    A sort samples its input before it runs, and some queries use their input twice.  For
+    those the labelled rows, without the columns nobody reads, are exchanged once, so that
+    texts are matched once; the stored table needs no such step.
+    """
+    labelled = with_keywords(
+        raw_postings(spark, sf_dir, spread=True), SAMPLE, ["job_title", "full_description"]
     ).withColumn("keyword_match_count", keyword_count())
+    return labelled.repartition("id") if exchanged else labelled
 
 
 def event_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +146,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = F
     for i, shape in enumerate(shapes):
         chosen = chosen.when(F.col("event_id") % 6 == i, shape)
-    return table(spark, sf_dir, "events").select("event_id", chosen.alias("body"))
+    return table(spark, sf_dir, "events", spread=True).select("event_id", chosen.alias("body"))
 
 
 def pick(key: Column | str, values: list[Column | str | None]) -> Column:

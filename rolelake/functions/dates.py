@@ -9,20 +9,21 @@ from datetime import datetime
 
 from pyspark.sql import Column, functions as F
 
-from rolelake.functions.text import WS, _col, clean_text, strip_ws
+from rolelake.functions.text import WS, _col, clean_text, let, strip_ws
 
 # Relative units in the order in which they are tried, in hours.
 _RELATIVE_UNITS = (("day", 24), ("week", 7 * 24), ("month", 30 * 24), ("hour", 1))
 
-# Absolute date forms in the order in which they are tried.
+# Absolute date forms in the order in which they are tried, each with the
+# shape of its texts.  No text has two of the shapes, so each is parsed at most once.
 _ABSOLUTE_FORMS = (
-    "yyyy-M-d",
-    "d/M/yyyy",
-    "d-M-yyyy",
-    "MMMM d, yyyy",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "d MMM yyyy",
+    ("yyyy-M-d", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+    ("d/M/yyyy", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
+    ("d-M-yyyy", r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"),
+    ("MMMM d, yyyy", r"^([A-Za-z]{4,}|[Mm][Aa][Yy]) [0-9]{1,2}, [0-9]{4}$"),
+    ("d MMMM yyyy", r"^[0-9]{1,2} ([A-Za-z]{4,}|[Mm][Aa][Yy]) [0-9]{4}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$"),
+    ("d MMM yyyy", r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$"),
 )
 
 # Longest span that still lands after year 1, in hours.
@@ -46,24 +47,40 @@ def ago(as_of: datetime | str | Column, days: int | Column = 0, hours: int | Col
 
 def parse_relative_date(c: Column | str, as_of: datetime | str | Column) -> Column:
     """'today', 'yesterday', '3 days ago' and the like; null when nothing fits."""
-    text = strip_ws(F.lower(_col(c)))
-    rule = F.when(
-        F.contains(text, F.lit("today")) | F.contains(text, F.lit("just now")),
-        timestamp_lit(as_of),
-    ).when(F.contains(text, F.lit("yesterday")), ago(as_of, days=1))
-    for unit, unit_hours in _RELATIVE_UNITS:
-        digits = F.regexp_extract(text, rf"([0-9]+){WS}*{unit}", 1)
-        span = digits.try_cast("int").cast("bigint") * unit_hours
-        in_range = F.when(span <= _MAX_HOURS, span.cast("int"))
-        rule = rule.when(digits != "", ago(as_of, hours=in_range))
-    return rule
+    units = "|".join(unit for unit, _ in _RELATIVE_UNITS)
+
+    def counted(text: Column) -> Column:
+        rule = F
+        for unit, unit_hours in _RELATIVE_UNITS:
+            digits = F.regexp_extract(text, rf"([0-9]+){WS}*{unit}", 1)
+            span = digits.try_cast("int").cast("bigint") * unit_hours
+            rule = rule.when(digits != "", F.when(span <= _MAX_HOURS, span.cast("int")))
+        return ago(as_of, hours=rule)
+
+    def relative(text: Column) -> Column:
+        return (
+            F.when(
+                F.contains(text, F.lit("today")) | F.contains(text, F.lit("just now")),
+                timestamp_lit(as_of),
+            )
+            .when(F.contains(text, F.lit("yesterday")), ago(as_of, days=1))
+            .when(text.rlike(f"[0-9]{WS}*({units})"), counted(text))
+        )
+
+    return let(strip_ws(F.lower(_col(c))), relative)
 
 
 def parse_absolute_date(c: Column | str) -> Column:
     """A calendar date in one of seven forms, at midnight; null when none fits."""
-    text = F.regexp_replace(clean_text(c), " {2,}", " ")
-    tries = [F.try_to_date(text, form) for form in _ABSOLUTE_FORMS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+
+    def absolute(text: Column) -> Column:
+        rule = F
+        for form, shape in _ABSOLUTE_FORMS:
+            rule = rule.when(text.rlike(shape), F.try_to_date(text, form))
+        return rule
+
+    tidy = F.regexp_replace(clean_text(c), " {2,}", " ")
+    return let(tidy, absolute).cast("timestamp_ntz")
 
 
 def parse_date(

@@ -6,6 +6,7 @@ from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
+from rolelake.functions.constants import constant_map
 from rolelake.functions.text import _col, strip_ws
 
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
@@ -15,9 +16,9 @@ _LARGEST_CODE_POINT = 0x10FFFF
 
 
 def _named_references() -> Column:
-    # The standard library's table of named references, as one constant map.
-    pairs = [F.lit(x) for name, text in sorted(html5.items()) if name.endswith(";") for x in (name, text)]
-    return F.create_map(*pairs)
+    # The standard library's table of named references.
+    named = {name: text for name, text in html5.items() if name.endswith(";")}
+    return constant_map(named, "string")
 
 
 def _code_point(n: Column) -> Column:

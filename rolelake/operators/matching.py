@@ -20,6 +20,7 @@ from rolelake.dictionaries import (
     TITLE_BOOST,
     KeywordDictionary,
 )
+from rolelake.functions.constants import constant_map
 from rolelake.functions.text import WORD, _col, strip_ws
 
 # Above this many variants the regular expression would get unwieldy.
@@ -124,20 +125,20 @@ def _implied_keywords(dictionary: KeywordDictionary) -> dict[str, list[str]]:
     return implied
 
 
-def _constant_map(entries: dict, value_type: str) -> Column:
-    if not entries:
-        return F.create_map().cast(f"map<string,{value_type}>")
-    cells = []
-    for key, value in entries.items():
-        items = F.array(*map(F.lit, value)) if isinstance(value, (list, tuple)) else F.lit(value)
-        cells += [F.lit(key), items.cast(value_type)]
-    return F.create_map(*cells)
-
-
 def _no_keywords() -> Column:
     return F.array().cast("array<string>")
 
 
+def each_keyword(df: DataFrame, *kept: str, keywords: str = "keywords_matched") -> DataFrame:
+    """One row per keyword with the kept columns; null and empty arrays give none.
+
+    An outer explode on purpose: for an inner one Spark infers a filter on the array's size
+    and pushes it down, so that matching computed below would run twice.
+    """
+    rows = df.select(*kept, F.explode_outer(keywords).alias("keyword"))
+    return rows.where("keyword is not null")
+
+
 def combined_text(*columns: Column | str) -> Column:
     """The text that is matched: all columns joined by one blank, null as ''."""
     return F.concat_ws(" ", *[F.coalesce(_col(c), F.lit("")) for c in columns])
@@ -157,7 +158,7 @@ def match_keywords(text: Column | str, dictionary: KeywordDictionary) -> Column:
     )
     if not dictionary.case_sensitive:
         hits = F.array_distinct(F.transform(hits, fold_case_column))
-    implied = _constant_map(_implied_keywords(dictionary), "array<string>")
+    implied = constant_map(_implied_keywords(dictionary), "array<string>")
     found = F.flatten(
         F.transform(hits, lambda h: F.coalesce(F.try_element_at(implied, h), _no_keywords()))
     )
@@ -172,7 +173,7 @@ def keyword_score(
     default_weight: float = DEFAULT_WEIGHT,
 ) -> Column:
     """Sum of the keywords' weights, boosted where a keyword also stands in the title."""
-    weights = _constant_map(dict(dictionary.weights), "double")
+    weights = constant_map(dict(dictionary.weights), "double")
     in_title = _col(matched_in_title)
     return F.aggregate(
         _col(matched),
@@ -296,7 +297,7 @@ def skill_categories(matched: Column | str, dictionary: KeywordDictionary) -> Co
     names = list(dict.fromkeys(dictionary.categories.values()))
     if DEFAULT_CATEGORY not in names:
         names.append(DEFAULT_CATEGORY)
-    category_of = _constant_map(dict(dictionary.categories), "string")
+    category_of = constant_map(dict(dictionary.categories), "string")
 
     def members(name: str) -> Column:
         return F.filter(
@@ -311,7 +312,7 @@ def skill_categories(matched: Column | str, dictionary: KeywordDictionary) -> Co
 def suggest_missing_skills(matched: Column | str, dictionary: KeywordDictionary) -> Column:
     """Skills paired with the matched keywords and not among them, sorted and distinct."""
     keywords = _col(matched)
-    paired = _constant_map(dict(dictionary.pairings), "array<string>")
+    paired = constant_map(dict(dictionary.pairings), "array<string>")
     candidates = F.flatten(
         F.transform(keywords, lambda k: F.coalesce(F.try_element_at(paired, k), _no_keywords()))
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rolelake.operators.durable import cut_lineage
+from rolelake.operators.matching import each_keyword
 
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the row's number in the lower bits
 
@@ -35,9 +36,7 @@ def top_matches(
 
 def top_keywords(df: DataFrame, k: int = 10, keywords: str = "keywords_matched") -> DataFrame:
     """The k most frequent keywords; equal counts are ordered by keyword."""
-    counts = (
-        df.select(F.explode(keywords).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
-    )
+    counts = each_keyword(df, keywords=keywords).groupBy("keyword").agg(F.count("*").alias("n"))
     return top_k(counts, [F.desc("n"), F.asc("keyword")], k)
 
 

@@ -13,6 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rolelake.functions.dates import timestamp_lit
+from rolelake.operators.matching import each_keyword
 from rolelake.operators.ranking import best_first, global_rank
 
 _DETAIL_COLUMNS = (
@@ -138,8 +139,7 @@ def trending_keywords(jobs: DataFrame, as_of: datetime, days: int = 30) -> DataF
     source and task before it is brought together.
     """
     return (
-        _since(jobs, as_of, timedelta(days=days))
-        .select(F.explode("keywords_matched").alias("keyword"), "source", "scrape_timestamp")
+        each_keyword(_since(jobs, as_of, timedelta(days=days)), "source", "scrape_timestamp")
         .groupBy("keyword", "source")
         .agg(F.count("*").alias("n"), F.max("scrape_timestamp").alias("latest"))
         .groupBy("keyword")

@@ -13,6 +13,7 @@ from rolelake.functions.text import (
     blank_to_null,
     clean_text,
     extract_salary,
+    let,
     normalize_location,
     truncate_text,
 )
@@ -71,10 +72,21 @@ def _path(name: str) -> str:
 
 def _filled_text(item: Column, name: str) -> Column:
     """Text of one field, null where the value is empty ('' , 0, false, [], {}, null)."""
-    text = F.try_variant_get(item, _path(name), "string")
-    looks_empty = text.rlike(_EMPTY_JSON)
-    kind = F.schema_of_variant(F.try_variant_get(item, _path(name), "variant"))
-    return F.when(~looks_empty | (kind == "STRING"), blank_to_null(text))
+    value = F.try_variant_get(item, _path(name), "variant")
+
+    def unless_empty(text: Column) -> Column:
+        # Only a text that looks empty needs a look at its kind.
+        return F.when(text == "", None).when(
+            text.rlike(_EMPTY_JSON), F.when(F.schema_of_variant(value) == "STRING", text)
+        ).otherwise(text)
+
+    return let(F.try_variant_get(item, _path(name), "string"), unless_empty)
+
+
+def _is_filled(item: Column, name: str) -> Column:
+    """True where a field holds a value that is not empty."""
+    n_items = F.size(F.try_variant_get(item, _path(name), "array<variant>"))
+    return F.coalesce(n_items > 0, _filled_text(item, name).isNotNull())
 
 
 def alias_chain(item: Column, names: Sequence[str], default: str | None = None) -> Column:
@@ -98,7 +110,7 @@ def payload_items(
     wrapped = F
     for name in wrappers:
         wrapped = wrapped.when(
-            _filled_text(F.col("_payload"), name).isNotNull(),
+            _is_filled(F.col("_payload"), name),
             F.try_variant_get("_payload", _path(name), "array<variant>"),
         )
     items = F.coalesce(F.try_variant_get("_payload", "$", "array<variant>"), wrapped)
