@@ -17,6 +17,7 @@ from contract.relations import (
     payloads,
     pick,
     postings,
+    stored_postings,
     raw_postings,
     stamp,
     table,
@@ -152,7 +153,7 @@ def run_log_events(spark, sf_dir):
 
 @register
 def notification_log(spark, sf_dir):
-    batch = views.unnotified(postings(spark, sf_dir, exchanged=True), 2)
+    batch = views.unnotified(stored_postings(spark, sf_dir), 2)
     rows = logs.notification_log_rows(batch, "team@example.com", AS_OF)
     ids = F.array_join(F.transform("job_ids", lambda i: i.cast("string")), ",")
     return rows.select(
@@ -171,7 +172,7 @@ def job_alerts(spark, sf_dir):
 @register
 def notify_once(spark, sf_dir):
     """First cycle reports the older postings, the second finds only the rest."""
-    jobs = postings(spark, sf_dir, exchanged=True)
+    jobs = stored_postings(spark, sf_dir)
     first = views.unnotified(jobs.where(F.col("scrape_timestamp") < AS_OF - timedelta(days=100)), 2)
     sent = first.select("id", F.lit(str(AS_OF)).cast("timestamp_ntz").alias("sent_at"))
     return views.unnotified(jobs, 2, notified=sent).select("id", "keyword_match_count", "posting_url")
@@ -246,7 +247,7 @@ def derived_columns(spark, sf_dir):
 
 @register
 def recent_matched(spark, sf_dir):
-    return views.recent_matched(postings(spark, sf_dir, exchanged=True), AS_OF).select(
+    return views.recent_matched(postings(spark, sf_dir), AS_OF).select(
         "id", "company", "posting_url", joined("keywords_matched").alias("keywords_matched"),
         F.col("keyword_match_count").cast("bigint").alias("keyword_match_count"),
         stamp("scrape_timestamp").alias("scrape_timestamp"), "is_notified",
@@ -270,14 +271,14 @@ def by_source(spark, sf_dir):
 
 @register
 def unnotified(spark, sf_dir):
-    return views.unnotified(postings(spark, sf_dir, exchanged=True), 3).select(
+    return views.unnotified(stored_postings(spark, sf_dir), 3).select(
         "id", "company", joined("keywords_matched").alias("keywords_matched"), "posting_url"
     )
 
 
 @register
 def unnotified_brief(spark, sf_dir):
-    return views.unnotified_brief(postings(spark, sf_dir, exchanged=True)).select(
+    return views.unnotified_brief(stored_postings(spark, sf_dir)).select(
         "job_id", "company", "location",
         F.col("keyword_match_count").cast("bigint").alias("keyword_match_count"), "posting_url",
     )
@@ -285,7 +286,7 @@ def unnotified_brief(spark, sf_dir):
 
 @register
 def keyword_search(spark, sf_dir):
-    return views.keyword_search(postings(spark, sf_dir, exchanged=True), ["Rewh", "License", "Absent"]).select(
+    return views.keyword_search(stored_postings(spark, sf_dir), ["Rewh", "License", "Absent"]).select(
         "job_id", "company", joined("keywords_matched").alias("keywords_matched"), "posting_url"
     )
 
@@ -393,7 +394,7 @@ def skill_suggestions(spark, sf_dir):
 
 @register
 def skill_suggestions_join(spark, sf_dir):
-    pairs = matching.each_keyword(postings(spark, sf_dir, exchanged=True), "id")
+    pairs = matching.each_keyword(stored_postings(spark, sf_dir), "id")
     return matching_join.suggest_for_pairs(pairs, SAMPLE.pairing_table(spark), "id")
 
 
@@ -431,12 +432,12 @@ def global_stats(spark, sf_dir):
 @register
 def batch_analysis(spark, sf_dir):
     listed = F.transform("top_keywords", lambda e: F.concat(e["keyword"], F.lit(":"), e["n"].cast("string")))
-    return views.batch_analysis(postings(spark, sf_dir, exchanged=True)).withColumn("top_keywords", joined(listed))
+    return views.batch_analysis(stored_postings(spark, sf_dir)).withColumn("top_keywords", joined(listed))
 
 
 @register
 def digest_summary(spark, sf_dir):
-    return views.digest_summary(views.unnotified(postings(spark, sf_dir, exchanged=True)))
+    return views.digest_summary(views.unnotified(stored_postings(spark, sf_dir)))
 
 
 @register
@@ -452,7 +453,9 @@ def top_matches(spark, sf_dir):
 
 @register
 def newest_unlabelled(spark, sf_dir):
-    jobs = postings(spark, sf_dir).withColumn("keyword_match_count", F.col("keyword_match_count") - 3)
+    jobs = stored_postings(spark, sf_dir).withColumns(
+        {"keyword_match_count": F.col("keyword_match_count") - 3, "full_description": F.lit("")}
+    )
     return ranking.newest_unlabelled(jobs, 100).select("id", stamp("scrape_timestamp").alias("scrape_timestamp"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolelake.dictionaries import KeywordDictionary
 from rolelake.functions.dates import timestamp_lit
+from rolelake.operators.durable import cut_lineage
 from rolelake.operators.matching import with_keywords
 from rolelake.plans.records import keyword_count
 from rolelake.sources.tables import read_table
@@ -91,17 +92,20 @@ def days_before(moment: datetime, days: Column) -> Column:
     return timestamp_lit(moment) - F.make_dt_interval(days.cast("int"))
 
 
-def postings(spark: SparkSession, sf_dir: str, exchanged: bool = False) -> DataFrame:
-    """Labelled postings, shaped like the stored table.
-
-    A sort samples its input before it runs, and some queries use their input twice.  For
-    those the labelled rows, without the columns nobody reads, are exchanged once, so that
-    texts are matched once; the stored table needs no such step.
-    """
-    labelled = with_keywords(
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled postings, shaped like the stored table."""
+    return with_keywords(
         raw_postings(spark, sf_dir, spread=True), SAMPLE, ["job_title", "full_description"]
     ).withColumn("keyword_match_count", keyword_count())
-    return labelled.repartition("id") if exchanged else labelled
+
+
+def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled postings without their full texts, written once durably.
+
+    For queries that filter on keywords, sort, or use their input twice: as with the stored
+    table, texts are matched before, not while such a query runs.
+    """
+    return cut_lineage(postings(spark, sf_dir).drop("full_description"))
 
 
 def event_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
