@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 # A lookup table up to this many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 100_000
 SALTS = 16
+# Up to this many 8-byte keys are broadcast to thin out a large table before a join.
+PREFILTER_ROWS = 2_000_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -39,14 +41,36 @@ def lookup_join(
     return salted_facts.join(salted_lookup, [on, "_salt"], how).drop("_salt")
 
 
-def rows_already_in(batch: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def rows_already_in(
+    batch: DataFrame,
+    existing: DataFrame,
+    key: str | Sequence[str],
+    prefilter_rows: int = PREFILTER_ROWS,
+) -> DataFrame:
     """Distinct keys of ``batch`` that ``existing`` holds too.
 
-    Written as a semi join from the existing side: when the batch is small Spark
-    broadcasts the batch's keys and the large table is only scanned, not shuffled.
+    ``existing`` may be very large.  While the batch is of bounded size, 8-byte hashes of its
+    keys are broadcast, so that only rows of ``existing`` that may match are shuffled; the
+    join on the keys themselves then decides.  A larger batch is joined by shuffle alone.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return existing.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi").distinct()
+    stored = existing.select(*keys)
+    if is_small(batch.select(*keys), prefilter_rows):
+        hashes = batch.select(F.xxhash64(*keys).alias("_hash")).distinct()
+        stored = (
+            stored.withColumn("_hash", F.xxhash64(*keys))
+            .join(F.broadcast(hashes), "_hash", "left_semi")
+            .drop("_hash")
+        )
+    return stored.join(batch.select(*keys).distinct(), keys, "left_semi").distinct()
+
+
+def rows_with_key_in(
+    df: DataFrame, wanted: DataFrame, key: str, broadcast_rows: int = PREFILTER_ROWS
+) -> DataFrame:
+    """Rows whose ``key``, a number, is wanted; a bounded set of keys is broadcast."""
+    keys = wanted.select(key)
+    return df.join(F.broadcast(keys) if is_small(keys, broadcast_rows) else keys, key, "left_semi")
 
 
 def absent_rows(batch: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> DataFrame:

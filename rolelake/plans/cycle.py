@@ -100,7 +100,7 @@ def incremental_run(
     store.append(RUNS, run_log_rows(done.batch, done.rows, as_of, ended or as_of))
     if deliver is not None:
         notify_once(store, deliver, recipient, as_of, min_keywords)
-    return global_stats(store.postings(), as_of)
+    return global_stats(store.read(POSTINGS), as_of)
 
 
 def keep_house(

@@ -159,7 +159,7 @@ class PostingStore:
 
     def _writer(self, df: DataFrame, name: str):
         partition = self._partition(name)
-        # The rebalance hint splits a hot day over several files and merges small ones.
+        # The rebalance hint splits a hot partition over several files and merges small ones.
         if partition is None:
             return df.hint("rebalance").write
         return df.hint("rebalance", partition).write.partitionBy(partition)
@@ -200,7 +200,8 @@ class PostingStore:
         good = checked.where(F.size("errors") == 0).drop("errors")
         bad = checked.where(F.size("errors") > 0)
         fresh = cut_lineage(new_postings(good, self.read(POSTINGS), as_of))
-        self.append(POSTINGS, fresh)
+        # All of one day and already in tasks of a good size, so written without a shuffle.
+        fresh.write.partitionBy("scrape_date").mode("append").parquet(self._path(POSTINGS))
         self.append(REJECTED_ROWS, bad.withColumn("rejected_at", timestamp_lit(as_of)))
         found, invalid = checked.agg(F.count("*"), F.count_if(F.size("errors") > 0)).first()
         inserted = fresh.count()

@@ -13,6 +13,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rolelake.functions.dates import timestamp_lit
+from rolelake.operators.durable import cut_lineage
+from rolelake.operators.joins import rows_with_key_in
 from rolelake.operators.matching import each_keyword
 from rolelake.operators.ranking import best_first, global_rank
 
@@ -82,7 +84,8 @@ def unnotified(
 ) -> DataFrame:
     """Active postings with keywords that were not reported yet, best first.
 
-    ``notified`` is the append-only table of reported ids, if there is one.
+    ``notified`` is the append-only table of reported ids, if there is one.  Only ids are
+    compared with it; the rows themselves are read again for the few ids that are left.
     """
     pending = jobs.where(
         F.col("is_active")
@@ -90,7 +93,8 @@ def unnotified(
         & (F.col("keyword_match_count") >= min_keywords)
     ).select(*_DETAIL_COLUMNS)
     if notified is not None:
-        pending = pending.join(notified.select("id"), "id", "left_anti")
+        fresh = cut_lineage(pending.select("id").join(notified.select("id"), "id", "left_anti"))
+        pending = rows_with_key_in(pending, fresh, "id")
     return pending.orderBy(*best_first())
 
 
