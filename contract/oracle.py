@@ -605,3 +605,16 @@ ORACLE["incremental_cycle"] = f"""WITH {FAULTY}, {EXISTING}, good AS (
 SELECT posting_url, source, md5(job_title) AS title_md5, array_to_string(ks, '|') AS keywords_matched,
   CAST(len(ks) AS BIGINT) AS keyword_match_count, true AS is_active, '2024-02-01 00:00:00' AS created_at
 FROM labelled"""
+
+ORACLE["stored_cycle"] = f"""WITH {POSTINGS}, good AS (
+  SELECT * FROM jobs WHERE length(job_title) <= 500
+), first_run AS (
+  SELECT *, TIMESTAMP '2023-07-16 00:00:00' AS created FROM good WHERE id % 2 = 0
+  QUALIFY row_number() OVER (PARTITION BY posting_url ORDER BY seq) = 1
+), second_run AS (
+  SELECT *, {AS_OF} AS created FROM good WHERE posting_url NOT IN (SELECT posting_url FROM first_run)
+  QUALIFY row_number() OVER (PARTITION BY posting_url ORDER BY seq) = 1
+), stored AS (SELECT * FROM first_run UNION ALL SELECT * FROM second_run)
+SELECT posting_url, created = {AS_OF} AS is_active, n >= 2 AS is_notified, CAST(n AS BIGINT) AS keyword_match_count,
+  {stamp('created')} AS created_at, CASE WHEN n >= 2 THEN {stamp('created')} END AS notification_sent_at
+FROM stored"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,6 +26,7 @@ from contract.relations import (
 )
 from rolelake.functions import dates, text, urls
 from rolelake.operators import dedup, matching, matching_join, quality, ranking
+from rolelake.operators.durable import ensure_checkpoint_dir
 from rolelake.plans import cycle, logs, records, store, views
 from rolelake.sources import cards, links
 from rolelake.sources.payloads import BRIGHTERMONDAY, payload_fields as extract_payload_fields
@@ -652,3 +654,26 @@ def incremental_cycle(spark, sf_dir):
         F.col("keyword_match_count").cast("bigint").alias("keyword_match_count"), "is_active",
         stamp("created_at").alias("created_at"),
     )
+
+
+@register
+def stored_cycle(spark, sf_dir):
+    """Two runs into stored tables, each reporting once, then archiving and retention."""
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
+    tables = store.PostingStore(spark, root)
+    jobs = postings(spark, sf_dir).withColumn("source", F.lit("Other"))
+    for rows, when in (
+        (jobs.where("id % 2 = 0"), AS_OF - timedelta(days=200)),
+        (jobs, AS_OF),
+    ):
+        done = tables.insert(records.stored_record(rows), when)
+        tables.append(store.RUNS, logs.run_log_rows(done.batch, done.rows, when, when))
+        cycle.notify_once(tables, lambda batch: True, "team@example.com", when, min_keywords=2)
+    cycle.keep_house(tables, AS_OF)
+    return tables.postings().select(
+        "posting_url", "is_active", "is_notified",
+        F.col("keyword_match_count").cast("bigint").alias("keyword_match_count"),
+        stamp("created_at").alias("created_at"),
+        stamp("notification_sent_at").alias("notification_sent_at"),
+    )

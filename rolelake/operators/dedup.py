@@ -82,8 +82,12 @@ def insert_if_absent(batch: DataFrame, existing: DataFrame, key: str, seq: str)
 def merge_update(
     base: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Left update join: ``columns`` take the update's value where there is one."""
+    """Left update join: ``columns`` take the update's value where there is one.
+
+    Of several updates for one key any one is taken; no base row is ever repeated.
+    """
     changes = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    changes = changes.dropDuplicates([key])
     joined = base.join(changes, key, "left")
     return joined.select(
         *[

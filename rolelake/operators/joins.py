@@ -14,8 +14,11 @@ PREFILTER_ROWS = 2_000_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True where ``df`` has at most ``rows`` rows; reads no more than one row beyond."""
-    return df.limit(rows + 1).count() <= rows
+    """True where ``df`` has at most ``rows`` rows.
+
+    A plain count: a limit would first bring the limited rows of all tasks into one.
+    """
+    return df.count() <= rows
 
 
 def lookup_join(

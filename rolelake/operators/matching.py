@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolelake.dictionaries import (
     DEFAULT_CATEGORY,
@@ -264,6 +264,17 @@ def _around(between: str, hits: str, width: int) -> Column:
     return F.transform(hits, around)
 
 
+def occurrences_in_context(between: str, hits: str, width: int) -> Column:
+    """Generator of (occurrence, context), numbered from 0 in text order."""
+    return F.posexplode(_around(between, hits, width)).alias("occurrence", "context")
+
+
+def regex_table(dictionary: KeywordDictionary, spark: SparkSession) -> DataFrame:
+    """(keyword, regex) rows, for occurrences by join."""
+    rows = [(k, keyword_regex(dictionary, k)) for k in dictionary.variants]
+    return spark.createDataFrame(rows, "keyword string, regex string")
+
+
 def keyword_context(
     df: DataFrame,
     dictionary: KeywordDictionary,
@@ -285,9 +296,7 @@ def keyword_context(
     kept = [c for c in df.columns if c not in (text, matched)]
     per_keyword = df.select(*kept, F.inline(F.array_compact(F.array(*cuts))))
     return per_keyword.select(
-        *kept,
-        "keyword",
-        F.posexplode(_around("_between", "_hits", context_chars)).alias("occurrence", "context"),
+        *kept, "keyword", occurrences_in_context("_between", "_hits", context_chars)
     )
 
 

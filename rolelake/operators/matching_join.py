@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolelake.dictionaries import DEFAULT_CATEGORY, DEFAULT_WEIGHT, TITLE_BOOST
 from rolelake.functions.text import WORD
 from rolelake.operators.joins import BROADCAST_ROWS, lookup_join
-from rolelake.operators.matching import fold_case_column
+from rolelake.operators.matching import each_keyword, fold_case_column, occurrences_in_context
 
-_RUNS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
+_SEPARATOR = r"[^\p{L}\p{N}_]"
+_RUNS = rf"{WORD}+|{_SEPARATOR}+"
 
 
 def _runs(text: Column) -> Column:
@@ -33,32 +34,24 @@ def _shapes(variants: DataFrame) -> list[tuple[bool, int]]:
     return sorted((r["word"], r["n"]) for r in shapes.where("n > 0").distinct().collect())
 
 
-def _sequences(runs: str, first_is_word: str, shapes: list[tuple[bool, int]]) -> Column:
-    """Distinct run sequences of the given shapes.
+def _sequence_regex(word: bool, n: int) -> str:
+    """Regex whose group 1 is, at each start, the run sequence of that shape.
 
-    Word and separator runs alternate, so the starts of one kind are every second run.  A
-    separator run needs a word run beyond it, which moves the first or last start by one.
+    A separator run at either end needs a word run beyond it.
     """
-    size = F.size(runs)
-    per_shape = []
-    for word, n in shapes:
-        first = (
-            F.when(F.col(first_is_word), 0).otherwise(1)
-            if word
-            else F.when(F.col(first_is_word), 1).otherwise(2)
-        )
-        ends_with_word = word == (n % 2 == 1)
-        last = size - n if ends_with_word else size - n - 1
-        starts = F.when(last >= first, F.sequence(first, last, F.lit(2)))
-        cut = F.transform(starts, _slice_at(runs, n))
-        per_shape.append(F.coalesce(cut, F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(*per_shape))
-
-
-def _slice_at(runs: str, n: int):
-    if n == 1:
-        return lambda i: F.get(runs, i)
-    return lambda i: F.array_join(F.slice(runs, i + 1, F.lit(n)), "")
+    kinds = [word == (i % 2 == 0) for i in range(n)]
+    body = "".join(f"{WORD}++" if is_word else f"{_SEPARATOR}++" for is_word in kinds)
+    opening = f"(?<!{WORD})" if kinds[0] else f"(?<={WORD})"
+    closing = "" if kinds[-1] else f"(?={WORD})"
+    return f"{opening}(?=({body}){closing})"
+
+
+def _sequences(text: Column, shapes: list[tuple[bool, int]]) -> Column:
+    """Distinct run sequences of the given shapes in a text."""
+    found = [
+        F.regexp_extract_all(text, F.lit(_sequence_regex(word, n)), F.lit(1)) for word, n in shapes
+    ]
+    return F.array_distinct(F.concat(*found))
 
 
 def keyword_pairs(
@@ -78,12 +71,10 @@ def keyword_pairs(
     shapes = _shapes(variants)
     if not shapes:
         return docs.select(key, F.lit(None).cast("string").alias("keyword"))
-    runs = docs.select(
-        key, F.coalesce(_runs(fold(F.col(text))), F.array().cast("array<string>")).alias("_runs")
-    ).select(key, "_runs", _starts_with_word(F.col("_runs")).alias("_word_first"))
+    folded = docs.select(key, fold(F.coalesce(text, F.lit(""))).alias("_text"))
     # The null sequence keeps texts without a match.
-    sequences = F.array_append(_sequences("_runs", "_word_first", shapes), F.lit(None).cast("string"))
-    grams = runs.select(key, F.explode(sequences).alias("_gram"))
+    sequences = F.array_append(_sequences(F.col("_text"), shapes), F.lit(None).cast("string"))
+    grams = folded.select(key, F.explode(sequences).alias("_gram"))
     joined = lookup_join(
         grams, lookup, "_gram", spread_by=key, how="left", broadcast_rows=broadcast_rows
     )
@@ -132,3 +123,36 @@ def suggest_for_pairs(pairs: DataFrame, pairings: DataFrame, key: str) -> DataFr
     return (
         candidates.select(key, "suggested").distinct().join(present, [key, "suggested"], "left_anti")
     )
+
+
+def _with_regexes(docs: DataFrame, regexes: DataFrame, key: str, text: str, matched: str) -> DataFrame:
+    rows = each_keyword(docs, key, text, keywords=matched)
+    return lookup_join(rows, regexes, "keyword", spread_by=key, how="inner")
+
+
+def frequency_by_join(
+    docs: DataFrame, regexes: DataFrame, key: str, text: str, matched: str = "keywords_matched"
+) -> DataFrame:
+    """(key, keyword, occurrences) with the keywords' regexes from a table."""
+    rows = _with_regexes(docs, regexes, key, text, matched)
+    return rows.select(key, "keyword", F.regexp_count(text, F.col("regex")).alias("occurrences"))
+
+
+def context_by_join(
+    docs: DataFrame,
+    regexes: DataFrame,
+    key: str,
+    text: str,
+    matched: str = "keywords_matched",
+    context_chars: int = 50,
+) -> DataFrame:
+    """(key, keyword, occurrence, context) with the keywords' regexes from a table."""
+    cuts = _with_regexes(docs, regexes, key, text, matched).select(
+        key,
+        "keyword",
+        F.split(text, F.col("regex"), -1).alias("_between"),
+        F.regexp_extract_all(text, F.col("regex"), F.lit(0)).alias("_hits"),
+    )
+    return cuts.select(
+        key, "keyword", occurrences_in_context("_between", "_hits", context_chars)
+    )

@@ -73,23 +73,22 @@ def page_links(
             )
         ).alias("_sorted"),
     )
-    firsts = usable.select(
-        key,
-        url,
-        F.inline(
-            F.filter(
-                "_sorted",
-                lambda a, i: (i == 0) | (F.get("_sorted", i - 1)["href"] != a["href"]),
-            )
-        ),
+    def titled(anchor: Column) -> Column:
+        inner = F.regexp_extract(anchor["body"], _INNER, 1)
+        return F.struct(
+            anchor["pos"].alias("pos"),
+            anchor["href"].alias("href"),
+            clean_text(visible_text(inner)).alias("job_title"),
+        )
+
+    firsts = F.filter(
+        "_sorted", lambda a, i: (i == 0) | (F.get("_sorted", i - 1)["href"] != a["href"])
     )
-    titled = firsts.select(
-        key,
-        url,
-        "pos",
-        "href",
-        clean_text(visible_text(F.regexp_extract("body", _INNER, 1))).alias("job_title"),
+    # Filtered before the rows are made: a filter on the rows would be pushed down and
+    # compute every title a second time.
+    kept = F.filter(
+        F.transform(firsts, titled), lambda a: F.length(a["job_title"]) >= max(min_title_length, 1)
     )
-    return titled.where(F.length("job_title") >= max(min_title_length, 1)).withColumn(
+    return usable.select(key, url, F.inline(kept)).withColumn(
         "posting_url", make_absolute_url(base_url, "href")
     )

@@ -95,48 +95,50 @@ def alias_chain(item: Column, names: Sequence[str], default: str | None = None)
     return F.coalesce(*tries, F.lit(default).cast("string"))
 
 
-def payload_items(
-    payloads: DataFrame,
-    wrappers: Sequence[str] = WRAPPERS,
-    body: str = "body",
-) -> DataFrame:
-    """One row per JSON object in a payload: other columns, ``item_pos`` and ``item``.
-
-    A payload is an array, or an object with the array under its first filled wrapper.
-    Broken payloads, other shapes and items that are not objects give no row.
-    """
-    kept = [c for c in payloads.columns if c != body]
-    parsed = payloads.select(*kept, F.try_parse_json(body).alias("_payload"))
+def _items(payload: str, wrappers: Sequence[str]) -> Column:
+    """The payload's array of items, or null."""
     wrapped = F
     for name in wrappers:
         wrapped = wrapped.when(
-            _is_filled(F.col("_payload"), name),
-            F.try_variant_get("_payload", _path(name), "array<variant>"),
+            _is_filled(F.col(payload), name),
+            F.try_variant_get(payload, _path(name), "array<variant>"),
         )
-    items = F.coalesce(F.try_variant_get("_payload", "$", "array<variant>"), wrapped)
-    return (
-        parsed.select(*kept, F.posexplode(items).alias("item_pos", "item"))
-        .where(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")))
-    )
+    return F.coalesce(F.try_variant_get(payload, "$", "array<variant>"), wrapped)
 
 
 def payload_fields(
     payloads: DataFrame, rules: PayloadRules, body: str = "body"
 ) -> DataFrame:
-    """Raw fields per item, as text; rows without a title or URL are dropped."""
-    items = payload_items(payloads, rules.wrappers, body)
-    kept = [c for c in items.columns if c != "item"]
-    raw = items.select(
-        *kept,
-        *[
-            alias_chain(F.col("item"), names, rules.defaults.get(name)).alias(f"raw_{name}")
+    """Raw fields per item, as text, next to the payload's other columns and ``item_pos``.
+
+    A payload is an array, or an object with the array under its first filled wrapper.
+    Broken payloads and other shapes give no row, nor do items that are not objects or lack
+    a title or URL.
+    """
+    kept = [c for c in payloads.columns if c != body]
+    parsed = payloads.select(*kept, F.try_parse_json(body).alias("_payload"))
+
+    def fields(item: Column, pos: Column) -> Column:
+        is_object = F.startswith(F.schema_of_variant(item), F.lit("OBJECT"))
+        texts = {
+            name: alias_chain(item, names, rules.defaults.get(name))
             for name, names in rules.fields.items()
-        ],
-    )
-    absolute = F.when(F.startswith("raw_url", F.lit("http")), F.col("raw_url")).otherwise(
-        F.concat(F.lit(rules.base_url), "raw_url")
+        }
+        texts["url"] = let(
+            texts["url"],
+            lambda u: F.when(F.startswith(u, F.lit("http")), u).otherwise(
+                F.concat(F.lit(rules.base_url), u)
+            ),
+        )
+        raw = [text.alias(f"raw_{name}") for name, text in texts.items()]
+        return F.when(is_object, F.struct(pos.alias("item_pos"), *raw))
+
+    # Dropped inside the array: a filter on rows would be pushed down and extract twice.
+    complete = F.filter(
+        F.transform(_items("_payload", rules.wrappers), fields),
+        lambda f: f["raw_title"].isNotNull() & f["raw_url"].isNotNull(),
     )
-    return raw.where("raw_title is not null and raw_url is not null").withColumn("raw_url", absolute)
+    return parsed.select(*kept, F.inline(complete))
 
 
 def payload_postings(

@@ -130,6 +130,18 @@ def test_frequency_and_context_equal_brute_force(spark):
     contexts = matching.keyword_context(df, BUILT_IN, "t", context_chars=7).collect()
     assert {(r["id"], r["keyword"], r["occurrence"]): r["context"] for r in contexts} == expected_contexts
 
+    regexes = matching.regex_table(BUILT_IN, spark)
+    counts = matching_join.frequency_by_join(df, regexes, "id", "t").collect()
+    assert {(r["id"], r["keyword"]): r["occurrences"] for r in counts} == expected_counts
+    contexts = matching_join.context_by_join(df, regexes, "id", "t", context_chars=7).collect()
+    assert {(r["id"], r["keyword"], r["occurrence"]): r["context"] for r in contexts} == expected_contexts
+
+
+def test_too_many_variants_are_not_inlined():
+    many = KeywordDictionary.of([f"word{i}" for i in range(2_001)], variants={})
+    with pytest.raises(ValueError, match="keywords_by_join"):
+        matching.match_keywords("t", many)
+
 
 POSTINGS = [
     (1, "Senior Data Engineer", None, "Python and SQL on AWS with Docker"),
