@@ -133,6 +133,11 @@ class Inserted:
     invalid: int
 
 
+def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns)
+
+
 class PostingStore:
     """The tables under one folder of a file system that all executors reach."""
 
@@ -141,9 +146,9 @@ class PostingStore:
         self.root = root.rstrip("/")
         for name, schema in _SCHEMAS.items():
             # Makes the folder where it is missing, and leaves an existing table alone.
-            self._writer(spark.createDataFrame([], self._stored_schema(name)), name).mode(
-                "ignore"
-            ).parquet(self._path(name))
+            writer = _empty(spark, self._stored_schema(name)).write.mode("ignore")
+            partition = self._partition(name)
+            (writer.partitionBy(partition) if partition else writer).parquet(self._path(name))
 
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -261,6 +266,6 @@ class PostingStore:
         """Overwrite one month's folder with an empty file set."""
         schema = self._stored_schema(name)
         inner = StructType([f for f in schema.fields if f.name != "log_month"])
-        self.spark.createDataFrame([], inner).write.mode("overwrite").parquet(
+        _empty(self.spark, inner).write.mode("overwrite").parquet(
             f"{self._path(name)}/log_month={month}"
         )
