@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contract.relations import SAMPLE, SINGLE_WORDS, TEST_SOURCES
+from contract.relations import CASED, SAMPLE, SINGLE_WORDS, TEST_SOURCES
 from rolelake.dictionaries import KeywordDictionary
 
 NOT_WORD = r"[^\pL\pN_]"
@@ -27,25 +27,26 @@ def clean(expr: str) -> str:
     return f"coalesce(trim(regexp_replace({collapsed}, '{UNUSUAL}', '', 'g')), '')"
 
 
-def variants_pattern(variants: tuple[str, ...], gap: str = " ") -> str:
-    escaped = []
-    for variant in variants:
-        lowered = "".join(
-            c if c.isalnum() else gap if c == " " else "\\" + c for c in variant.lower()
-        )
-        escaped.append(lowered)
-    return "|".join(escaped)
+def variants_pattern(variants: list[str]) -> str:
+    return "|".join(
+        "".join(c if c.isalnum() or c == " " else "\\" + c for c in variant) for variant in variants
+    )
 
 
-def matches(expr: str, variants: tuple[str, ...]) -> str:
+def matches(expr: str, variants: list[str]) -> str:
     pattern = f"(^|{NOT_WORD})({variants_pattern(variants)})($|{NOT_WORD})"
     return f"regexp_matches({expr}, {text_literal(pattern)})"
 
 
+def forms_as_matched(dictionary: KeywordDictionary, keyword: str) -> list[str]:
+    forms = dictionary.variants[keyword]
+    return [f if dictionary.case_sensitive else f.lower() for f in forms]
+
+
 def keyword_list(expr: str, dictionary: KeywordDictionary) -> str:
     cells = ", ".join(
-        f"CASE WHEN {matches(expr, forms)} THEN {text_literal(keyword)} END"
-        for keyword, forms in dictionary.variants.items()
+        f"CASE WHEN {matches(expr, forms_as_matched(dictionary, keyword))} THEN {text_literal(keyword)} END"
+        for keyword in dictionary.variants
     )
     return f"list_sort(list_filter([{cells}], lambda k: k IS NOT NULL))"
 
@@ -618,3 +619,24 @@ ORACLE["stored_cycle"] = f"""WITH {POSTINGS}, good AS (
 SELECT posting_url, created = {AS_OF} AS is_active, n >= 2 AS is_notified, CAST(n AS BIGINT) AS keyword_match_count,
   {stamp('created')} AS created_at, CASE WHEN n >= 2 THEN {stamp('created')} END AS notification_sent_at
 FROM stored"""
+
+ORACLE["page_containers"] = f"""WITH {ANCHORS}, navs AS (
+  SELECT page_id, titles[1] AS title, hrefs[1] AS href,
+    array_to_string(list_transform(titles, lambda x: trim(x)), '') AS listed
+  FROM found WHERE len(hrefs) > 0)
+SELECT page_id, {clean('title')} AS job_title, 'N/A' AS company, 'nowhere' AS location,
+  'https://jobs.example.com' || href AS posting_url,
+  CASE WHEN length({clean('listed')}) > 500 THEN substring({clean('listed')}, 1, 497) || '...' ELSE {clean('listed')} END
+    AS description_snippet, '2024-02-01 00:00:00' AS posted_date
+FROM navs WHERE {clean('title')} <> ''"""
+
+ORACLE["payload_postings"] = f"""WITH fields AS ({ORACLE['payload_fields']})
+SELECT event_id, {clean('raw_title')} AS job_title, {clean('raw_company')} AS company,
+  {clean('raw_location')} AS location, raw_url AS posting_url, 'BrighterMonday' AS source,
+  nullif({clean('raw_salary')}, '') AS salary_text, CAST(NULL AS VARCHAR) AS description_snippet,
+  CAST(NULL AS VARCHAR) AS posted_date
+FROM fields"""
+
+ORACLE["union_fallback_overall"] = "SELECT event_id, event_type FROM events WHERE event_type = 'signup'"
+
+ORACLE["keyword_match_cased"] = f"SELECT doc_id, unnest({keyword_list('text', CASED)}) AS keyword FROM documents"

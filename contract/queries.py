@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contract.relations import (
     AS_OF,
+    CASED,
     EVENTS_AS_OF,
     SAMPLE,
     SINGLE_WORDS,
@@ -29,7 +30,7 @@ from rolelake.operators import dedup, matching, matching_join, quality, ranking
 from rolelake.operators.durable import ensure_checkpoint_dir
 from rolelake.plans import cycle, logs, records, store, views
 from rolelake.sources import cards, links
-from rolelake.sources.payloads import BRIGHTERMONDAY, payload_fields as extract_payload_fields
+from rolelake.sources import payloads as payload_source
 
 QUERIES = {}
 
@@ -70,12 +71,51 @@ def page_cards(spark, sf_dir):
 
 @register
 def payload_fields(spark, sf_dir):
-    return extract_payload_fields(payloads(spark, sf_dir), BRIGHTERMONDAY).select(
+    return payload_source.payload_fields(payloads(spark, sf_dir), payload_source.BRIGHTERMONDAY).select(
         "event_id", F.col("item_pos").cast("bigint").alias("item_pos"), "raw_title", "raw_url",
         "raw_company", "raw_location", "raw_salary",
     )
 
 
+@register
+def page_containers(spark, sf_dir):
+    rules = cards.ContainerRules(
+        source="Other",
+        base_url="https://jobs.example.com",
+        card=("nav", None),
+        title_paths=((("h2", None), ("a", None)), (("li", None), ("a", None))),
+        logo_path=(("li", None), ("img", None)),
+        description=("ul", None),
+        date_tag="footer",
+        date_id="date",
+        place_href="/d",
+        default_place="nowhere",
+    )
+    found = cards.page_cards(table(spark, sf_dir, "pages", spread=True), rules, AS_OF)
+    return found.select(
+        "page_id", "job_title", "company", "location", "posting_url", "description_snippet",
+        stamp("posted_date").alias("posted_date"),
+    )
+
+
+@register
+def payload_postings(spark, sf_dir):
+    found = payload_source.payload_postings(
+        payloads(spark, sf_dir), payload_source.BRIGHTERMONDAY, EVENTS_AS_OF
+    )
+    return found.select(
+        "event_id", "job_title", "company", "location", "posting_url", "source", "salary_text",
+        "description_snippet", stamp("posted_date").alias("posted_date"),
+    )
+
+
+@register
+def union_fallback_overall(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    methods = [events.where(F.col("event_type") == kind) for kind in ("absent", "signup", "view")]
+    return dedup.union_with_fallback(methods, None)
+
+
 @register
 def union_fallback(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
@@ -303,6 +343,13 @@ def keyword_match(spark, sf_dir):
     return matching.each_keyword(labelled, "doc_id")
 
 
+@register
+def keyword_match_cased(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread=True)
+    labelled = docs.select("doc_id", matching.match_keywords("text", CASED).alias("keywords_matched"))
+    return matching.each_keyword(labelled, "doc_id")
+
+
 @register
 def keyword_match_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", spread=True)

@@ -51,6 +51,13 @@ SINGLE_WORDS = KeywordDictionary.of(
     variants={"Que": ("que", "qué"), "License": ("license", "copyright")},
 )
 
+# Matched as written, capitals included.
+CASED = KeywordDictionary.of(
+    keywords=("The", "Of", "Que", "und", "In The", "License"),
+    variants={"In The": ("in the",)},
+    case_sensitive=True,
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", spread)
