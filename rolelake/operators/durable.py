@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the session's checkpoint folder; only where none is named, make a local one."""
+    """Use the session's checkpoint folder; only a local session may do without a named one."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolelake-checkpoint-"))
+    if context.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolelake-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
