@@ -128,9 +128,7 @@ def event_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("posted_date"),
         F.lit(None).cast("string").alias("description_snippet"),
         F.col("event_type").alias("source"),
-        F.transform(F.slice(F.array(*map(F.lit, "abc")), F.lit(1), k % 4), lambda x: x).alias(
-            "keywords_matched"
-        ),
+        F.slice(F.array(*map(F.lit, "abc")), F.lit(1), k % 4).alias("keywords_matched"),
         (k % 4).alias("keyword_match_count"),
         F.col("ts").alias("scrape_timestamp"),
         (F.col("user_id") % 7 != 0).alias("is_active"),
