@@ -21,6 +21,17 @@ SELECT c.doc_id, c.size::BIGINT AS size, c.source_size::BIGINT AS source_size, c
 FROM c LEFT JOIN n USING (doc_id)
 """
 
+OP7 = r"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, '<turn role="' || replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '">'
+             || replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</turn>' || chr(10) AS whole FROM m),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role) AS said,
+             coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '') AS loss, sum(length(whole)) AS n FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, n::BIGINT AS formatted_chars FROM g
+"""
+
 LLM_ORACLE = {
     "op3_weighted_fair_mix": OP3,
+    "op7_typed_parts_chat": OP7,
 }
