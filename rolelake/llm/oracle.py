@@ -1,6 +1,28 @@
 """SQL with the same results as the registered queries of this folder, where SQL can express them."""
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
+SPACES = r"'[\x20\x09-\x0D]+'"
+
+OP1 = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {WORDS}) AS ws FROM documents),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM d, unnest(range(1, len(ws) - 1)) AS u(i)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM r, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+b AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+l AS (SELECT *, trim(regexp_replace(translate(lower(line), '123456789', '000000000'), {SPACES}, ' ', 'g')) AS norm,
+             len(regexp_extract_all(line, {WORDS})) AS words FROM b WHERE regexp_matches(line, {WORDS})),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id),
+h AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
+f AS (SELECT l.source, norm FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source
+      GROUP BY l.source, norm, h.n HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > h.n * 0.1),
+lost AS (SELECT l.doc_id, sum(words) AS n FROM l JOIN f ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.doc_id),
+c AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, {SPACES}, '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+             coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_lost
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lost <= n_words * 0.5 AS kept FROM c
+"""
 
 OP3 = f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORDS})) AS size FROM documents),
@@ -32,6 +54,7 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS l
 """
 
 LLM_ORACLE = {
+    "op1_line_frequency": OP1,
     "op3_weighted_fair_mix": OP3,
     "op7_typed_parts_chat": OP7,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, mixing, sharding, words
+from rolelake.llm import chat, lines, mixing, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
@@ -17,6 +17,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict for every document, with its source as host."""
+    found = lines.verdicts(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    failed = lines.base_failed(F.col("counts.n_words"), F.col("counts.n_repeat_words"))
+    return found.select(
+        F.col("key").alias("doc_id"), "counts.*", failed.alias("base_failed"), (~failed & ~F.col("depleted")).alias("kept"), "n_lost"
+    )
+
+
 def op3_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     # Word counts come from the texts once; texts themselves are not carried along.
@@ -59,6 +68,7 @@ def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_line_frequency": op1_line_frequency,
     "op3_weighted_fair_mix": op3_weighted_fair_mix,
     "op7_typed_parts_chat": op7_typed_parts_chat,
     "op9_two_pass_shards": op9_two_pass_shards,
