@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, lines, mixing, sharding, words
+from rolelake.llm import chat, language, lines, mixing, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
@@ -36,6 +36,14 @@ def op3_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(language.learnable(docs))
+    held = F.coalesce(language.held_out(), F.lit(False))
+    return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "prediction.*")
+
+
 def op7_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and what is read back from the formatted text."""
     stored = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -70,6 +78,7 @@ def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_weighted_fair_mix": op3_weighted_fair_mix,
+    "op4_nearest_centroid": op4_nearest_centroid,
     "op7_typed_parts_chat": op7_typed_parts_chat,
     "op9_two_pass_shards": op9_two_pass_shards,
 }
