@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, language, lines, mixing, sharding, words
+from rolelake.llm import chat, language, lattice, lines, mixing, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
@@ -26,6 +26,12 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.95."""
+    found = lattice.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op3_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     # Word counts come from the texts once; texts themselves are not carried along.
@@ -77,6 +83,7 @@ def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_line_frequency": op1_line_frequency,
+    "op2_e8_lattice": op2_e8_lattice,
     "op3_weighted_fair_mix": op3_weighted_fair_mix,
     "op4_nearest_centroid": op4_nearest_centroid,
     "op7_typed_parts_chat": op7_typed_parts_chat,
