@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, language, lattice, lines, mixing, sharding, words
+from rolelake.llm import chat, language, lattice, lines, maintext, mixing, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
@@ -81,6 +81,12 @@ def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return maintext.with_main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 LLM_QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op2_e8_lattice": op2_e8_lattice,
@@ -88,4 +94,5 @@ LLM_QUERIES = {
     "op4_nearest_centroid": op4_nearest_centroid,
     "op7_typed_parts_chat": op7_typed_parts_chat,
     "op9_two_pass_shards": op9_two_pass_shards,
+    "op10_line_blocks": op10_line_blocks,
 }
