@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, language, lattice, lines, maintext, mixing, sharding, words
+from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
@@ -50,6 +50,12 @@ def op4_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "prediction.*")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    found = jaccard.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("key").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op7_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and what is read back from the formatted text."""
     stored = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -92,6 +98,7 @@ LLM_QUERIES = {
     "op2_e8_lattice": op2_e8_lattice,
     "op3_weighted_fair_mix": op3_weighted_fair_mix,
     "op4_nearest_centroid": op4_nearest_centroid,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_typed_parts_chat": op7_typed_parts_chat,
     "op9_two_pass_shards": op9_two_pass_shards,
     "op10_line_blocks": op10_line_blocks,
