@@ -151,16 +151,14 @@ def fit(
     idf = np.full(BUCKETS, np.log(1 + texts), dtype=np.float32) + 1
     for bucket, n in found.items():
         idf[bucket] = np.log((1 + texts) / (1 + n)) + 1
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per language, as in the model itself; joined, it would deal all texts out by language.
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rate = F.lit(0.0)
+    for name, size in sizes.items():
+        rate = F.when(F.col("lang") == name, per_language / size).otherwise(rate)
     order = F.xxhash64(F.lit(1), "text")
     part = F.pmod(order, F.lit(1 << 52)) / F.lit(1 << 52)
-    sample = (
-        rows.select("lang", "text", order.alias("order"), part.alias("_part"))
-        .join(sizes.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang"))
-        .filter(F.col("_part") * F.col("_n") < per_language)
-        .select("lang", "text", "order")
-        .distinct()
-    )
+    sample = rows.select("lang", "text", order.alias("order")).filter(part < rate).distinct()
     schema = "lang string, k int, centroid array<float>, least double"
     fitted = sorted(sample.groupBy("lang").applyInPandas(_clusters(idf, centroids, slack), schema).collect(), key=lambda r: (r["lang"], r["k"]))
     return Model(
