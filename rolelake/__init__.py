@@ -1,8 +1 @@
 """rolelake: job-posting analytics as Spark DataFrame jobs."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions that run in Python workers are sent whole, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
