@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rolelake.llm.components import components
 from rolelake.operators.durable import stored
+from rolelake.shipping import ship
 
 #: Counters of the frequency table (4 bytes each); it is sent to every task.
 COUNTERS = 1 << 18
@@ -279,6 +280,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     ``n`` words: one n-gram.  Equal sets: linked.  Null key: takes part; the component is null only if all its keys
     are.  Repeated keys: every row counts as a document.  Empty table: no rows.  Other columns are not read.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     found = stored(rows.mapInArrow(_sizes(n), f"key {kind}, n long, digest string, counter long, times long"))

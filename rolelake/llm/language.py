@@ -20,6 +20,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rolelake.shipping import ship
+
 UNKNOWN = "und"
 #: Width of the hashed vectors.
 BUCKETS = 4096
@@ -143,6 +145,7 @@ def fit(
 
     Null texts or languages: not learned from.  Empty table: a model that knows no language.
     """
+    ship(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = rows.select("text").mapInArrow(_document_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -180,6 +183,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", into: str = "pred
     ``into`` is replaced.
     """
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf(_PREDICTION)
     def predicted(texts: pd.Series) -> pd.DataFrame:
         langs, scores, rejected = model.predict(list(texts))

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rolelake.llm.components import components
 from rolelake.operators.durable import stored
+from rolelake.shipping import ship
 
 
 @dataclass(frozen=True)
@@ -235,6 +236,7 @@ def near_duplicates(
     rows.  Other columns are not read.
     """
     spark = vectors.sparkSession
+    ship(spark)
     rows = vectors.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").alias("x"))
     usable = rows.filter(_usable(F.col("x")))
     # Copies collapse with map-side combine; what follows sees each vector once.

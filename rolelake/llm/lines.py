@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rolelake.llm.words import word_count
 from rolelake.operators.durable import stored
+from rolelake.shipping import ship
 
 #: Line breaks inside a line can only be the ones that the text isn't split at.
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -120,6 +121,7 @@ def verdicts(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", ho
     every row gets its verdict; rows equal in key, host and text get equal ones.  Empty table: no rows.
     Other columns are not read.
     """
+    ship(docs.sparkSession)
     # The texts are read once; the numbered facts are what later steps use.
     facts = stored(_facts(docs, key, host, text).withColumn("row", F.monotonically_increasing_id()))
     frequent = frequent_lines(facts, limits).withColumnRenamed("host", "_host").withColumnRenamed("line", "_line")

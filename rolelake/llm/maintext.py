@@ -16,6 +16,8 @@ from html import unescape
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rolelake.shipping import ship
+
 #: Lines in a window; also the empty lines that a left-out element stands for.
 WINDOW = 3
 #: A passage outside any article is kept if its highest window sum reaches this many characters ..
@@ -217,4 +219,5 @@ def with_main_text(pages: DataFrame, html: str = "html", into: str = "text") ->
     goes; an element left out that never ends reaches to the end of the element around it.  Repeated pages: equal texts.  Empty
     table: no rows.  An input column named ``into`` is replaced.
     """
+    ship(pages.sparkSession)
     return pages.withColumn(into, _main_texts(F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))))

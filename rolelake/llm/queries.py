@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, sharding, words
+from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
+#: A public SentencePiece model; the path is the same on all executors.
+MODEL_FILE = os.environ.get("ROLELAKE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 SHARDS = 16
 #: Of a bucket's texts, so that a task shuffles it in memory.
 BUCKET_BYTES = 4 << 20
@@ -74,6 +78,15 @@ def op7_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoding of every document, and whether decoding it gives the text back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.with_text(pieces.with_ids(docs, MODEL_FILE), MODEL_FILE, into="_decoded")
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("_decoded") == words.as_text("text")).alias("round_trip")
+    )
+
+
 def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     text = words.as_text("text")
@@ -100,6 +113,7 @@ LLM_QUERIES = {
     "op4_nearest_centroid": op4_nearest_centroid,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_typed_parts_chat": op7_typed_parts_chat,
+    "op8_suffix_array_pieces": op8_suffix_array_pieces,
     "op9_two_pass_shards": op9_two_pass_shards,
     "op10_line_blocks": op10_line_blocks,
 }
