@@ -27,7 +27,9 @@ from rolelake.shipping import ship
 
 MARK = "▁"
 #: Encodings of segments that a worker remembers in each of two generations.
-_REMEMBERED = 300_000
+_REMEMBERED = 200_000
+#: Characters that are indexed at a time; a longer segment is indexed by itself.
+_INDEXED = 500_000
 
 
 class Pieces:
@@ -167,22 +169,24 @@ def _relaxed(text: str, begins: np.ndarray, stops: np.ndarray, pieces: Pieces) -
 
     Edges are relaxed by the distance of their end from the segment's begin, all segments at once.
     """
-    owner = np.repeat(np.arange(len(begins)), stops - begins + 1)  # with the separator
-    place, which = occurrences(text, pieces)
-    segment = owner[place]
-    end = place + pieces.size[which]
-    inside = end <= stops[segment]
-    place, which, segment, end = place[inside], which[inside], segment[inside], end[inside]
-    distance = end - begins[segment]
+    # With the separator after each segment.  32 bits are enough for places and keep the edges small.
+    begin_of = np.repeat(begins, stops - begins + 1).astype(np.int32)
+    stop_of = np.repeat(stops, stops - begins + 1).astype(np.int32)
+    place, which = (x.astype(np.int32) for x in occurrences(text, pieces))
+    inside = place + pieces.size[which] <= stop_of[place]
+    place, which = place[inside], which[inside]
+    end = (place + pieces.size[which]).astype(np.int32)
+    distance = end - begin_of[place]
     order = np.argsort(distance, kind="stable")
-    place, which, end, start = place[order], which[order], end[order], (place == begins[segment])[order]
-    steps = np.searchsorted(distance[order], np.arange(1, int(distance.max(initial=0)) + 2))
+    place, which, end, distance = place[order], which[order], end[order], distance[order]
+    start = place == begin_of[place]
+    steps = np.searchsorted(distance, np.arange(1, int(distance.max(initial=0)) + 2))
     last = np.full(len(text) + 1, -1, dtype=np.int64)
     many = len(pieces.sorted)
     for lo, hi in zip(steps[:-1], steps[1:], strict=True):
         if lo == hi:
             continue
-        left = np.where(start[lo:hi], -1, last[place[lo:hi]])
+        left = np.where(start[lo:hi], -1, last[place[lo:hi]])  # 64 bits
         pairs, back = np.unique(left * many + which[lo:hi], return_inverse=True)
         fit = np.array([pieces.fits(int(p) // many, int(p) % many) for p in pairs])[back]
         last[end[lo:hi][fit]] = which[lo:hi][fit]
@@ -238,14 +242,14 @@ def _pieces(model_file: str) -> Pieces:
 
 
 class _Remembered:
-    """Encodings of segments in two generations; when the young one is full, the old one is forgotten."""
+    """Encodings of segments, 4 bytes a number, in two generations; when the young one is full, the old one is forgotten."""
 
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def of(self, segments: list[str]) -> list[np.ndarray]:
+    def of(self, segments: list[str]) -> list[bytes]:
         young, old = self.young, self.old
         if len(young) > _REMEMBERED:
             self.old, self.young = young, {}
@@ -256,9 +260,16 @@ class _Remembered:
                 young[s] = old[s]
             else:
                 fresh.append(s)
-        if fresh:
-            numbers, many = encoded_segments(fresh, self.pieces)
-            young.update(zip(fresh, np.split(numbers, np.cumsum(many)[:-1]), strict=True))
+        size = 0
+        chunk: list[str] = []
+        for k, s in enumerate(fresh):
+            chunk.append(s)
+            size += len(s) + 1
+            if size >= _INDEXED or k == len(fresh) - 1:
+                numbers, many = encoded_segments(chunk, self.pieces)
+                raw, ends = numbers.astype("<i4").tobytes(), (4 * np.cumsum(many)).tolist()
+                young.update(zip(chunk, (raw[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)), strict=True))
+                chunk, size = [], 0
         return list(map(young.__getitem__, segments))
 
 
@@ -267,13 +278,13 @@ def _encoder(model_file: str):
         """Numbers of each whole text; segments of a batch that aren't remembered are matched together."""
         pieces = _pieces(model_file)
         for batch in batches:
-            for start in range(0, len(batch), 1024):
-                part = batch.slice(start, 1024)
+            for start in range(0, len(batch), 512):
+                part = batch.slice(start, 512)
                 split = [pieces.segment.findall(pieces.normalized(t)) for t in part.column("text").to_pylist()]
                 flat = pieces.memory.of([s for segments in split for s in segments])
-                sizes = np.cumsum([0, *map(len, flat)])
+                sizes = np.cumsum([0, *map(len, flat)]) // 4
                 ends = sizes[np.cumsum([0, *map(len, split)])]
-                ids = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)
+                ids = np.frombuffer(b"".join(flat), dtype="<i4")
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("row"), lists], ["row", "ids"])
 
