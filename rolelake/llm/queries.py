@@ -6,12 +6,17 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, sharding, words
+from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, sequences, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 
 MIX_PASSES = 3
 #: A public SentencePiece model; the path is the same on all executors.
 MODEL_FILE = os.environ.get("ROLELAKE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+#: A public rank file of byte-level BPE, on all executors.
+RANK_FILE = os.environ.get("ROLELAKE_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+SEQUENCE_TOKENS = 2048
+#: Records in a shard: 16 MB of 2-byte numbers.
+SHARD_RECORDS = 4096
 SHARDS = 16
 #: Of a bucket's texts, so that a task shuffles it in memory.
 BUCKET_BYTES = 4 << 20
@@ -60,6 +65,12 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of tokens in training order, with its shard and place in it."""
+    sequences_ = sequences.packed(_table(spark, sf_dir, "documents").select("text"), RANK_FILE, SEQUENCE_TOKENS)
+    return sequences.in_training_order(sequences_, SHARD_RECORDS)
+
+
 def op7_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and what is read back from the formatted text."""
     stored = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -112,6 +123,7 @@ LLM_QUERIES = {
     "op3_weighted_fair_mix": op3_weighted_fair_mix,
     "op4_nearest_centroid": op4_nearest_centroid,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_training_order": op6_training_order,
     "op7_typed_parts_chat": op7_typed_parts_chat,
     "op8_suffix_array_pieces": op8_suffix_array_pieces,
     "op9_two_pass_shards": op9_two_pass_shards,
