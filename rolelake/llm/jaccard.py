@@ -11,8 +11,10 @@ A group of many near copies would meet in every prefix n-gram, with all its pair
 far fewer.  First each prefix n-gram's documents are compared with one of them only, the most
 central: the one whose n-grams are the most frequent, in a group of copies the text they all come from.
 After that, all documents that share a prefix n-gram meet in the group of its leader, and those that aren't in
-the leader's component yet are compared with the whole group, in tiles of bounded size that hand on
-links only.  So no link between components is missed; the result is exact whatever the first step found.
+the leader's component yet are compared with the whole group.  That is done on signatures of parity bits, in
+tiles of bounded size; signatures differ in no more bits than the sets do in elements, so they rule pairs out
+safely, and only what they leave is verified.  So no link between components is missed; the result is exact
+whatever the first step found.
 
 The frequencies that the order rests on are counted over all documents in a table of hashed
 counters; its size is fixed, and any order gives the same result.
@@ -37,7 +39,9 @@ COUNTERS = 1 << 18
 BITS = 1 << 24
 #: Documents on one side of a tile of the second step, and rows that go into one call.
 TILE = 256
-BUNDLE = 1024
+BUNDLE = 4096
+#: Smallest size of a document's signature, in bits.
+LEAST_BITS = 256
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -74,12 +78,17 @@ def _sizes(n: int):
         """For each document its set's size and digest; last, in how many of them each counter's n-grams occur."""
         known, counters = _Known(), np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            many, digests = [], []
+            many, digests, places = [], [], []
             for text in batch.column("text"):
                 found = grams(text.as_py(), n, known)
                 many.append(len(found))
                 digests.append(_digest(found))
-                np.add.at(counters, (found % np.uint64(COUNTERS)).astype(np.int64), 1)
+                places.append((found % np.uint64(COUNTERS)).astype(np.int32))
+                if len(places) >= 512:
+                    counters += np.bincount(np.concatenate(places), minlength=COUNTERS)
+                    places = []
+            if places:
+                counters += np.bincount(np.concatenate(places), minlength=COUNTERS)
             nothing = pa.nulls(len(many), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(many, pa.int64()), pa.array(digests, pa.string()), nothing, nothing],
@@ -96,6 +105,34 @@ def _sizes(n: int):
     return sizes
 
 
+def signature(found: np.ndarray) -> np.ndarray:
+    """Parity bits, four or more for each element: every element turns one bit over.
+
+    Two sets differ in at least as many elements as their bits do.  The number of bits is a power of two; of two sizes
+    the larger folds to the smaller.
+    """
+    size = max(LEAST_BITS, 1 << (4 * len(found) - 1).bit_length())
+    turned = np.bincount(((found >> np.uint64(20)) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(turned.astype(np.uint8)).view(np.int64)
+
+
+def differing(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Bits in which each of some signatures differs from each of others; none for sizes more than one folding apart."""
+    out = np.zeros((len(xs), len(ys)), dtype=np.int64)
+    size_x, size_y = (np.array([len(v) for v in side]) for side in (xs, ys))
+    for size in np.union1d(size_x, size_y).tolist():
+        i, j = (np.flatnonzero((sizes == size) | (sizes == 2 * size)) for sizes in (size_x, size_y))
+        if not len(i) or not len(j):
+            continue
+        x, y = (
+            np.stack([v[k] if len(v[k]) == size else v[k][:size] ^ v[k][size:] for k in some]).view(np.uint64) for v, some in ((xs, i), (ys, j))
+        )
+        smaller = (size_x[i] == size)[:, None] | (size_y[j] == size)[None, :]
+        bits = np.stack([np.bitwise_count(row ^ y).sum(axis=1, dtype=np.int64) for row in x])
+        out[np.ix_(i, j)] = np.where(smaller, bits, out[np.ix_(i, j)])
+    return out
+
+
 def _prefix_size(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
@@ -109,20 +146,20 @@ def _prefixes(n: int, percent: int, counters: np.ndarray):
             for text in batch.column("text"):
                 found = grams(text.as_py(), n, known)
                 if not len(found):
-                    rows.append((None, 0, 0, []))
+                    rows.append((None, 0, 0, [], []))
                     continue
                 often = counters[(found % np.uint64(COUNTERS)).astype(np.int64)]
                 # The number of the n-gram itself breaks ties, alike in every document.
                 first = np.lexsort((found, often))[: _prefix_size(len(found), percent)]
                 central = int(np.log1p(often).mean() / 45 * 65535)
-                rows.append((_digest(found), len(found), central, found[first].view(np.int64)))
-            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+                rows.append((_digest(found), len(found), central, found[first].view(np.int64), signature(found)))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.list_(pa.int64())),
+                    pa.array(columns[2], pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in columns[3:]),
                 ],
-                ["key", "digest", "n", "central", "prefix"],
+                ["key", "digest", "n", "central", "prefix", "bits"],
             )
 
     return prefixes
@@ -216,21 +253,42 @@ def _verified(n: int, percent: int):
     return verified
 
 
-def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Verify distinct pairs (a, b), once each."""
+def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Verify distinct pairs (a, b), once each, on the whole texts of their documents."""
+    pairs = stored(pairs)
+    kind = rows.schema["key"].dataType.simpleString()
+    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    named = stored(
+        asked.join(classes.select(F.col("id").alias("_id"), "digest", "first"), F.col("id") == F.col("_id"))
+        .select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), "id")
+    )
+    held = _bits(named.select(F.xxhash64("_first").alias("hash")), "hash")
+    texts = rows.select("key", "text", F.xxhash64("key").alias("hash"))
+    texts = texts.mapInArrow(_texts_of(held, n), f"key {kind}, text string, digest string")
+    # Rows equal in key and set would verify their pairs again; links are made distinct.
+    texts = stored(texts.join(named, _is_first()).select("id", "text"))
     one = texts.select(F.col("id").alias("_a"), "text")
     other = texts.select(F.col("id").alias("_b"), F.col("text").alias("text_b"))
     both = pairs.join(one, F.col("a") == F.col("_a")).join(other, F.col("b") == F.col("_b"))
-    return stored(both.select("a", "b", "text", "text_b").mapInArrow(_verified(n, percent), "a long, b long"))
+    return stored(both.select("a", "b", "text", "text_b").mapInArrow(_verified(n, percent), "a long, b long").distinct())
+
 
+def _is_first():
+    """A row is the document that stands for its class."""
+    return (F.col("digest") == F.col("_digest")) & F.col("key").eqNullSafe(F.col("_first"))
 
-def _compared(n: int, percent: int):
+
+def _compared(percent: int, nearest: bool):
     def compared(rows: pa.Table) -> pa.Table:
-        """Links between the two sides of every tile of a bundle, only where components differ."""
-        known = _Known()
-        names = ("b", "one", "other", "first", "id", "part")
+        """Pairs of different components between the two sides of every tile of a bundle that signatures don't rule out.
+
+        ``nearest``: for each of one side only the nearest of the other.
+        """
+        names = ("b", "one", "other", "first", "id", "part", "n")
         key = {name: rows.column(name).to_numpy() for name in names}
-        texts = rows.column("text").combine_chunks()
+        lists = rows.column("bits").combine_chunks()
+        ends_of_bits = np.cumsum(np.asarray(lists.value_lengths()))
+        bits = np.split(lists.flatten().to_numpy(), ends_of_bits[:-1])
         order = np.lexsort([key[name] for name in reversed(names[:4])])
         change = np.any([key[name][order][1:] != key[name][order][:-1] for name in names[:3]], axis=0)
         ends = [0, *(np.flatnonzero(change) + 1), len(order)]
@@ -239,38 +297,49 @@ def _compared(n: int, percent: int):
             at = order[lo:hi]
             split = int((~key["first"][at]).sum())
             whole, apart = at[:split], at[split:]
-            sets = {k: grams(texts[int(k)].as_py(), n, known) for k in at}
-            near = similar([sets[k] for k in apart], [sets[k] for k in whole], percent)
+            differ = differing([bits[k] for k in apart], [bits[k] for k in whole])
+            many, others = key["n"][apart][:, None], key["n"][whole][None, :]
+            total = many + others
+            near = 100 * np.minimum(many, others) >= percent * np.maximum(many, others)  # length filter
+            near &= differ <= total - 2 * -(-percent * total // (100 + percent))
             near &= key["part"][apart][:, None] != key["part"][whole][None, :]
-            i, j = np.nonzero(near)
+            if nearest and near.size:
+                best = np.where(near, differ, np.iinfo(np.int64).max).argmin(axis=1)
+                i = np.flatnonzero(near.any(axis=1))
+                j = best[i]
+            else:
+                i, j = np.nonzero(near)
             found.append((key["id"][apart[i]], key["id"][whole[j]]))
         a, b = (np.concatenate(c) if found else np.zeros(0, dtype=np.int64) for c in (zip(*found, strict=True) if found else ((), ())))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
     return compared
 
 
-def similar(xs: list[np.ndarray], ys: list[np.ndarray], percent: int) -> np.ndarray:
-    """Whether each of some sorted sets has similarity of ``percent`` or more with each of others."""
-    sizes_x, sizes_y = (np.array([len(s) for s in side], dtype=np.int64) for side in (xs, ys))
-    shared = np.zeros((len(xs), len(ys)), dtype=np.int64)
-    if len(xs) and len(ys):
-        flat_x, flat_y = np.concatenate(xs), np.concatenate(ys)
-        # Only elements of both sides count; they are taken in slices, which bounds the two matrices.
-        both = np.intersect1d(flat_x, flat_y)
-        row_x, row_y = np.repeat(np.arange(len(xs)), sizes_x), np.repeat(np.arange(len(ys)), sizes_y)
-        at_x, at_y = np.searchsorted(both, flat_x), np.searchsorted(both, flat_y)
-        in_x, in_y = ((at < len(both)) & (both[np.minimum(at, len(both) - 1)] == flat) if len(both) else np.zeros(len(flat), dtype=bool) for at, flat in ((at_x, flat_x), (at_y, flat_y)))
-        for start in range(0, len(both), 4096):
-            width = min(4096, len(both) - start)
-            sides = []
-            for rows, at, held, size in ((row_x, at_x, in_x, len(xs)), (row_y, at_y, in_y, len(ys))):
-                some = held & (at >= start) & (at < start + width)
-                side = np.zeros((size, width), dtype=np.float32)
-                side[rows[some], at[some] - start] = 1
-                sides.append(side)
-            shared += np.rint(sides[0] @ sides[1].T).astype(np.int64)
-    return (shared > 0) & (100 * shared >= percent * (sizes_x[:, None] + sizes_y[None, :] - shared))
+def _apart(met: DataFrame, parts: DataFrame, signed: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Candidates (a, b) among the documents of each leader's group that are in different components.
+
+    One side are the documents apart from the leader's component, the other side is the whole group, both cut
+    into tiles, so no task gets a group whole and equal components aren't compared with themselves.
+    """
+    own = met.join(parts, F.col("id") == F.col("_vertex"), "left").select("id", "b", F.coalesce("_part", "id").alias("part"))
+    led = parts.select(F.col("_vertex").alias("_v"), F.col("_part").alias("_led"))
+    own = own.join(led, F.col("b") == F.col("_v"), "left").withColumn("apart", F.col("part") != F.coalesce("_led", "b"))
+    own = stored(own.select("id", "b", "part", "apart"))
+    groups = own.groupBy("b").agg(F.count(F.lit(1)).alias("_n"), F.count_if("apart").alias("_apart")).filter("_apart > 0")
+    groups = groups.select(
+        F.col("b").alias("_b"), F.ceil(F.col("_n") / TILE).cast("int").alias("_tiles"), F.ceil(F.col("_apart") / TILE).cast("int").alias("_apart_tiles")
+    )
+    place = lambda tiles: F.pmod(F.xxhash64("id"), F.col(tiles)).cast("int")
+    every = lambda tiles: F.sequence(F.lit(0), F.col(tiles) - 1)
+    one = F.transform(every("_tiles"), lambda t: F.struct(place("_apart_tiles").alias("one"), t.alias("other"), F.lit(True).alias("first")))
+    other = F.transform(every("_apart_tiles"), lambda t: F.struct(t.alias("one"), place("_tiles").alias("other"), F.lit(False).alias("first")))
+    tiles = F.when(F.col("apart"), F.concat(one, other)).otherwise(other)
+    tiled = own.join(groups, F.col("b") == F.col("_b")).withColumn("_tile", F.explode(tiles)).select("id", "b", "part", "_tile.*")
+    bundles = max(1, -(-own.count() // BUNDLE))
+    wide = tiled.join(signed.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
+    wide = wide.withColumn("bundle", F.pmod(F.xxhash64("b", "one", "other"), F.lit(bundles)))
+    return wide.groupBy("bundle").applyInArrow(_compared(percent, nearest), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -294,62 +363,53 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         .withColumn("id", F.monotonically_increasing_id())
     )
     named = classes.select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), "id")
-    is_first = (F.col("digest") == F.col("_digest")) & F.col("key").eqNullSafe(F.col("_first"))
-    prefixes = rows.mapInArrow(_prefixes(n, percent, counters), f"key {kind}, digest string, n long, central long, prefix array<long>")
-    prefixes = stored(prefixes.filter("n > 0").join(named, is_first).select("id", "n", "central", "prefix"))
+    prefixes = rows.mapInArrow(
+        _prefixes(n, percent, counters), f"key {kind}, digest string, n long, central long, prefix array<long>, bits array<long>"
+    )
+    prefixes = stored(prefixes.filter("n > 0").join(named, _is_first()).select("id", "n", "central", "prefix", "bits"))
 
     # Most prefix n-grams occur in one document only; the rest is what has to be joined.
     often = prefixes.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    grams_held = _bits(often.select("gram"), "gram")
-    shared = stored(prefixes.mapInArrow(_shared_grams(grams_held), "gram long, id long, n long, central long, place long").distinct())
-
-    # First step: every document with the most central one that it shares a prefix n-gram with.
+    held = _bits(often.select("gram"), "gram")
+    shared = prefixes.select("id", "n", "central", "prefix").mapInArrow(
+        _shared_grams(held), "gram long, id long, n long, central long, place long"
+    )
+    shared = stored(shared.distinct())
     rank = F.expr("shiftleft(central, 46) + pmod(xxhash64(id), shiftleft(1L, 46))")
-    ranked = shared.withColumn("rank", rank)
-    leaders = ranked.groupBy("gram").agg(
+    leaders = shared.withColumn("rank", rank).groupBy("gram").agg(
         F.max_by("id", "rank").alias("b"), F.max_by("n", "rank").alias("n_b"), F.max_by("place", "rank").alias("place_b"),
         F.max("rank").alias("rank_b"), F.min("id").alias("_least"), F.max("id").alias("_most"),
     )
-    leaders = stored(leaders.filter("_least <> _most").withColumnRenamed("gram", "_gram"))
-    asked = shared.join(leaders.select("_gram"), F.col("gram") == F.col("_gram")).select("id").distinct()
-    wanted = asked.join(classes.select(F.col("id").alias("_id"), "digest", "first"), F.col("id") == F.col("_id")).drop("_id")
-    wanted = stored(wanted)
-    key_hash = F.xxhash64("key")
-    keys_held = _bits(wanted.select(F.xxhash64("first").alias("hash")), "hash")
-    named = wanted.select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), "id")
-    texts = (
-        rows.select("key", "text", key_hash.alias("hash")).mapInArrow(_texts_of(keys_held, n), f"key {kind}, text string, digest string")
-        .join(named, is_first).select("id", "text")
+    leaders = leaders.filter("_least <> _most").select(F.col("gram").alias("_gram"), "b", "n_b", "place_b", "rank_b")
+    led = shared.join(leaders, F.col("gram") == F.col("_gram"))
+    led = led.withColumn("could", F.expr(_could_link(percent)) & (F.col("id") != F.col("b")))
+    # Each document once for every leader that it shares a prefix n-gram with.
+    met = stored(led.groupBy("id", "b").agg(F.max("could").alias("could"), F.max("rank_b").alias("rank_b"), F.max("n").alias("n"), F.max("n_b").alias("n_b")))
+    signed = prefixes.select("id", "n", "bits").dropDuplicates(["id"])
+
+    # First step: every document with the nearest leader, by signature.
+    bits_of = lambda name: prefixes.select(F.col("id").alias(f"_{name}"), F.col("bits").alias(f"bits_{name}"))
+    folded = lambda bits, other: F.when(
+        F.size(bits) > F.size(other),
+        F.zip_with(F.slice(bits, 1, F.size(other)), F.slice(bits, F.size(other) + 1, F.size(other)), lambda x, y: x.bitwiseXOR(y)),
+    ).otherwise(F.col(bits))
+    differ = F.aggregate(
+        F.zip_with(folded("bits_id", "bits_b"), folded("bits_b", "bits_id"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, d: total + d
     )
-    texts = stored(texts)
     stars = (
-        shared.join(leaders, F.col("gram") == F.col("_gram")).filter("id <> b").filter(_could_link(percent))
-        .groupBy(F.col("id").alias("a")).agg(F.max_by("b", "rank_b").alias("b"))
+        met.filter("could").join(bits_of("id"), F.col("id") == F.col("_id")).join(bits_of("b"), F.col("b") == F.col("_b"))
+        .withColumn("differ", differ)
+        .filter(f"differ <= n + n_b - 2 * ceil({percent} * (n + n_b) / {100 + percent}.0D)")
+        .groupBy(F.col("id").alias("a")).agg(F.min(F.struct("differ", -F.col("rank_b"), "b")).alias("_best"))
+        .select("a", F.col("_best.b").alias("b"))
     )
-    links = _links(stars, texts, n, percent)
-    first_parts = components(links)
-
-    # Second step: documents that share a prefix n-gram, and are still apart, meet in the group of its leader.
-    parts = stored(first_parts.withColumnRenamed("vertex", "_vertex").withColumnRenamed("component", "_part"))
-    met = shared.join(leaders.select("_gram", "b"), F.col("gram") == F.col("_gram")).select("id", "b").distinct()
-    met = met.join(parts, F.col("id") == F.col("_vertex"), "left").select("id", "b", F.coalesce("_part", "id").alias("part"))
-    led = parts.select(F.col("_vertex").alias("_v"), F.col("_part").alias("_led"))
-    met = stored(
-        met.join(led, F.col("b") == F.col("_v"), "left").withColumn("apart", F.col("part") != F.coalesce("_led", "b")).select("id", "b", "part", "apart")
-    )
-    groups = met.groupBy("b").agg(F.count(F.lit(1)).alias("_n"), F.count_if("apart").alias("_apart")).filter("_apart > 0")
-    groups = groups.select(F.col("b").alias("_b"), F.ceil(F.col("_n") / TILE).cast("int").alias("_tiles"), F.ceil(F.col("_apart") / TILE).cast("int").alias("_apart_tiles"))
-    place = lambda tiles: F.pmod(F.xxhash64("id"), F.col(tiles)).cast("int")
-    every = lambda tiles: F.sequence(F.lit(0), F.col(tiles) - 1)
-    # One side: those apart from the leader's component.  Other side: the whole group.
-    one = F.when(F.col("apart"), F.transform(every("_tiles"), lambda t: F.struct(place("_apart_tiles").alias("one"), t.alias("other"), F.lit(True).alias("first"))))
-    other = F.transform(every("_apart_tiles"), lambda t: F.struct(t.alias("one"), place("_tiles").alias("other"), F.lit(False).alias("first")))
-    tiled = met.join(groups, F.col("b") == F.col("_b")).withColumn("_tile", F.explode(F.concat(F.coalesce(one, F.array_except(other, other)), other)))
-    tiled = tiled.select("id", "b", "part", "_tile.*").withColumn("bundle", F.xxhash64("b", "one", "other"))
-    bundles = max(1, -(-met.count() // BUNDLE))
-    wide = tiled.withColumn("bundle", F.pmod("bundle", F.lit(bundles))).join(texts.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
-    more = stored(wide.groupBy("bundle").applyInArrow(_compared(n, percent), "a long, b long").distinct())
-    final = components(links.unionByName(more)).withColumnRenamed("vertex", "_vertex")
+    links = _links(stars, rows, classes, n, percent)
+    # Second step: those that are still apart; first the nearest for each, then all that are left.
+    for nearest in (True, False):
+        parts = stored(components(links).withColumnRenamed("vertex", "_vertex").withColumnRenamed("component", "_part"))
+        more = _links(_apart(met.select("id", "b"), parts, signed, percent, nearest), rows, classes, n, percent)
+        links = links.unionByName(more)
+    final = components(links).withColumnRenamed("vertex", "_vertex")
 
     grouped = classes.join(final, F.col("id") == F.col("_vertex"), "left").select("digest", "first", F.coalesce("component", "id").alias("_c"))
     firsts = grouped.groupBy("_c").agg(F.min("first").alias("_component")).withColumnRenamed("_c", "_c2")
