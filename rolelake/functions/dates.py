@@ -26,9 +26,6 @@ _ABSOLUTE_FORMS = (
     ("d MMM yyyy", r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$"),
 )
 
-# Longest span that still lands after year 1, in hours.
-_MAX_HOURS = 17_000_000
-
 
 def timestamp_lit(as_of: datetime | str | Column) -> Column:
     """``as_of`` as a TIMESTAMP_NTZ column."""
@@ -48,13 +45,15 @@ def ago(as_of: datetime | str | Column, days: int | Column = 0, hours: int | Col
 def parse_relative_date(c: Column | str, as_of: datetime | str | Column) -> Column:
     """'today', 'yesterday', '3 days ago' and the like; null when nothing fits."""
     units = "|".join(unit for unit, _ in _RELATIVE_UNITS)
+    # A longer span has no date.
+    since_year_1 = F.timestamp_diff("HOUR", F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"), timestamp_lit(as_of))
 
     def counted(text: Column) -> Column:
         rule = F
         for unit, unit_hours in _RELATIVE_UNITS:
             digits = F.regexp_extract(text, rf"([0-9]+){WS}*{unit}", 1)
             span = digits.try_cast("int").cast("bigint") * unit_hours
-            rule = rule.when(digits != "", F.when(span <= _MAX_HOURS, span.cast("int")))
+            rule = rule.when(digits != "", F.when(span <= since_year_1, span.cast("int")))
         return ago(as_of, hours=rule)
 
     def relative(text: Column) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import Column, functions as F
 from rolelake.functions.constants import constant_map
 from rolelake.functions.text import _col, strip_ws
 
-_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Some old names count without the semicolon, too; the longest of them that fits is taken.
+_BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+_REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{_BARE_NAMES}))"
 # Tried before the whole table is searched.
 _COMMON_REFERENCES = ("amp", "nbsp", "quot", "lt", "gt", "apos")
 _LARGEST_CODE_POINT = 0x10FFFF
@@ -17,8 +19,7 @@ _LARGEST_CODE_POINT = 0x10FFFF
 
 def _named_references() -> Column:
     # The standard library's table of named references.
-    named = {name: text for name, text in html5.items() if name.endswith(";")}
-    return constant_map(named, "string")
+    return constant_map(dict(html5), "string")
 
 
 def _code_point(n: Column) -> Column:
@@ -28,15 +29,15 @@ def _code_point(n: Column) -> Column:
 
 
 def _decode_reference(ref: Column) -> Column:
-    digits = F.regexp_extract(ref, r"^&#([0-9]+);$", 1)
-    hex_digits = F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);$", 1)
+    digits = F.regexp_extract(ref, r"^&#([0-9]+);?$", 1)
+    hex_digits = F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
     common = F
     for name in _COMMON_REFERENCES:
         common = common.when(ref == f"&{name};", F.lit(html5[f"{name};"]))
     return (
         common.when(digits != "", _code_point(digits.try_cast("bigint")))
         .when(hex_digits != "", _code_point(F.conv(hex_digits, 16, 10).try_cast("bigint")))
-        .otherwise(F.coalesce(F.try_element_at(_named_references(), F.substring(ref, 2, 40)), ref))
+        .otherwise(F.coalesce(F.try_element_at(_named_references(), F.substring(ref, F.lit(2), F.length(ref))), ref))
     )
 
 

@@ -5,19 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rolelake.operators.joins import rows_already_in
 
 
+def _tie_break(df: DataFrame) -> Column:
+    """Makes a choice among rows with equal ``seq`` that is the same in every run."""
+    return F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
 def first_wins(df: DataFrame, key: str | Sequence[str], seq: str) -> DataFrame:
-    """The row with the lowest ``seq`` per key.
+    """The row with the lowest ``seq`` per key; of equals always the same one.
 
     Spark applies a row-number limit before the shuffle too, so of a hot key only one row
     per map task travels.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    window = Window.partitionBy(*keys).orderBy(F.col(seq).asc_nulls_last())
+    window = Window.partitionBy(*keys).orderBy(F.col(seq).asc_nulls_last(), _tie_break(df))
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
@@ -31,7 +36,7 @@ def last_wins(
     keys = [key] if isinstance(key, str) else list(key)
     carried = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*carried), F.col(seq)).alias("_row"), F.min(seq).alias(position)
+        F.max_by(F.struct(*carried), F.struct(F.col(seq), _tie_break(df))).alias("_row"), F.min(seq).alias(position)
     )
     return best.select(
         *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns], position
@@ -46,8 +51,8 @@ def union_sources(sources: Sequence[DataFrame]) -> DataFrame:
 def union_with_fallback(methods: Sequence[DataFrame], group: str | None) -> DataFrame:
     """Per group, the rows of the first method that has any; without a group, overall.
 
-    Written as anti joins against the groups that earlier methods cover, so the rows of a
-    hot group are never brought together.
+    Written as anti joins against the groups that earlier methods cover.  A hot group's rows may
+    meet in one partition of a join, which the engine's skew handling splits.
     """
     if group is None:
         kept = [methods[0]]
@@ -80,14 +85,16 @@ def insert_if_absent(batch: DataFrame, existing: DataFrame, key: str, seq: str)
 
 
 def merge_update(
-    base: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]
+    base: DataFrame, updates: DataFrame, key: str, columns: Sequence[str], seq: str | None = None
 ) -> DataFrame:
     """Left update join: ``columns`` take the update's value where there is one.
 
-    Of several updates for one key any one is taken; no base row is ever repeated.
+    Of several updates for one key the one with the highest ``seq`` is taken, as if they were applied
+    in turn; without ``seq``, or among equals, always the same one.  No base row is ever repeated.
     """
-    changes = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    changes = changes.dropDuplicates([key])
+    order = F.struct(*([seq] if seq else []), _tie_break(updates).alias("_tie"))
+    last = updates.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_last"))
+    changes = last.select(key, *[F.col("_last")[c].alias(f"_new_{c}") for c in columns])
     joined = base.join(changes, key, "left")
     return joined.select(
         *[

@@ -3,7 +3,7 @@
 A keyword matches where one of its variants stands at word boundaries.  The whole
 dictionary becomes one regular expression with shared prefixes, so a text is read once
 however many keywords there are, and labelling is a narrow projection: no explode, no
-shuffle, no Python.  Dictionaries that are too large to inline go through
+shuffle, no Python.  Dictionaries that are kept in tables, too large for the driver, go through
 :mod:`rolelake.operators.matching_join`, which gives the same results.
 """
 
@@ -23,9 +23,6 @@ from rolelake.dictionaries import (
 from rolelake.functions.constants import constant_map
 from rolelake.functions.text import WORD, _col, strip_ws
 
-# Above this many variants the regular expression would get unwieldy.
-MAX_INLINE_VARIANTS = 2_000
-
 DEFAULT_TEXT_COLUMNS = ("job_title", "description_snippet", "full_description")
 
 # Letters that equal an ASCII letter when case is ignored, but do not lower to it.
@@ -146,11 +143,6 @@ def combined_text(*columns: Column | str) -> Column:
 
 def match_keywords(text: Column | str, dictionary: KeywordDictionary) -> Column:
     """Sorted distinct keywords found in the text; an empty array where none is."""
-    if dictionary.n_variants > MAX_INLINE_VARIANTS:
-        raise ValueError(
-            f"{dictionary.n_variants} variants are too many to inline; "
-            "use rolelake.operators.matching_join.keywords_by_join"
-        )
     if dictionary.n_variants == 0:
         return _no_keywords()
     hits = F.array_distinct(

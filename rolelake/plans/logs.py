@@ -63,14 +63,14 @@ def collapse_run_events(events: DataFrame, run: str = "run_id", at: str = "event
     """One row per run from its start and end events.
 
     The first event gives the start; the latest event gives everything else, so a run
-    that never ended stays 'partial'.
+    that never ended stays 'partial'.  Of events with equal times the end is the later one.
     """
     carried = [c for c in events.columns if c not in (run, at)]
     return (
         events.groupBy(run)
         .agg(
             F.min(at).alias("scrape_start"),
-            F.max_by(F.struct(at, *carried), F.col(at)).alias("_last"),
+            F.max_by(F.struct(at, *carried), F.struct(F.col(at), F.col("status") != "partial", "status")).alias("_last"),
         )
         .select(
             run,
@@ -91,20 +91,22 @@ def notification_log_rows(
 ) -> DataFrame:
     """Log of one batch with all its ids: one row, or several for a very large batch.
 
-    ``jobs_count`` is the size of the whole batch in every row.  Ids are dealt to rows by
-    hash, so that no row, and no task, has to hold an unlimited list.
+    ``jobs_count`` is the number of ids in the row, so counts add up to the batch, whose size is in the
+    subject.  Ids are dealt to rows by hash, so that no row, and no task, has to hold an unlimited list.
+    An empty batch gives one row without ids.
     """
     total = jobs.agg(F.count("*")).scalar()
     rows = F.greatest(F.ceil(total / F.lit(ids_per_row)), F.lit(1))
-    dealt = jobs.select("id", total.alias("jobs_count"), rows.alias("_rows"))
-    listed = dealt.groupBy(
-        F.pmod(F.xxhash64("id"), F.col("_rows")).alias("_part"), "jobs_count"
-    ).agg(F.sort_array(F.collect_list("id")).alias("job_ids"))
+    # A row without id stands for the batch, so that one without postings is logged, too.
+    batch = jobs.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("_part"), F.lit(None).cast("bigint").alias("id"))
+    dealt = jobs.select(F.pmod(F.xxhash64("id"), rows).cast("bigint").alias("_part"), F.col("id").cast("bigint").alias("id"))
+    listed = dealt.unionByName(batch).groupBy("_part").agg(F.sort_array(F.collect_list("id")).alias("job_ids"))
     return _conform(
         listed.withColumns(
             {
                 "recipient": F.lit(recipient),
-                "subject": F.concat(F.col("jobs_count").cast("string"), F.lit(" New Job Matches")),
+                "subject": F.concat(total.cast("string"), F.lit(" New Job Matches")),
+                "jobs_count": F.size("job_ids"),
                 "sent_at": timestamp_lit(as_of),
                 "status": F.lit(status),
                 "error_message": F.lit(error_message),

@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from html.parser import HTMLParser
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,6 +33,7 @@ from rolelake.functions.text import (
     truncate_text,
 )
 from rolelake.functions.urls import make_absolute_url
+from rolelake.shipping import ship
 
 Step = tuple[str, str | None]  # tag name and, if wanted, a class
 
@@ -116,6 +118,12 @@ class _Node:
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
+    def ancestors(self):
+        node = self.parent
+        while node is not None:
+            yield node
+            node = node.parent
+
     def walk(self):
         """Elements below this one, in page order."""
         stack = [iter(self.children)]
@@ -253,6 +261,12 @@ def _link_cards(root: _Node, url: str, rules: LinkRules):
         (hits for p in rules.patterns if (hits := [n for n in links if p in n.attrs["href"]])), []
     )
     blocks, cards, seen, numbers, lengths = [], [], set(), {}, {}
+
+    def length_of(node: _Node) -> int:
+        if id(node) not in lengths:
+            lengths[id(node)] = len(node.text(" "))
+        return lengths[id(node)]
+
     for link in chosen:
         href = link.attrs["href"]
         if href in seen or (rules.skip_own_url and href == url):
@@ -260,16 +274,10 @@ def _link_cards(root: _Node, url: str, rules: LinkRules):
         seen.add(href)
         title = link.text()
         enough = _clean_length(title) + rules.margin
-        block = link.parent
-        for _ in range(rules.climb):
-            if block is None:
-                break
-            if block.tag in rules.block_tags:
-                if id(block) not in lengths:
-                    lengths[id(block)] = len(block.text(" "))
-                if lengths[id(block)] > enough:
-                    break
-            block = block.parent
+        # The nearest ancestor that fits; failing that, the one at the end of the climb.
+        above = list(islice(link.ancestors(), rules.climb + 1))
+        fitting = (n for n in above[: rules.climb] if n.tag in rules.block_tags and length_of(n) > enough)
+        block = next(fitting, above[rules.climb] if len(above) > rules.climb else None)
         if block is not None and id(block) not in numbers:
             company = _link_to(block, rules.company_href) if rules.company_href else None
             numbers[id(block)] = len(blocks)
@@ -323,6 +331,7 @@ def raw_cards(
                 }
             )
 
+    ship(pages.sparkSession)
     slim = pages.select(key, url, html)
     key_type = slim.schema[key].dataType.simpleString()
     return slim.mapInPandas(parse_batches, f"{key} {key_type}, {url} string, {_RAW_FIELDS}")
