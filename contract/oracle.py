@@ -445,6 +445,8 @@ SELECT keyword, count(*) AS frequency, count(DISTINCT source) AS sources_count,
   {stamp('max(scrape_timestamp)')} AS last_seen
 FROM pairs WHERE scrape_timestamp > {AS_OF} - INTERVAL 30 DAY GROUP BY keyword"""
 
+ORACLE["trending_keywords_by_name"] = ORACLE["trending_keywords"]
+
 ORACLE["company_stats"] = f"""WITH {POSTINGS}
 SELECT company, count(*) AS total_postings, count(CASE WHEN n > 0 THEN 1 END) AS relevant_postings,
   {stamp('min(scrape_timestamp)')} AS first_seen, {stamp('max(scrape_timestamp)')} AS last_seen,

@@ -464,6 +464,14 @@ def trending_keywords(spark, sf_dir):
     )
 
 
+@register
+def trending_keywords_by_name(spark, sf_dir):
+    views.register_views(postings(spark, sf_dir), AS_OF)
+    return spark.sql("SELECT * FROM trending_keywords").withColumn(
+        "last_seen", stamp("last_seen")
+    )
+
+
 @register
 def company_stats(spark, sf_dir):
     return views.company_stats(postings(spark, sf_dir), AS_OF).withColumns(

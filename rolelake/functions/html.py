@@ -12,6 +12,8 @@ from rolelake.functions.text import _col, strip_ws
 # Some old names count without the semicolon, too; the longest of them that fits is taken.
 _BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 _REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{_BARE_NAMES}))"
+# A whole tag: a quoted value after "=" may hold ">".
+TAG = r"""<[/a-zA-Z!?](?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+>"""
 # Tried before the whole table is searched.
 _COMMON_REFERENCES = ("amp", "nbsp", "quot", "lt", "gt", "apos")
 _LARGEST_CODE_POINT = 0x10FFFF
@@ -59,5 +61,5 @@ def decode_references(c: Column | str) -> Column:
 
 def visible_text(c: Column | str) -> Column:
     """Text of a fragment: each text node stripped, then all joined without a gap."""
-    nodes = F.split(_col(c), r"<[^>]*>", -1)
+    nodes = F.split(_col(c), TAG, -1)
     return F.array_join(F.transform(nodes, lambda node: strip_ws(decode_references(node))), "")

@@ -268,3 +268,18 @@ def match_rate(labelled: DataFrame, count: str = "keyword_count") -> DataFrame:
     return labelled.agg(
         _count_if(F.col(count) > 0).alias("matched"), F.count("*").alias("processed")
     )
+
+
+# -- by name ----------------------------------------------------------------------------
+
+
+def register_views(jobs: DataFrame, as_of: datetime) -> None:
+    """Temporary views of the analyses, under the names that SQL users know, in the session of ``jobs``."""
+    named = {
+        "recent_matched_jobs": recent_matched(jobs, as_of),
+        "daily_job_stats": daily_stats(jobs, as_of),
+        "trending_keywords": trending_keywords(jobs, as_of),
+        "company_hiring_stats": company_stats(jobs, as_of),
+    }
+    for name, view in named.items():
+        view.createOrReplaceTempView(name)

@@ -6,16 +6,24 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rolelake.functions.html import decode_references, visible_text
+from rolelake.functions.html import TAG, decode_references, visible_text
 from rolelake.functions.text import clean_text, first_filled
 from rolelake.functions.urls import make_absolute_url
 
 _NOT_CONTENT = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 )
-_ANCHOR_START = r"(?i)<a(?=[\s>])"
-_HREF = r"""(?is)^[^>]*?\shref\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
-_INNER = r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)"
+_TOKEN = rf"(?s){TAG}|[^<]+|<"
+_IS_ANCHOR = r"(?is)^<a(?=[\s/>]).*>$"
+# Stands before every anchor's tag; a character that no HTML text may hold.
+_MARK = "\u0001"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+# Attributes are read in order, and the first href counts.
+_HREF = (
+    rf"""(?is)^<a(?:[\s/]+(?!href[\s=/>])[^\s=/>]+(?:\s*=\s*{_VALUE})?)*+[\s/]+href\s*=\s*"""
+    r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+)
+_INNER = rf"(?is)^{TAG}(.*?)(?:</a\s*>|\z)"
 
 
 def _href(anchor: Column) -> Column:
@@ -29,8 +37,11 @@ def anchors(html: Column | str) -> Column:
     ``body`` runs from inside the start tag to the next anchor; comments, scripts and
     style sheets do not count.
     """
-    content = F.regexp_replace(F.coalesce(html, F.lit("")), _NOT_CONTENT, "")
-    pieces = F.split(content, _ANCHOR_START, -1)
+    content = F.regexp_replace(F.translate(F.coalesce(html, F.lit("")), _MARK, " "), _NOT_CONTENT, "")
+    # Whole tags are told apart first, so neither ">" nor "<a" in an attribute's value misleads.
+    tokens = F.regexp_extract_all(content, F.lit(_TOKEN), F.lit(0))
+    marked = F.transform(tokens, lambda t: F.when(t.rlike(_IS_ANCHOR), F.concat(F.lit(_MARK), t)).otherwise(t))
+    pieces = F.split(F.array_join(marked, ""), _MARK, -1)
     after_first = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
     return F.transform(
         after_first,

@@ -206,3 +206,14 @@ def test_labelling_needs_no_shuffle(spark):
     )
     plan = matching.with_keywords(df, BUILT_IN)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "EvalPython" not in plan and "InPandas" not in plan
+
+
+def test_dictionary_of_thousands_of_variants(spark):
+    from pyspark.sql import functions as F
+    from rolelake.dictionaries import KeywordDictionary
+    from rolelake.operators.matching import match_keywords
+
+    words = KeywordDictionary.of([f"skill{i}" for i in range(5000)], {}, {}, {}, {})
+    texts = spark.createDataFrame([("needs skill7 and Skill4999, not skill5000",), (None,)], "text string")
+    got = texts.select(match_keywords(F.coalesce("text", F.lit("")), words).alias("found")).collect()
+    assert [r["found"] for r in got] == [["skill4999", "skill7"], []]

@@ -140,3 +140,47 @@ def test_links_sharing_a_block_do_not_repeat_its_text(spark):
     assert len(raw["cards"]) == 50 and len(raw["blocks"]) == 1
     got = cards.page_cards(pages(spark, html), cards.FUZU_LINKS, AS_OF)
     assert got.where("salary_text = 'Ksh 9'").count() == 50
+
+
+HARD_PAGE = """<p title="<a href='/job/no'>x</a>">t</p><div><a href="/job/a>b">First</a></div> <a title="x href=/job/fake" href="/job/real">Sec <b title="q>r">ond</b></a>
+<a title="a>b" href='/job/c'>Third &#000000065; Caf&eacute</a><a class=x href=/job/d?x=1&amp;y=2>Fourth</a><A HREF = "/job/e" href="/job/f">Fifth</A>
+<script>var s="<a href='/job/s'>no</a>";</script><a data-href="/job/z" href="/job/y">Sixth</a><!-- <a href="/job/h">hidden</a>"""
+
+
+def test_links_and_cards_agree_on_hard_markup(spark):
+    from rolelake.sources.links import page_links
+
+    pages = spark.createDataFrame([(1, "http://x.y/", HARD_PAGE)], "page_id long, url string, html string")
+    got = [(r["href"], r["job_title"]) for r in page_links(pages, ["/job/"]).orderBy("pos").collect()]
+    assert got == [
+        ("/job/a>b", "First"), ("/job/real", "Second"), ("/job/c", "Third A Café"), ("/job/d?x=1&y=2", "Fourth"), ("/job/e", "Fifth"), ("/job/y", "Sixth")
+    ]
+    raw = raw_hrefs(pages)
+    assert raw == [href for href, _ in got]
+
+
+def raw_hrefs(pages):
+    from rolelake.sources.cards import LinkRules, raw_cards
+
+    rules = LinkRules(source="s", base_url="http://x.y", patterns=["/job/"], climb=3, min_title_length=1, skip_own_url=True, block_tags=("div",), margin=5)
+    return [c["href"] for c in raw_cards(pages, rules).first()["cards"]]
+
+
+def test_cards_parse_in_a_session_started_elsewhere(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from rolelake.sources.cards import LinkRules, raw_cards
+rules = LinkRules(source="s", base_url="http://x.y", patterns=["/job/"], climb=3, min_title_length=1, skip_own_url=True, block_tags=("div",), margin=5)
+pages = spark.createDataFrame([(1, "http://x.y/", "<a href=/job/1>Job</a>")], "page_id long, url string, html string")
+print("CARDS", len(raw_cards(pages, rules).first()["cards"]))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "CARDS 1" in done.stdout, done.stderr[-1500:]

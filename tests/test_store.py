@@ -128,13 +128,21 @@ def test_large_notification_is_split_without_loss(spark):
     rows = logs.notification_log_rows(jobs, "a@b.c", AS_OF, ids_per_row=100).collect()
     assert 2 <= len(rows) <= 10
     assert sorted(i for r in rows for i in r["job_ids"]) == list(range(1000))
-    assert {r["jobs_count"] for r in rows} == {1000}
-    assert logs.notification_log_rows(jobs.where("id < 0"), "a@b.c", AS_OF).count() == 0
+    assert all(r["jobs_count"] == len(r["job_ids"]) for r in rows) and {r["subject"] for r in rows} == {"1000 New Job Matches"}
+    empty = logs.notification_log_rows(jobs.where("id < 0"), "a@b.c", AS_OF).collect()
+    assert [(r["jobs_count"], r["job_ids"]) for r in empty] == [(0, [])]
     alerts = logs.job_alert_rows(jobs.where("id < 2"), "a@b.c", AS_OF).orderBy("subject").collect()
     assert [(r["subject"], r["jobs_count"], r["job_ids"]) for r in alerts] == [
         ("Job alert: job 0", 1, [0]), ("Job alert: job 1", 1, [1])]
 
 
+def test_run_events_at_one_time_end_the_run(spark):
+    at = datetime(2024, 1, 1, 1)
+    for rows in ([(1, at, "partial"), (1, at, "success")], [(1, at, "success"), (1, at, "partial")]):
+        got = logs.collapse_run_events(spark.createDataFrame(rows, "run_id int, event_time timestamp_ntz, status string")).first()
+        assert (got["status"], got["scrape_end"]) == ("success", at)
+
+
 def test_run_events_collapse(spark):
     rows = [
         (1, datetime(2024, 1, 1, 1), "fuzu", "partial", None),

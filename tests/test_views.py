@@ -112,3 +112,11 @@ def test_empty_inputs(table):
     assert tuple(views.match_rate(none, "keyword_match_count").first()) == (0, 0)
     assert views.digest_rank(none).count() == 0
     assert views.trending_keywords(none, AS_OF).count() == 0
+
+
+def test_views_by_name(spark, table):
+    views.register_views(table, AS_OF)
+    direct = views.trending_keywords(table, AS_OF)
+    assert spark.sql("SELECT * FROM trending_keywords").collect() == direct.collect()
+    for name in ("recent_matched_jobs", "daily_job_stats", "company_hiring_stats"):
+        assert spark.table(name).count() > 0
