@@ -27,9 +27,9 @@ from rolelake.shipping import ship
 
 MARK = "▁"
 #: Encodings of segments that a worker remembers in each of two generations.
-_REMEMBERED = 200_000
+_REMEMBERED = 120_000
 #: Characters that are indexed at a time; a longer segment is indexed by itself.
-_INDEXED = 500_000
+_INDEXED = 300_000
 
 
 class Pieces:
@@ -96,7 +96,7 @@ class Pieces:
         key = left * len(self.sorted) + right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= 1_000_000:
+            if len(self._fits) >= 500_000:
                 self._fits.clear()
             both = [*([self.sorted[left]] if left >= 0 else []), self.sorted[right]]
             known = self._fits[key] = self.merged("".join(both)) == both
