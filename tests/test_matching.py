@@ -137,12 +137,6 @@ def test_frequency_and_context_equal_brute_force(spark):
     assert {(r["id"], r["keyword"], r["occurrence"]): r["context"] for r in contexts} == expected_contexts
 
 
-def test_too_many_variants_are_not_inlined():
-    many = KeywordDictionary.of([f"word{i}" for i in range(2_001)], variants={})
-    with pytest.raises(ValueError, match="keywords_by_join"):
-        matching.match_keywords("t", many)
-
-
 POSTINGS = [
     (1, "Senior Data Engineer", None, "Python and SQL on AWS with Docker"),
     (2, "Gardener", "", "Loves plants"),
