@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from rolelake.operators.durable import stored
 
@@ -103,27 +103,32 @@ def _bin(time: Column, bins: int) -> Column:
     return F.floor(time / (time + 1) * bins)
 
 
-def _cut(running: DataFrame, bins: int, max_passes: int) -> tuple[Column, Column]:
-    """Where the total budget is used up: the bin, and the last entry in it that still fits; both as scalars."""
+def _cut(running: DataFrame, bins: int, max_passes: int) -> tuple[int, Row | None] | None:
+    """Where the total budget is used up: the bin, and the last entry in it that still fits.
+
+    Two rows come to the driver, whatever the size of the table.
+    """
     timed = (
         running.filter((F.col("size") > 0) & (F.col("target") > 0))
         .withColumn("_pass", F.explode(_passes(F.col("finished"), max_passes)))
         .select("size", _bin(F.col("_pass.time"), bins).alias("bin"), _entry(F.col("_pass.time"), F.col("_pass.turn")).alias("entry"))
     )
-    budget = running.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).scalar()
+    budget = running.agg(F.sum("size")).first()[0] or 0
     before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bin, so this order is short.
-    crossing = (
+    at = (
         timed.groupBy("bin").agg(F.sum("size").alias("_sum"))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
         .filter(F.col("_before") < budget)
         .agg(F.max(F.struct("bin", "_before")).alias("at"))
+        .first()["at"]
     )
-    at = crossing.select("at.bin").scalar()
+    if at is None:
+        return None
     # Only the rows of that bin, about 1/bins of all, are put in exact order.
     order = Window.partitionBy("bin").orderBy("entry").rowsBetween(Window.unboundedPreceding, 0)
-    inside = timed.filter(F.col("bin") == at).withColumn("_total", F.sum("size").over(order) + crossing.select("at._before").scalar())
-    return at, inside.filter(F.col("_total") <= budget).agg(F.max("entry").alias("e")).scalar()
+    inside = timed.filter(F.col("bin") == at["bin"]).withColumn("_total", F.sum("size").over(order) + at["_before"])
+    return at["bin"], inside.filter(F.col("_total") <= budget).agg(F.max("entry").alias("e")).first()["e"]
 
 
 def mix(
@@ -149,13 +154,17 @@ def mix(
         F.col("n.source").alias("source"), "source_size", F.coalesce("weight", F.lit(0)).alias("weight")
     )
     targets = source_targets(sized, max_passes)
-    at, cut = _cut(_running(narrow, blocks, targets), blocks, max_passes)
+    cut = _cut(_running(narrow, blocks, targets), blocks, max_passes)
 
     def is_taken(turn: int) -> Column:
+        if cut is None:
+            return F.lit(0)
         time = (F.col("source_size") * turn + F.col("finished")) / F.col("target")
-        place = _bin(time, blocks)
-        inside = F.coalesce(_entry(time, F.lit(turn)) <= cut, F.lit(False))
-        return F.when((place < at) | ((place == at) & inside), 1).otherwise(0)
+        place, (at, last) = _bin(time, blocks), cut
+        taken = place < at
+        if last is not None:
+            taken |= (place == at) & (_entry(time, F.lit(turn)) <= F.struct(*[F.lit(last[f]).alias(f) for f in last.asDict()]))
+        return F.when(taken, 1).otherwise(0)
 
     taken = reduce(Column.__add__, map(is_taken, range(max_passes)))
     passes = F.when((F.col("size") > 0) & (F.col("target") > 0), taken).otherwise(0)
