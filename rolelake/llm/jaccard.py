@@ -22,6 +22,7 @@ counters; its size is fixed, and any order gives the same result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -278,19 +279,17 @@ def _is_first():
     return (F.col("digest") == F.col("_digest")) & F.col("key").eqNullSafe(F.col("_first"))
 
 
-def _compared(percent: int, nearest: bool):
+def _compared(percent: int):
     def compared(rows: pa.Table) -> pa.Table:
         """Pairs of different components between the two sides of every tile of a bundle that signatures don't rule out.
-
-        ``nearest``: for each of one side only the nearest of the other.
         """
-        names = ("b", "one", "other", "first", "id", "part", "n")
+        names = ("b", "band", "one", "other", "first", "id", "part", "n", "guest")
         key = {name: rows.column(name).to_numpy() for name in names}
         lists = rows.column("bits").combine_chunks()
         ends_of_bits = np.cumsum(np.asarray(lists.value_lengths()))
         bits = np.split(lists.flatten().to_numpy(), ends_of_bits[:-1])
-        order = np.lexsort([key[name] for name in reversed(names[:4])])
-        change = np.any([key[name][order][1:] != key[name][order][:-1] for name in names[:3]], axis=0)
+        order = np.lexsort([key[name] for name in reversed(names[:5])])
+        change = np.any([key[name][order][1:] != key[name][order][:-1] for name in names[:4]], axis=0)
         ends = [0, *(np.flatnonzero(change) + 1), len(order)]
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for lo, hi in zip(ends[:-1], ends[1:], strict=True):
@@ -303,12 +302,8 @@ def _compared(percent: int, nearest: bool):
             near = 100 * np.minimum(many, others) >= percent * np.maximum(many, others)  # length filter
             near &= differ <= total - 2 * -(-percent * total // (100 + percent))
             near &= key["part"][apart][:, None] != key["part"][whole][None, :]
-            if nearest and near.size:
-                best = np.where(near, differ, np.iinfo(np.int64).max).argmin(axis=1)
-                i = np.flatnonzero(near.any(axis=1))
-                j = best[i]
-            else:
-                i, j = np.nonzero(near)
+            near &= ~(key["guest"][apart][:, None] & key["guest"][whole][None, :])  # they meet in the band below
+            i, j = np.nonzero(near)
             found.append((key["id"][apart[i]], key["id"][whole[j]]))
         a, b = (np.concatenate(c) if found else np.zeros(0, dtype=np.int64) for c in (zip(*found, strict=True) if found else ((), ())))
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
@@ -316,30 +311,41 @@ def _compared(percent: int, nearest: bool):
     return compared
 
 
-def _apart(met: DataFrame, parts: DataFrame, signed: DataFrame, percent: int, nearest: bool) -> DataFrame:
+def _apart(met: DataFrame, parts: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Candidates (a, b) among the documents of each leader's group that are in different components.
 
-    One side are the documents apart from the leader's component, the other side is the whole group, both cut
-    into tiles, so no task gets a group whole and equal components aren't compared with themselves.
+    A group is taken by bands of set sizes, so wide that similar sets are in the same or in neighbouring bands:
+    every document is in its own band, and a guest in the next.  In a band one side are the
+    documents apart from the leader's component, the other side is the whole band, both cut into tiles, so no
+    task gets a group whole and equal components aren't compared with themselves.
     """
-    own = met.join(parts, F.col("id") == F.col("_vertex"), "left").select("id", "b", F.coalesce("_part", "id").alias("part"))
+    own = met.join(parts, F.col("id") == F.col("_vertex"), "left").select("id", "b", "n", F.coalesce("_part", "id").alias("part"))
     led = parts.select(F.col("_vertex").alias("_v"), F.col("_part").alias("_led"))
     own = own.join(led, F.col("b") == F.col("_v"), "left").withColumn("apart", F.col("part") != F.coalesce("_led", "b"))
-    own = stored(own.select("id", "b", "part", "apart"))
-    groups = own.groupBy("b").agg(F.count(F.lit(1)).alias("_n"), F.count_if("apart").alias("_apart")).filter("_apart > 0")
-    groups = groups.select(
-        F.col("b").alias("_b"), F.ceil(F.col("_n") / TILE).cast("int").alias("_tiles"), F.ceil(F.col("_apart") / TILE).cast("int").alias("_apart_tiles")
+    # A little wider than the length filter asks, so that rounding of the logarithm can't part a pair.
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent * 1.0001)).cast("int")
+    bands = F.inline(F.array(*[F.struct((band + k).alias("band"), F.lit(k == 1).alias("guest")) for k in (0, 1)]))
+    own = stored(own.select("id", "b", "part", "apart", bands))
+    groups = own.groupBy("b", "band").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("apart").alias("_apart"), F.count_if(~F.col("guest")).alias("_own")
+    )
+    groups = groups.filter("_n > 1 and _apart > 0 and _own > 0").select(
+        F.col("b").alias("_b"), F.col("band").alias("_band"), F.ceil(F.col("_n") / TILE).cast("int").alias("_tiles"),
+        F.ceil(F.col("_apart") / TILE).cast("int").alias("_apart_tiles"),
     )
     place = lambda tiles: F.pmod(F.xxhash64("id"), F.col(tiles)).cast("int")
     every = lambda tiles: F.sequence(F.lit(0), F.col(tiles) - 1)
     one = F.transform(every("_tiles"), lambda t: F.struct(place("_apart_tiles").alias("one"), t.alias("other"), F.lit(True).alias("first")))
     other = F.transform(every("_apart_tiles"), lambda t: F.struct(t.alias("one"), place("_tiles").alias("other"), F.lit(False).alias("first")))
     tiles = F.when(F.col("apart"), F.concat(one, other)).otherwise(other)
-    tiled = own.join(groups, F.col("b") == F.col("_b")).withColumn("_tile", F.explode(tiles)).select("id", "b", "part", "_tile.*")
-    bundles = max(1, -(-own.count() // BUNDLE))
+    tiled = stored(
+        own.join(groups, (F.col("b") == F.col("_b")) & (F.col("band") == F.col("_band")))
+        .withColumn("_tile", F.explode(tiles)).select("id", "b", "band", "guest", "part", "_tile.*")
+    )
+    bundles = max(1, -(-tiled.count() // BUNDLE))
     wide = tiled.join(signed.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
-    wide = wide.withColumn("bundle", F.pmod(F.xxhash64("b", "one", "other"), F.lit(bundles)))
-    return wide.groupBy("bundle").applyInArrow(_compared(percent, nearest), "a long, b long").distinct()
+    wide = wide.withColumn("bundle", F.pmod(F.xxhash64("b", "band", "one", "other"), F.lit(bundles)))
+    return wide.groupBy("bundle").applyInArrow(_compared(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -404,11 +410,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         .select("a", F.col("_best.b").alias("b"))
     )
     links = _links(stars, rows, classes, n, percent)
-    # Second step: those that are still apart; first the nearest for each, then all that are left.
-    for nearest in (True, False):
-        parts = stored(components(links).withColumnRenamed("vertex", "_vertex").withColumnRenamed("component", "_part"))
-        more = _links(_apart(met.select("id", "b"), parts, signed, percent, nearest), rows, classes, n, percent)
-        links = links.unionByName(more)
+    # Second step: those that are still apart.
+    parts = stored(components(links).withColumnRenamed("vertex", "_vertex").withColumnRenamed("component", "_part"))
+    links = links.unionByName(_links(_apart(met.select("id", "b", "n"), parts, signed, percent), rows, classes, n, percent))
     final = components(links).withColumnRenamed("vertex", "_vertex")
 
     grouped = classes.join(final, F.col("id") == F.col("_vertex"), "left").select("digest", "first", F.coalesce("component", "id").alias("_c"))
