@@ -33,7 +33,7 @@ _LEAST_SHARE = 0.05
 #: Limits of the rejection threshold: unrelated scripts stay below the first, texts of one word can fall to the second.
 _LEAST_COSINE = (0.06, 0.2)
 #: Long texts are counted in pieces of so many letters, which bounds memory; counts add up over all pieces.
-_PIECE = 1 << 20
+_PIECE = 1 << 17
 
 
 def _codes(text: str) -> np.ndarray:
@@ -190,6 +190,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", into: str = "pred
         langs, scores, rejected = model.predict(list(texts))
         return pd.DataFrame({"lang_pred": langs, "score": scores, "rejected": rejected})
 
+    # Not to be computed again below a filter on the result.
+    predicted = predicted.asNondeterministic()
     return docs.withColumn(into, predicted(F.col(f"`{text}`").cast("string")))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from rolelake.shipping import ship
 
 MARK = "▁"
-#: Encodings of segments that a worker remembers in each of two generations.
+#: Encodings of segments that a task remembers in each of two generations.
 _REMEMBERED = 120_000
 #: Characters that are indexed at a time; a longer segment is indexed by itself.
 _INDEXED = 300_000
@@ -96,7 +96,7 @@ class Pieces:
         key = left * len(self.sorted) + right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= 500_000:
+            if len(self._fits) >= 300_000:
                 self._fits.clear()
             both = [*([self.sorted[left]] if left >= 0 else []), self.sorted[right]]
             known = self._fits[key] = self.merged("".join(both)) == both
@@ -287,6 +287,8 @@ def _encoder(model_file: str):
                 ids = np.frombuffer(b"".join(flat), dtype="<i4")
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("row"), lists], ["row", "ids"])
+        # A worker stays alive for tasks of other kinds.
+        pieces.memory = _Remembered(pieces)
 
     return encode
 
