@@ -9,7 +9,6 @@ shuffle, no Python.  Dictionaries that are kept in tables, too large for the dri
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
