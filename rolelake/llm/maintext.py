@@ -3,9 +3,10 @@
 Markup is stripped so that every block becomes a line, and an element that never holds article text
 (menus, adverts, scripts ..) becomes a stretch of empty lines.  Text lengths are summed over a sliding
 window of lines.  Where the sums rise from zero the text surges, where they fall to zero it dives;
-lines between a surge and the next dive are one passage.  Lines in an ``article`` (or, without one,
-in ``main``) make their passage part of the main text; on a page without such an element a passage is
-kept if its highest sum is large, where text of links doesn't count.
+lines between a surge and the next dive are one passage, cut where an ``article`` or ``main`` begins or ends.
+On every page a passage is kept if its highest sum is large, where text of links doesn't count.  Tags are
+a weight: sums in an article (or, outside articles, in ``main``) count up to twice, by the share of the page's text
+that the element holds, and an element with a kept passage is kept whole, so that its short passages stay.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from rolelake.shipping import ship
 
 #: Lines in a window; also the empty lines that a left-out element stands for.
 WINDOW = 3
-#: A passage outside any article is kept if its highest window sum reaches this many characters ..
+#: A passage is kept if its highest window sum reaches this many characters ..
 SURGE_CHARS = 80
-#: .. and this share of the page's highest.
+#: .. or the page's highest, and this share of the page's highest.
 SURGE_SHARE = 0.3
 
 _TOKEN = re.compile(
@@ -83,11 +84,16 @@ def _left_out(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 class _Lines:
-    """Lines of a page as (text, length without links, inside article, inside main); one pass over its tags."""
+    """Lines of a page as (text, length without links, region); one pass over its tags.
+
+    A region is the number of the outermost article around a line or, outside articles, of the outermost main.
+    """
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int | None]] = []
         self.open: list[str] = []
+        self.begun = 0  # articles and mains so far
+        self.region: dict[str, int] = {}
         self.out_at: int | None = None  # position in ``open`` of the outermost left-out element
         self.pieces: list[str] = []
         self.linked = 0
@@ -95,12 +101,13 @@ class _Lines:
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            self.lines.append((text, max(0, len(text) - self.linked), "article" in self.open, "main" in self.open))
+            region = next((self.region[t] for t in ("article", "main") if t in self.open), None)
+            self.lines.append((text, max(0, len(text) - self.linked), region))
         self.pieces, self.linked = [], 0
 
     def gap(self) -> None:
         self.flush()
-        self.lines += [("", 0, False, False)] * WINDOW
+        self.lines += [("", 0, None)] * WINDOW
 
     def say(self, text: str) -> None:
         if text and self.out_at is None:
@@ -116,7 +123,7 @@ class _Lines:
         del self.open[size:]
         if self.out_at is not None and self.out_at >= size:
             self.out_at = None
-            self.lines += [("", 0, False, False)] * WINDOW
+            self.lines += [("", 0, None)] * WINDOW
 
     def innermost(self, tag: str, until: frozenset[str]) -> int | None:
         """Position of the innermost open ``tag``, not looking past an element of ``until``."""
@@ -145,6 +152,9 @@ class _Lines:
         if self.out_at is None and _left_out(tag, attributes, "article" in self.open):
             self.gap()
             self.out_at = len(self.open)
+        if tag in ("article", "main") and tag not in self.open:
+            self.begun += 1
+            self.region[tag] = self.begun
         self.open.append(tag)
 
     def end(self, tag: str) -> None:
@@ -154,7 +164,7 @@ class _Lines:
             self.close_to(k)
 
 
-def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
+def page_lines(html: str) -> list[tuple[str, int, int | None]]:
     """Blocks of a page in order, with empty lines for the elements left out."""
     found, at = _Lines(), 0
     while (token := _TOKEN.search(html, at)) is not None:
@@ -190,21 +200,33 @@ def passages(lengths: list[int]) -> list[tuple[int, int, int]]:
     return found
 
 
+def _cut(lines: list[tuple[str, int, int | None]], a: int, b: int) -> list[tuple[int, int]]:
+    """The parts of a passage that lie in one region each; empty lines go with the part before."""
+    edges, region = [a], lines[a][2]
+    for i in range(a, b):
+        if lines[i][0] and lines[i][2] != region:
+            edges.append(i)
+            region = lines[i][2]
+    return list(zip(edges, [*edges[1:], b], strict=True))
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: its blocks joined by empty lines; empty if there is none."""
     lines = page_lines(html or "")
-    mark = 2 if any(line[2] for line in lines) else 3 if any(line[3] for line in lines) else None
-    if mark is not None:
-        # All text of the article is kept, however short.
-        shown = [len(line[0]) if line[mark] else 0 for line in lines]
-        kept = passages(shown)
-    else:
-        shown = [len(line[0]) for line in lines]
-        plain = [line[1] for line in lines]
-        every = [(a, b, max(sum(plain[i : min(i + WINDOW, b)]) for i in range(a, b))) for a, b, _ in passages(shown)]
-        top = max((p[2] for p in every), default=0)
-        kept = [p for p in every if p[2] >= min(SURGE_CHARS, top) and p[2] >= SURGE_SHARE * top and top > 0]
-    return "\n\n".join(lines[i][0] for a, b, _ in kept for i in range(a, b) if shown[i])
+    plain = [line[1] for line in lines]
+    parts = [part for a, b, _ in passages([len(line[0]) for line in lines]) for part in _cut(lines, a, b)]
+    held: dict[int | None, int] = {}
+    for _, n, region in lines:
+        held[region] = held.get(region, 0) + n
+    total = sum(held.values())
+    weight = {region: 1 + n / total if total and region is not None else 1.0 for region, n in held.items()}
+    scores = [weight[lines[a][2]] * max(sum(plain[i : min(i + WINDOW, b)]) for i in range(a, b)) for a, b in parts]
+    top = max(scores, default=0)
+    large = {p for p, x in zip(parts, scores, strict=True) if x >= min(SURGE_CHARS, top) and x >= SURGE_SHARE * top and top > 0}
+    # Text of links alone is main text only in an article or main.
+    regions = {lines[a][2] for a, _ in large} - {None} if top > 0 else set(held) - {None}
+    kept = [p for p in parts if p in large or lines[p[0]][2] in regions]
+    return "\n\n".join(lines[i][0] for a, b in kept for i in range(a, b) if lines[i][0])
 
 
 @F.pandas_udf(T.StringType())

@@ -54,3 +54,23 @@ def test_passages_lie_between_surge_and_dive():
 def test_long_page():
     page = "<article>" + "<p>some words here</p>" * 50_000 + "</article>"
     assert maintext.main_text(page).count("some words here") == 50_000
+
+
+BODY = "<h1>Title</h1>" + "".join(f"<p>Paragraph {k} of the body, with sentences long enough to make the sums of a window of lines rise.</p>" for k in range(6))
+BODY_TEXT = "\n\n".join(["Title", *(f"Paragraph {k} of the body, with sentences long enough to make the sums of a window of lines rise." for k in range(6))])
+TEASER = "<article><h3>Teaser</h3><p>Some words on another page.</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><main>{BODY}</main>{TEASER}", f"<body><main>{BODY}{TEASER}</main>", f"<body><div>{BODY}</div>{TEASER}{TEASER}",
+    f"{TEASER}<div>{BODY}</div>", f"{TEASER}<article>{BODY}</article>", f"<div>{BODY}</div>",
+])
+def test_sums_choose_the_passages_whatever_the_tags(page):
+    assert maintext.main_text(page) == BODY_TEXT
+
+
+def test_tags_are_a_weight():
+    box = f"<div><p>{'Words of a box beside the text. ' * 4}</div>"
+    assert maintext.main_text(f"<article>{BODY}</article>{'<hr><nav></nav>'}{box}") == BODY_TEXT
+    assert "a box beside" in maintext.main_text(f"<div>{BODY}</div>{'<hr><nav></nav>'}{box}")
+    assert maintext.main_text("<article><p><a href=x>only a link</a></article>") == "only a link"
