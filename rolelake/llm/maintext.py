@@ -1,7 +1,9 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped so that every block becomes a line, and an element that never holds article text
-(menus, adverts, scripts ..) becomes a stretch of empty lines.  Text lengths are summed over a sliding
+(menus, adverts, scripts ..) becomes a stretch of empty lines.  An element is left out for a class or id only if a
+whole name says so and it isn't around an article or main; for names that articles also have for parts of
+their own, most of its text must be links, too.  Text lengths are summed over a sliding
 window of lines.  Where the sums rise from zero the text surges, where they fall to zero it dives;
 lines between a surge and the next dive are one passage, cut where an ``article`` or ``main`` begins or ends.
 On every page a passage is kept if its highest sum is large, where text of links doesn't count.  Tags are
@@ -44,43 +46,79 @@ _SPACED = frozenset("br td th".split())
 #: An opening tag of the first kind ends an open element of the second, up to the nearest of the third.
 _IMPLIED_END = {"li": ("li", frozenset(("ul", "ol"))), "dt": ("dd", frozenset(("dl",))), "dd": ("dt", frozenset(("dl",)))}
 _LEFT_OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-#: Parts of class names and ids that mark what isn't article text.
+#: Names of classes and ids that mark what isn't article text, where all of a name's parts are from here or the next two sets ..
 _LEFT_OUT_NAMES = frozenset(
     "ad ads adsense advert advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies dialog discussion disqus footer gdpr menu modal nav navbar navigation newsletter notice overlay pagination paywall "
-    "popup promo promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored "
-    "subscribe subscription toolbar widget".split()
+    "cookies dialog disqus footer gdpr menu modal nav navbar navigation newsletter overlay pagination popup promo sharing sidebar "
+    "signup skip sponsor sponsored subscribe toolbar".split()
+)
+#: .. names that articles have for their own parts, too: left out if most of the element's text is links ..
+_DOUBTFUL_NAMES = frozenset(
+    "discussion notice paywall promotion recommended related replies reply respond share social subscription widget".split()
+)
+#: .. and parts that say nothing by themselves.
+_NEUTRAL_NAMES = frozenset(
+    "area bar block bottom box button buttons c container global inner item items js l left link links list main outer panel primary "
+    "right secondary section site slot top u unit wp wrap wrapper".split()
 )
 #: These mark page parts only outside an article; in one they hold its title.
 _PAGE_HEADS = frozenset("header masthead".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def _marks(attributes: str) -> tuple[set[str], bool]:
-    """Lower-case parts of class and id, and whether role or visibility leave the element out."""
-    parts: set[str] = set()
-    out = False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), unescape("".join(values))
-        if name in ("class", "id"):
-            parts.update(p.lower() for p in _NAME_PART.findall(value))
-        elif name == "role":
-            out |= value.strip().lower() in _LEFT_OUT_ROLES
-        elif name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
-            out = True
-        elif name == "style":
-            out |= "display:none" in value.replace(" ", "").lower()
-    return parts, out
-
-
-def _left_out(tag: str, attributes: str, in_article: bool) -> bool:
+_KEPT, _DOUBTFUL, _NAMED, _OUT = range(4)
+
+
+def _name_mark(names: str, in_article: bool) -> int:
+    """What a class or id says about its element, by whole names."""
+    found = _KEPT
+    for name in names.split():
+        parts = {p.lower() for p in _NAME_PART.findall(name)}
+        marks = parts & (_LEFT_OUT_NAMES if in_article else _LEFT_OUT_NAMES | _PAGE_HEADS)
+        if (marks or parts & _DOUBTFUL_NAMES) and not parts - marks - _DOUBTFUL_NAMES - _NEUTRAL_NAMES:
+            found = max(found, _NAMED if marks else _DOUBTFUL)
+    return found
+
+
+def _mark(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element is left out: never, if most of its text is links, unless it holds an article or main, or always."""
+    if tag == "form":
+        return _OUT if in_article else _NAMED
     if tag in _LEFT_OUT:
-        return True
+        return _OUT
     if tag == "header":
-        return not in_article
+        return _KEPT if in_article else _OUT
     if tag in ("html", "body", "article", "main") or not attributes:
-        return False
-    parts, out = _marks(attributes)
-    return out or bool(parts & _LEFT_OUT_NAMES) or (not in_article and bool(parts & _PAGE_HEADS))
+        return _KEPT
+    found = _KEPT
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), unescape("".join(values))
+        if name == "class" or name == "id":
+            said = _name_mark(value, in_article)
+            # Ids of an article's parts are their titles.
+            found = max(found, min(said, _DOUBTFUL) if name == "id" and in_article else said)
+        elif (
+            name == "role" and value.strip().lower() in _LEFT_OUT_ROLES
+            or name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true"
+            or name == "style" and "display:none" in value.replace(" ", "").lower()
+        ):
+            return _OUT
+    if found == _DOUBTFUL and (tag in _HEADINGS or tag not in _BLOCKS):
+        return _KEPT
+    return found
+
+
+class _Suspect:
+    """An element that may be left out; known when all of it has been read."""
+
+    def __init__(self, at: int, mark: int, in_article: bool, around: _Suspect | None) -> None:
+        self.at, self.mark, self.in_article, self.around = at, mark, in_article, around
+        self.holds_article, self.chars, self.plain = False, 0, 0
+
+    def left_out(self) -> bool:
+        if self.holds_article and not self.in_article:
+            return False
+        return self.mark == _NAMED or 2 * self.plain < self.chars
 
 
 class _Lines:
@@ -94,6 +132,9 @@ class _Lines:
         self.open: list[str] = []
         self.begun = 0  # articles and mains so far
         self.region: dict[str, int] = {}
+        self.suspects: list[_Suspect] = []  # all, in order
+        self.suspect: _Suspect | None = None  # the innermost open one
+        self.within: list[_Suspect | None] = []  # the innermost around each line
         self.out_at: int | None = None  # position in ``open`` of the outermost left-out element
         self.pieces: list[str] = []
         self.linked = 0
@@ -102,12 +143,40 @@ class _Lines:
         text = " ".join("".join(self.pieces).split())
         if text:
             region = next((self.region[t] for t in ("article", "main") if t in self.open), None)
-            self.lines.append((text, max(0, len(text) - self.linked), region))
+            self.add(text, max(0, len(text) - self.linked), region)
         self.pieces, self.linked = [], 0
 
+    def add(self, text: str, plain: int, region: int | None) -> None:
+        self.lines.append((text, plain, region))
+        self.within.append(self.suspect)
+        if self.suspect is not None:
+            self.suspect.chars += len(text)
+            self.suspect.plain += plain
+
     def gap(self) -> None:
         self.flush()
-        self.lines += [("", 0, None)] * WINDOW
+        for _ in range(WINDOW):
+            self.add("", 0, None)
+
+    def found(self) -> list[tuple[str, int, int | None]]:
+        """The lines, with empty ones for the elements that turned out to be left out."""
+        for x in reversed(self.suspects):
+            if x.around is not None:
+                x.around.chars += x.chars
+                x.around.plain += x.plain
+                x.around.holds_article |= x.holds_article
+        out: dict[_Suspect | None, bool] = {None: False}
+        for x in self.suspects:
+            out[x] = out[x.around] or x.left_out()
+        shown: list[tuple[str, int, int | None]] = []
+        gap = False
+        for line, within in zip(self.lines, self.within, strict=True):
+            if not out[within]:
+                shown.append(line)
+            elif not gap:
+                shown += [("", 0, None)] * WINDOW
+            gap = out[within]
+        return shown
 
     def say(self, text: str) -> None:
         if text and self.out_at is None:
@@ -118,12 +187,14 @@ class _Lines:
 
     def close_to(self, size: int) -> None:
         """Close the innermost elements until ``size`` are open; the line ends while they still count."""
-        if self.out_at is None and any(t in _BLOCKS for t in self.open[size:]):
+        if self.out_at is None and (any(t in _BLOCKS for t in self.open[size:]) or self.suspect is not None and self.suspect.at >= size):
             self.flush()
         del self.open[size:]
+        while self.suspect is not None and self.suspect.at >= size:
+            self.suspect = self.suspect.around
         if self.out_at is not None and self.out_at >= size:
             self.out_at = None
-            self.lines += [("", 0, None)] * WINDOW
+            self.gap()
 
     def innermost(self, tag: str, until: frozenset[str]) -> int | None:
         """Position of the innermost open ``tag``, not looking past an element of ``until``."""
@@ -149,9 +220,17 @@ class _Lines:
             self.say(" ")
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCKS:
             return
-        if self.out_at is None and _left_out(tag, attributes, "article" in self.open):
-            self.gap()
-            self.out_at = len(self.open)
+        if self.out_at is None:
+            mark = _mark(tag, attributes, "article" in self.open)
+            if mark == _OUT:
+                self.gap()
+                self.out_at = len(self.open)
+            elif mark != _KEPT:
+                self.flush()
+                self.suspect = _Suspect(len(self.open), mark, "article" in self.open, self.suspect)
+                self.suspects.append(self.suspect)
+            elif tag in ("article", "main") and self.suspect is not None:
+                self.suspect.holds_article = True
         if tag in ("article", "main") and tag not in self.open:
             self.begun += 1
             self.region[tag] = self.begun
@@ -182,7 +261,7 @@ def page_lines(html: str) -> list[tuple[str, int, int | None]]:
             found.start(tag, token[3])
     found.say(html[at:])
     found.flush()
-    return found.lines
+    return found.found()
 
 
 def passages(lengths: list[int]) -> list[tuple[int, int, int]]:

@@ -74,3 +74,35 @@ def test_tags_are_a_weight():
     assert maintext.main_text(f"<article>{BODY}</article>{'<hr><nav></nav>'}{box}") == BODY_TEXT
     assert "a box beside" in maintext.main_text(f"<div>{BODY}</div>{'<hr><nav></nav>'}{box}")
     assert maintext.main_text("<article><p><a href=x>only a link</a></article>") == "only a link"
+
+
+@pytest.mark.parametrize("around", [
+    'class="layout has-sidebar"', 'class="no-sidebar"', 'class="page with-nav"', 'class=widget', 'class="sidebar"', 'id="nav-wrapper"',
+    'class="header"', 'class="content-sidebar-wrap"',
+])
+def test_a_wrapper_is_never_left_out_with_its_article(around):
+    assert maintext.main_text(f"<body><div {around}><article>{BODY}</article></div>") == BODY_TEXT
+    assert maintext.main_text(f"<body><div {around}><main>{BODY}</main></div>") == BODY_TEXT
+    assert maintext.main_text(f"<body><form {around}><div><article>{BODY}</article></div></form>") == BODY_TEXT
+
+
+@pytest.mark.parametrize("name", [
+    "discussion", "related-work", "social-science", "notice", "reply-to-critics", "share-prices", "comment-on-methods", "consent", "navigation",
+])
+def test_parts_of_an_article_stay_whatever_their_names(name):
+    part = f"<section id='{name}'><h2 id='{name}'>Its heading</h2><p>What it says.</section>"
+    assert maintext.main_text(f"<article>{BODY}{part}<p>End.</article>") == f"{BODY_TEXT}\n\nIts heading\n\nWhat it says.\n\nEnd."
+    assert "Its heading" in maintext.main_text(f"<article>{BODY}{part.replace('id=', 'class=')}") or name in ("consent", "navigation")
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "comments", "comment-list", "site-nav", "js-cookie-notice", "sidebar left", "mainMenu", "comments__list"])
+def test_named_elements_are_left_out(name):
+    out = f'<div class="{name}"><p>{"Text that nobody came for, however long. " * 9}</div>'
+    assert maintext.main_text(f"{out}<div>{BODY}</div>{out}") == maintext.main_text(f"{out}<article>{BODY}{out}</article>") == BODY_TEXT
+
+
+def test_doubtful_names_go_by_their_links():
+    links = "<ul>" + "<li><a href=x>Another page with a long title</a>" * 5 + "</ul>"
+    page = '<article>{}<div class="related-links"><h3>More</h3>{}</div></article>'
+    assert maintext.main_text(page.format(BODY, links)) == BODY_TEXT
+    assert "long title" in maintext.main_text(page.format(BODY, links.replace("<a ", "<b ").replace("</a>", "</b>")))
