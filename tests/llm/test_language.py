@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -53,3 +54,27 @@ def test_nothing_to_learn_from(documents):
     got = language.predict(documents([(1, "some text", "en", "s")]), model).first()
     assert got["prediction"]["lang_pred"] == "und" and got["prediction"]["rejected"]
     assert language.predict(documents([]), model).count() == 0
+
+
+LETTERS = {"finnish": "aaaaiiiittnneessllooukkäämmvrjhyypdö", "cyrillic": "абвгдежзийклмнопрстуфхцчшщыьэюяоооееаии", "cjk": "".join(map(chr, range(0x4E00, 0x55D0)))}
+
+
+def test_long_texts_of_other_languages_are_rejected(documents, prose):
+    rows = [(i, prose(i, 10 + i * 2, lang), lang, "s") for i in range(120) for lang in ("en", "fr", "de")]
+    model = language.fit(documents(rows))
+    for letters in LETTERS.values():
+        rng = random.Random(letters)
+        # Words as frequent as their rank says, as in real texts.
+        words = ["".join(rng.choices(letters, k=rng.randint(3, 11))) for _ in range(5000)]
+        text = " ".join(rng.choices(words, [1 / (k + 1) for k in range(5000)], k=30_000))
+        assert all(model.predict([text[:size] for size in (100, 5_000, 100_000)])[2])
+    known = [prose(9000, 20_000, lang)[:size] for lang in ("en", "fr", "de") for size in (20, 100, 5_000, 100_000)]
+    known += ["They They They " * 500, "THE!! AND, THIS. " * 90, prose(9001, 40) + ' key = "0b96a8c8d79c4a5085c919698889f59b72ab7bb6"']
+    assert not any(model.predict(known)[2])
+
+
+def test_long_texts_do_not_fill_the_buckets():
+    rng = random.Random(1)
+    text = {k: " ".join("".join(rng.choices(v, k=7)) for _ in range(12_000)) for k, v in LETTERS.items()}
+    found = {k: set(language.gram_counts(t)[0].tolist()) for k, t in text.items()}
+    assert len(found["finnish"] & found["cyrillic"]) < 0.1 * len(found["cyrillic"])
