@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, sequences, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
+from rolelake.operators.durable import shared_folder
 
 MIX_PASSES = 3
 #: A public SentencePiece model; the path is the same on all executors.
@@ -99,15 +100,17 @@ def op8_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document."""
-    text = words.as_text("text")
-    docs = _table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-    )
-    buckets = sharding.bucket_count(docs, F.col("size"), BUCKET_BYTES)
-    return sharding.shuffled_shards(docs, SHARDS, buckets).select(
-        "_row.doc_id", "_row.size", "_row.text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "bucket",
+    """Shard and slot of every document, and what the written shards hold of it."""
+    docs = _table(spark, sf_dir, "documents")
+    size = (F.octet_length(words.as_text("text")) + 1).cast("long")
+    # A row's place in the stored table tells equal rows apart, so that they are dealt to all buckets.
+    placed = docs.withColumns({"_file": F.xxhash64("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
+    sharded = sharding.shuffled_shards(placed, SHARDS, sharding.bucket_count(docs, size, BUCKET_BYTES), by=["_file", "_place"])
+    whole = F.struct(*[F.col(f"_row.`{c}`") for c in docs.columns], "bucket").alias("_row")
+    written = sharding.written_shards(sharded.select(whole, "shard", "slot"), shared_folder(spark))
+    return written.select(
+        "doc_id", size.alias("size"), F.crc32(words.as_text("text").cast("binary")).alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
+        F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "bucket",
     )
 
 

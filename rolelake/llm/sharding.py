@@ -71,3 +71,10 @@ def shuffled_shards(
 def write_shards(sharded: DataFrame, path: str) -> None:
     """Write one folder per shard; each bucket's task writes its rows in slot order."""
     sharded.select("_row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot")).write.partitionBy("_shard").parquet(path)
+
+
+def written_shards(sharded: DataFrame, path: str) -> DataFrame:
+    """Write the shards and read them back: the rows' columns, ``_slot`` and ``_shard``."""
+    write_shards(sharded, path)
+    rows = sharded.select("_row.*", F.col("slot").alias("_slot"), F.col("shard").alias("_shard"))
+    return sharded.sparkSession.read.schema(rows.schema).parquet(path)

@@ -53,3 +53,22 @@ def test_bucket_count(documents):
     docs = documents([(i, "x" * 100, "en", "s") for i in range(50)])
     assert sharding.bucket_count(docs, F.length("text"), 1000) == 5
     assert sharding.bucket_count(documents([]), F.length("text"), 1000) == 1
+
+
+def test_query_shards_whole_rows_and_spreads_equal_ones(spark, documents, tmp_path, monkeypatch):
+    from rolelake.llm import queries
+
+    rows = [(1, "the same text " * 10, "en", "s")] * 300 + [(i, f"text {i}", "en", "s") for i in range(2, 102)] + [(None, None, None, None)]
+    docs = documents(rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "BUCKET_BYTES", 6_000)
+    monkeypatch.setattr(queries, "shared_folder", lambda spark: str(tmp_path / "shards"))
+    got = queries.op9_two_pass_shards(spark, str(tmp_path)).collect()
+    assert len(got) == 401 and sorted(r["size"] for r in got) == sorted(len(r[1] or "") + 1 for r in rows)
+    assert len({r["bucket"] for r in got if r["doc_id"] == 1}) > 4
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter((r["doc_id"], r["text"], r["lang"], r["source"]) for r in back.collect()) == Counter(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(by) == 16
