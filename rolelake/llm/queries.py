@@ -67,9 +67,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every sequence of tokens in training order, with its shard and place in it."""
+    """Every sequence of tokens in training order, with its shard and place in it, read from the written shards."""
     sequences_ = sequences.packed(_table(spark, sf_dir, "documents").select("text"), RANK_FILE, SEQUENCE_TOKENS)
-    return sequences.in_training_order(sequences_, SHARD_RECORDS)
+    folder = shared_folder(spark)
+    written = sequences.write_shards(sequences.in_training_order(sequences_, SHARD_RECORDS), folder)
+    return sequences.read_shards(written, folder, RANK_FILE, SEQUENCE_TOKENS, SHARD_RECORDS)
 
 
 def op7_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,3 +191,33 @@ def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "records": [records], "stride": [stride]})
 
     return stored(ordered.select("shard", "ids").mapInArrow(write, "shard int, path string, records long, stride long"))
+
+
+def read_shards(written: DataFrame, folder: str, rank_file: str, length: int, shard_records: int) -> DataFrame:
+    """The records of written shards: slot, shard, record, n_tokens and ids, as ``in_training_order`` gives them.
+
+    A text ends with one end mark and none is without tokens, so further marks at a record's end fill it up.
+    """
+    ship(written.sparkSession)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _tokens(rank_file)
+        system = fs.FileSystem.from_uri(folder)[0] if "://" in folder or folder.startswith("file:") else fs.LocalFileSystem()
+        for batch in batches:
+            for row in batch.to_pylist():
+                with system.open_input_stream(row["path"]) as data:
+                    for first in range(0, row["records"], 256):
+                        n = min(256, row["records"] - first)
+                        raw = data.read(n * row["stride"])
+                        text = np.frombuffer(raw, dtype=f"<u{tokens.bytes}").reshape(n, length)[:, ::-1] != tokens.end
+                        marks = np.where(text.any(axis=1), text.argmax(axis=1), length)
+                        record = np.arange(first, first + n)
+                        yield pa.RecordBatch.from_pydict({
+                            "slot": pa.array(row["shard"] * shard_records + record, pa.int64()), "shard": pa.array([row["shard"]] * n, pa.int32()),
+                            "record": pa.array(record, pa.int64()), "n_tokens": pa.array(length - np.maximum(0, marks - 1), pa.int32()),
+                            "ids": pa.array([raw[k * row["stride"] : (k + 1) * row["stride"]] for k in range(n)], pa.binary()),
+                        })
+
+    # One task for each file.
+    dealt = written.repartitionById(max(1, written.count()), F.col("shard"))
+    return dealt.mapInArrow(read, "slot long, shard int, record long, n_tokens int, ids binary")

@@ -50,3 +50,20 @@ def test_empty_table(documents, tmp_path):
     ordered = sequences.in_training_order(sequences.packed(documents([]), RANK_FILE, 64), 50)
     assert ordered.count() == 0
     assert sequences.write_shards(ordered, str(tmp_path / "none")).count() == 0
+
+
+def test_query_reads_the_written_shards(spark, documents, prose, tmp_path, monkeypatch):
+    from rolelake.llm import queries
+
+    docs = documents([(i, prose(i, 3 + i % 90) if i % 6 else None, "en", "s") for i in range(200)]).coalesce(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "SEQUENCE_TOKENS", 16)
+    monkeypatch.setattr(queries, "SHARD_RECORDS", 40)
+    made, packed = [], sequences.packed
+    monkeypatch.setattr(sequences, "packed", lambda *a: made.append(packed(*a)) or made[0])
+    folder = tmp_path / "shards"
+    monkeypatch.setattr(queries, "shared_folder", lambda spark: f"file:{folder}")
+    got = sorted(map(tuple, queries.op6_training_order(spark, str(tmp_path)).collect()))
+    want = sorted(map(tuple, sequences.in_training_order(made[0], 40).collect()))
+    assert got == want and len(got) > 100
+    assert b"".join(p.read_bytes() for p in sorted(folder.glob("shard-*.bin"))) == b"".join(bytes(r[4]) for r in got)
