@@ -53,8 +53,52 @@ g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, n::BIGINT AS formatted_chars FROM g
 """
 
+#: crc32 of an ASCII text, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))))"""
+
+OP13 = rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+b AS (SELECT *, {CRC32.format("key")} % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+      FROM b, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS initial,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+             NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS unended FROM d),
+f AS (SELECT *, again AND NOT blank AS duplicate, unended AND NOT blank AND NOT again AS truncated, blank OR again AS gone,
+             lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS following FROM o),
+m AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+             count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+             count(*) FILTER (initial || following NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+ins(p, q, cost, ops, said) AS (VALUES
+  (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 5, 'I', 'user:' || chr(10)), (1, 2, 5, 'I', 'user:' || chr(10)), (2, 3, 5, 'I', 'assistant:' || chr(10)), (3, 2, 5, 'I', 'user:' || chr(10)),
+  (0, 3, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (1, 3, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+act(p, q, op, cost, initial, role) AS (VALUES
+  (0, 0, 'D', 2, NULL, NULL), (1, 1, 'D', 2, NULL, NULL), (2, 2, 'D', 2, NULL, NULL), (3, 3, 'D', 2, NULL, NULL),
+  (0, 2, 'R', 1, NULL, 'user'), (1, 2, 'R', 1, NULL, 'user'), (2, 3, 'R', 1, NULL, 'assistant'), (3, 2, 'R', 1, NULL, 'user'),
+  (0, 1, 'K', 0, 's', NULL), (0, 2, 'K', 0, 'u', NULL), (1, 2, 'K', 0, 'u', NULL), (3, 2, 'K', 0, 'u', NULL), (2, 3, 'K', 0, 'a', NULL)),
+w AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS said FROM f
+      UNION ALL
+      SELECT w.conv_id, f.i, act.q, w.cost + ins.cost + act.cost + CASE WHEN f.truncated AND act.op <> 'D' THEN 5 ELSE 0 END, w.audit || ins.ops || act.op,
+             w.said || ins.said || CASE WHEN act.op = 'D' THEN '' ELSE coalesce(act.role, f.role) || ':' || f.text || chr(10) END
+      FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN ins ON ins.p = w.state JOIN act ON act.p = ins.q
+      WHERE (act.op = 'D' OR NOT f.gone) AND (act.op <> 'K' OR act.initial = f.initial)
+      QUALIFY row_number() OVER (PARTITION BY w.conv_id, act.q ORDER BY w.cost + ins.cost + act.cost + CASE WHEN f.truncated AND act.op <> 'D' THEN 5 ELSE 0 END, w.audit || ins.ops || act.op) = 1),
+e AS (SELECT w.conv_id, m.* EXCLUDE (conv_id), w.cost + ins.cost AS cost, w.audit || ins.ops AS audit, w.said || ins.said AS said
+      FROM w JOIN m ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND w.i = m.n JOIN ins ON ins.p = w.state AND ins.q IN (0, 3)
+      QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + ins.cost, w.audit || ins.ops) = 1)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(CASE WHEN said = '' THEN '' ELSE left(said, length(said) - 1) END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN e ON a.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 LLM_ORACLE = {
     "op1_line_frequency": OP1,
     "op3_weighted_fair_mix": OP3,
     "op7_typed_parts_chat": OP7,
+    "op13_hirschberg_repair": OP13,
 }

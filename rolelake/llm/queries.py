@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, sequences, sharding, words
+from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, repair, sequences, sharding, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 from rolelake.operators.durable import shared_folder
 
@@ -122,6 +122,19 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.with_main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired turns of every damaged conversation."""
+    messages = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.repaired(repair.damaged(messages))
+    everyone = messages.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    both = everyone.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    numbers = [F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return both.select(
+        "conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", nothing).alias("repaired_sha256")
+    )
+
+
 LLM_QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op2_e8_lattice": op2_e8_lattice,
@@ -133,4 +146,5 @@ LLM_QUERIES = {
     "op8_suffix_array_pieces": op8_suffix_array_pieces,
     "op9_two_pass_shards": op9_two_pass_shards,
     "op10_line_blocks": op10_line_blocks,
+    "op13_hirschberg_repair": op13_hirschberg_repair,
 }
