@@ -57,6 +57,30 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS l
 CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),
     lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))))"""
 
+OP11 = rf"""
+WITH RECURSIVE o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+           FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS id FROM o),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {CRC32.format("id")} % 9 AS h FROM i),
+r AS (SELECT c.conv_id, o.place, 0 AS own, role, text FROM c JOIN o ON o.conv_id = c.base AND o.place <= c.h
+      UNION ALL SELECT c.conv_id, o.place, 1, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND o.place > c.h),
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth, strlen(text) AS bytes,
+             md5(length(role) || ':' || role || text) AS turn FROM r),
+p AS (SELECT conv_id, 0::BIGINT AS depth, 0::BIGINT AS bytes, '' AS node, NULL::VARCHAR AS up FROM c
+      UNION ALL SELECT t.conv_id, t.depth, t.bytes, md5(p.node || t.turn), p.node FROM p JOIN t ON t.conv_id = p.conv_id AND t.depth = p.depth + 1),
+n AS (SELECT node, depth, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes FROM p GROUP BY node, depth),
+k AS (SELECT up AS node, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+s AS (SELECT a.node, a.depth, count(*) FILTER (k.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.bytes) AS saved
+      FROM n LEFT JOIN k ON k.node = n.node JOIN p a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.node, a.depth),
+e AS (SELECT node, depth, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+      FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY node, depth)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves,
+       s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n LEFT JOIN n u ON u.node = n.up AND u.depth = n.depth - 1 LEFT JOIN k ON k.node = n.node JOIN s ON s.node = n.node AND s.depth = n.depth
+     LEFT JOIN e ON e.node = n.node AND e.depth = n.depth
+"""
+
 OP13 = rf"""
 WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
                             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
@@ -100,5 +124,6 @@ LLM_ORACLE = {
     "op1_line_frequency": OP1,
     "op3_weighted_fair_mix": OP3,
     "op7_typed_parts_chat": OP7,
+    "op11_euler_tour_trie": OP11,
     "op13_hirschberg_repair": OP13,
 }

@@ -18,14 +18,16 @@ from rolelake.shipping import ship
 _ROW_BITS = 33
 
 
-def numbered(df: DataFrame, *order: Column | str) -> DataFrame:
+def numbered(df: DataFrame, *order: Column | str, keep: Sequence[str] | None = None) -> DataFrame:
     """The rows, stored, with ``number``: their place from 0 in the order of these columns, without gaps.
 
+    ``keep``: columns to go on with, all by default.
+
     Spark sorts the rows by ranges; a row's number is its place in its range and the size of the
     ranges before.  Rows equal in all columns of the order may lie in any order among themselves.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = stored(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    placed = stored(ranged.select(*(keep or df.columns), F.monotonically_increasing_id().alias("_place")))
     placed = placed.withColumn("_range", F.shiftright("_place", _ROW_BITS))
     # One row for each range: as many as the shuffle has partitions.
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
@@ -62,7 +64,7 @@ def running(df: DataFrame, keys: Sequence[str], place: str, totals: dict[str, st
     )
 
 
-def _digested(width: int):
+def _digested(width: int, between: bytes):
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The digest of each run of rows with one key; texts come in order."""
         key, digest = None, None
@@ -74,6 +76,8 @@ def _digested(width: int):
                     if digest is not None:
                         done.append((*key, digest.hexdigest()))
                     key, digest = k, hashlib.sha256()
+                else:
+                    digest.update(between)
                 digest.update(text.as_buffer())
             yield _rows(batch, width, done)
         if digest is not None:
@@ -88,12 +92,12 @@ def _rows(batch: pa.RecordBatch, width: int, rows: list[tuple]) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([*arrays, pa.array([r[width] for r in rows], pa.string())], [*names, "sha256"])
 
 
-def chained_sha256(df: DataFrame, keys: Sequence[str], order: str, text: str) -> DataFrame:
-    """Columns ``keys`` and sha256: the digest (lower-case hex) of each key's texts, one after another in this order.
+def chained_sha256(df: DataFrame, keys: Sequence[str], order: str, text: str, between: str = "") -> DataFrame:
+    """Columns ``keys`` and sha256: the digest (lower-case hex) of each key's texts in this order, with ``between`` between them.
 
     A digest is made from front to back, so a key's texts pass through one task; they pass, and are held nowhere.
     """
     ship(df.sparkSession)
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     dealt = df.select(*keys, order, F.col(text).alias("_text")).repartition(*keys).sortWithinPartitions(*keys, order)
-    return dealt.select(*keys, "_text").mapInArrow(_digested(len(keys)), f"{kinds}, sha256 string")
+    return dealt.select(*keys, "_text").mapInArrow(_digested(len(keys), between.encode()), f"{kinds}, sha256 string")

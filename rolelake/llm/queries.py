@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, repair, sequences, sharding, words
+from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, repair, sequences, sharding, trie, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 from rolelake.operators.durable import shared_folder
 
@@ -122,6 +122,16 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.with_main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_euler_tour_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    messages = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    nodes = trie.prefix_trie(*trie.rebuilt(trie.turns(messages)))
+    return nodes.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), "ends_sha256",
+    )
+
+
 def op13_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired turns of every damaged conversation."""
     messages = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -146,5 +156,6 @@ LLM_QUERIES = {
     "op8_suffix_array_pieces": op8_suffix_array_pieces,
     "op9_two_pass_shards": op9_two_pass_shards,
     "op10_line_blocks": op10_line_blocks,
+    "op11_euler_tour_trie": op11_euler_tour_trie,
     "op13_hirschberg_repair": op13_hirschberg_repair,
 }
