@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, repair, sequences, sharding, trie, words
+from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, repair, repeats, sequences, sharding, trie, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
 from rolelake.operators.durable import shared_folder
 
@@ -132,6 +132,15 @@ def op11_euler_tour_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings that an earlier one has."""
+    done = repeats.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return done.select(
+        F.col("key").alias("doc_id"), "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired turns of every damaged conversation."""
     messages = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -157,5 +166,6 @@ LLM_QUERIES = {
     "op9_two_pass_shards": op9_two_pass_shards,
     "op10_line_blocks": op10_line_blocks,
     "op11_euler_tour_trie": op11_euler_tour_trie,
+    "op12_prefix_doubling": op12_prefix_doubling,
     "op13_hirschberg_repair": op13_hirschberg_repair,
 }
