@@ -5,11 +5,13 @@ All of it works on ranges of rows, so that one key with very many rows is spread
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import time
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rolelake.operators.durable import stored
 from rolelake.shipping import ship
@@ -64,6 +66,26 @@ def running(df: DataFrame, keys: Sequence[str], place: str, totals: dict[str, st
     )
 
 
+def freed(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of steps whose result is stored; it does so once the driver collects garbage.
+
+    What listeners still hold of a step that has just ended goes with the second collection.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` has written, once everything made from them is stored itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _digested(width: int, between: bytes):
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The digest of each run of rows with one key; texts come in order."""

@@ -3,7 +3,7 @@
 A rank stands for the first 1, 2, 4 .. bytes at a position; positions with equal pairs of ranks, one rank further on, have
 equal prefixes of twice the length, and the pair makes the next rank.  Texts are at hand, so up to 16 bytes a task
 makes ranks by itself; from then on Spark sorts the pairs of all documents together and positions whose pair
-no other document has drop out, at 16 bytes, 32 bytes and at last the whole length.
+no other document has drop out: at 16 bytes, at 39 (two ranks of 32 that overlap) and at the whole length of 50.
 
 Ranks are 64-bit prints, which are equal for equal bytes; their order is not that of the bytes, which nothing here needs.
 Three things keep the sorted rows few:
@@ -11,26 +11,28 @@ Three things keep the sorted rows few:
 * Of the positions in a window of the whole length, the one of least 16-byte rank stands for it (its anchor); two equal
   windows have the same one.  About one position in 18 is an anchor.
 * Windows that follow each other with the same anchor are a run.  Equal runs, as in copies, are settled as a whole.
-* Of the runs left, each window asks for one 32-byte rank, at its anchor or 16 bytes before, whichever is inside.
+* Of the runs left, each window asks for one 39-byte rank: at its anchor, or 12 or 24 bytes before, as far as is inside.
 
 Two different strings are taken for equal only if 128 bits agree by chance.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from rolelake.llm.places import dropped, freed
 from rolelake.operators.durable import stored
 from rolelake.shipping import ship
 
 LENGTH = 50
-#: Bytes that a task looks at in one go.
-_AT_ONCE = 1 << 20
+#: Bytes that a task looks at in one go: few enough that all arrays over them stay in the processor's cache.
+_AT_ONCE = 1 << 16
+#: Rows that a task hands over in one go, at least.
+_BATCH = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 
@@ -62,17 +64,34 @@ def anchor_size(length: int) -> int:
     return 1 << ((length // 3).bit_length() - 1)
 
 
-def _windows(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """Ranks of anchor size at all positions, the least of them in each window, and the pair of ranks that is the window's."""
-    size, largest = anchor_size(length), 1 << (length.bit_length() - 1)
-    ranks = {n: mixed(r) for n, r in doubled(data, largest) if n in (size, largest)}
-    count = max(0, len(data) - length + 1)
+def _pair_of(data_ranks: dict[int, np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pair of ranks that makes the rank of ``length`` bytes, at every position."""
+    half = _half(length)
+    ranks = data_ranks[half]
+    count = max(0, len(ranks) - (length - half))
+    return ranks[:count], ranks[length - half :]
+
+
+def _half(length: int) -> int:
+    return 1 << (length.bit_length() - 1)
+
+
+def key_step(length: int) -> int:
+    """Windows ask for a rank at their anchor or one or two such steps before."""
+    return (length - anchor_size(length)) // 3 + 1
+
+
+def _windows(data: np.ndarray, length: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """Ranks of the sizes that are asked for at all positions, and the least rank of anchor size in each window."""
+    size = anchor_size(length)
+    asked = (size, _half(length), _half(length - key_step(length) + 1))
+    ranks = {n: mixed(r) for n, r in doubled(data, max(asked)) if n in asked}
     least, span, wanted = ranks[size], 1, length - size + 1
     while span * 2 <= wanted:
         least, span = np.minimum(least[: max(0, len(least) - span)], least[span:]), span * 2
     if wanted > span:
         least = np.minimum(least[: max(0, len(least) - wanted + span)], least[wanted - span :])
-    return ranks[size], least[:count], (ranks[largest][:count], ranks[largest][length - largest :][:count])
+    return ranks, least
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, at_once: int = _AT_ONCE) -> Iterator[dict[str, np.ndarray]]:
@@ -85,7 +104,8 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, at_once: int = _
         piece = data[low : min(low + at_once + length - 1, end)]
         if len(piece) < length:
             break
-        _, least, (one, other) = _windows(piece, length)
+        ranks, least = _windows(piece, length)
+        one, other = _pair_of(ranks, length)
         count = len(least)
         first = int(np.searchsorted(offsets, low, "right")) - 1
         last = int(np.searchsorted(offsets, low + count - 1, "right")) - 1
@@ -124,20 +144,21 @@ def _finished(runs: dict[str, np.ndarray], offsets: np.ndarray) -> dict[str, np.
 
 def keyed_parts(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
     """Windows of strings, parted by the position that stands for them: text, at, n, and the pair of ranks of that position."""
-    size = anchor_size(length)
-    ranks, least, _ = _windows(data, length)
+    size, step = anchor_size(length), key_step(length)
+    ranks, least = _windows(data, length)
+    one, other = _pair_of(ranks, length - step + 1)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
     fits = np.flatnonzero(np.arange(length, length + len(least)) <= offsets[text + 1]) if len(least) else np.array([], np.int64)
     if not len(fits):
         return {name: np.array([], np.int64) for name in ("text", "at", "n", "one", "other")}
     place = np.full(len(fits), -1)
-    for step in range(length - size, -1, -1):  # the first place of the anchor stays
-        place = np.where(ranks[fits + step] == least[fits], step, place)
-    key = fits + np.where(place >= size, place - size, place)
+    for at in range(length - size, -1, -1):  # the first place of the anchor stays
+        place = np.where(ranks[size][fits + at] == least[fits], at, place)
+    key = fits + place % step
     begins = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (text[fits][1:] != text[fits][:-1])]))
     at = key[begins]
     return {
-        "text": text[fits][begins], "at": fits[begins], "n": np.diff(begins, append=len(fits)), "one": ranks[at].view(np.int64), "other": ranks[at + size].view(np.int64),
+        "text": text[fits][begins], "at": fits[begins], "n": np.diff(begins, append=len(fits)), "one": one[at].view(np.int64), "other": other[at].view(np.int64),
     }
 
 
@@ -160,11 +181,29 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 Batches = Iterator[pa.RecordBatch]
 
 
+def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of the data one after another, and where each begins."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    return data[np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])], offsets
+
+
+def _found(batch: pa.RecordBatch, length: int) -> Iterator[dict[str, np.ndarray]]:
+    """The runs of a batch of texts, many at a time."""
+    held: list[dict[str, np.ndarray]] = []
+    for runs in runs_of(*_bytes_of(batch.column("text")), length):
+        held.append(runs)
+        if sum(len(r["n"]) for r in held) >= _BATCH:
+            yield {name: np.concatenate([r[name] for r in held]) for name in held[0]}
+            held = []
+    if held:
+        yield {name: np.concatenate([r[name] for r in held]) for name in held[0]}
+
+
 def _anchors(length: int) -> Callable[[Batches], Batches]:
     def anchors(batches: Batches) -> Batches:
         for batch in batches:
             docs = batch.column("doc").to_numpy()
-            for runs in runs_of(*_bytes_of(batch.column("text")), length):
+            for runs in _found(batch, length):
                 yield pa.RecordBatch.from_arrays([pa.array(runs["anchor"]), pa.array(docs[runs["text"]])], ["anchor", "doc"])
 
     return anchors
@@ -177,7 +216,7 @@ def _runs(length: int) -> Callable[[Batches], Batches]:
     def runs(batches: Batches) -> Batches:
         for batch in batches:
             docs, prints = (batch.column(c).to_numpy() for c in ("doc", "print"))
-            for found in runs_of(*_bytes_of(batch.column("text")), length):
+            for found in _found(batch, length):
                 found |= {"doc": docs[found["text"]], "print": prints[found["text"]]}
                 yield pa.RecordBatch.from_arrays([pa.array(found[c].astype(np.int64)) for c in _RUN], list(_RUN))
 
@@ -185,24 +224,28 @@ def _runs(length: int) -> Callable[[Batches], Batches]:
 
 
 def _strings(length: int) -> Callable[[Batches], Batches]:
-    """The bytes of a document's runs, parted: doc, print, start, string, one, other."""
+    """The bytes of documents' runs, parted: doc, print, start, string, one, other."""
 
     def strings(batches: Batches) -> Batches:
         for batch in batches:
-            for doc, mark, text, runs in zip(*[batch.column(c) for c in ("doc", "print", "text", "runs")], strict=True):
-                whole = np.frombuffer(text.as_buffer(), dtype=np.uint8)
-                starts, counts = (np.array(runs.values.field(k)) for k in (0, 1))
-                lengths = counts + length - 1
-                offsets = np.concatenate([[0], np.cumsum(lengths)])
-                data = np.concatenate([whole[s : s + n] for s, n in zip(starts, lengths, strict=True)])
-                parts = keyed_parts(data, offsets, length)
-                begin, size = parts["at"], parts["n"] + length - 1
-                start = begin - offsets[parts["text"]] + starts[parts["text"]]
-                values = [data[b : b + n].tobytes() for b, n in zip(begin, size, strict=True)]
-                same = [pa.array(np.full(len(values), v.as_py(), np.int64)) for v in (doc, mark)]
+            data, begins = _bytes_of(batch.column("text"))
+            lists = batch.column("runs")
+            owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+            starts, counts = (np.asarray(lists.flatten().field(k)) for k in (0, 1))
+            # So many runs at a time that their bytes are looked at in one go.
+            slices = np.cumsum(counts + length - 1) // _AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(slices)) + 1), len(starts)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                own, start = owner[low:high], starts[low:high]
+                bytes_, offsets = _gathered(data, begins[own] + start, counts[low:high] + length - 1)
+                parts = keyed_parts(bytes_, offsets, length)
+                text = parts["text"]
+                values, ends = _gathered(bytes_, parts["at"], parts["n"] + length - 1)
+                binary = pa.Array.from_buffers(pa.binary(), len(text), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
+                same = [pa.array(batch.column(c).to_numpy()[own[text]]) for c in ("doc", "print")]
+                place = pa.array(start[text] + parts["at"] - offsets[text])
                 yield pa.RecordBatch.from_arrays(
-                    [*same, pa.array(start.astype(np.int64)), pa.array(values, pa.binary()), pa.array(parts["one"]), pa.array(parts["other"])],
-                    ["doc", "print", "start", "string", "one", "other"],
+                    [*same, place, binary, pa.array(parts["one"]), pa.array(parts["other"])], ["doc", "print", "start", "string", "one", "other"]
                 )
 
     return strings
@@ -215,7 +258,8 @@ def _pairs(length: int) -> Callable[[Batches], Batches]:
         for batch in batches:
             data, offsets = _bytes_of(batch.column("string"))
             data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-            _, least, (one, other) = _windows(data, length)
+            ranks, least = _windows(data, length)
+            one, other = _pair_of(ranks, length)
             text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
             fits = np.flatnonzero(np.arange(length, length + len(least)) <= offsets[text + 1])
             own = text[fits]
@@ -242,12 +286,6 @@ def _kept(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays(arrays, ["key", "n_bytes", "removed", "kept"])
 
 
-def _freed(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files of steps whose result is stored; it does once the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _shared(ranks: DataFrame, *names: str) -> DataFrame:
     """Ranks, or pairs of ranks, that positions of several documents have."""
     ends = ranks.groupBy(*names).agg(F.min("doc").alias("_least"), F.max("doc").alias("_most"))
@@ -271,35 +309,43 @@ def covers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     run_type = ", ".join(f"{c} long" for c in _RUN)
     # 16 bytes: anchors that several documents have.
     shared = stored(_shared(docs.select("doc", "text").mapInArrow(_anchors(length), "anchor long, doc long"), "anchor"))
-    _freed(spark)
+    freed(spark)
     met = stored(_meeting(docs.mapInArrow(_runs(length), run_type), shared, "anchor"))
-    _freed(spark)
+    freed(spark)
+    dropped(shared)
     # Whole runs: all but those of the first document are covered.
     firsts = stored(met.groupBy("anchor", "digest").agg(F.min("doc").alias("first")))
     named = firsts.select(F.col("anchor").alias("_anchor"), F.col("digest").alias("_digest"), "first")
-    judged = stored(met.join(named, (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest"))).select(*_RUN, "first"))
-    _freed(spark)
-    whole = judged.filter("doc > first").select("doc", "print", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
+    own = F.when(F.col("doc") == F.col("first"), F.col("anchor")).alias("anchor")
+    judged = met.join(named, (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest")))
+    judged = stored(judged.select(own, "doc", "print", "start", "n"))
+    dropped(met)
+    freed(spark)
+    whole = judged.filter("anchor is null").select("doc", "print", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
     # First runs whose anchor an earlier or later document has in another run.
     several = firsts.groupBy("anchor").agg(
         F.min("digest").alias("_a"), F.max("digest").alias("_z"), F.min("first").alias("_least"), F.max("first").alias("_most")
     )
-    several = several.filter("_a <> _z and _least < _most").select(F.col("anchor").alias("_anchor"))
-    left = _meeting(judged.filter("doc = first"), several, "anchor")
+    several = stored(several.filter("_a <> _z and _least < _most").select(F.col("anchor").alias("_anchor")))
+    left = _meeting(judged.filter("anchor is not null"), several, "anchor")
     lists = left.groupBy("doc", "print").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("runs"))
     lists = lists.select(F.col("doc").alias("_doc"), F.col("print").alias("_print"), "runs")
     texts = docs.join(lists, (F.col("doc") == F.col("_doc")) & (F.col("print") == F.col("_print"))).select("doc", "print", "text", "runs")
     strings = stored(texts.mapInArrow(_strings(length), "doc long, print long, start long, string binary, one long, other long"))
-    _freed(spark)
-    # 32 bytes: positions that stand for windows.
+    freed(spark)
+    dropped(firsts, several)
+    # 39 bytes: positions that stand for windows.
     pairs = ("one", "other")
-    candidates = stored(_meeting(strings, _shared(strings, *pairs), *pairs).select("doc", "print", "start", "string"))
-    _freed(spark)
+    shared = stored(_shared(strings, *pairs))
+    freed(spark)
+    candidates = stored(_meeting(strings, shared, *pairs).select("doc", "print", "start", "string"))
+    dropped(strings, shared)
+    freed(spark)
     # The whole length.
     windows = candidates.mapInArrow(_pairs(length), "doc long, print long, start long, one long, other long")
     least = windows.groupBy(*pairs).agg(F.min("doc").alias("_least"), F.max("doc").alias("_most")).filter("_least < _most")
     least = stored(least.select(F.col("one").alias("_one"), F.col("other").alias("_other"), "_least"))
-    _freed(spark)
+    freed(spark)
     same = (F.col("one") == F.col("_one")) & (F.col("other") == F.col("_other"))
     single = windows.join(least, same).filter(F.col("doc") > F.col("_least")).select("doc", "print", "start", (F.col("start") + length).alias("end"))
     return whole.unionByName(single)
@@ -319,6 +365,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     named = rows.filter("key is not null").select(F.col("key").alias("doc"), F.xxhash64("text").alias("print"), "text")
     found = covers(named.filter(F.octet_length("text") >= length), length)
     lists = stored(found.groupBy("doc", "print").agg(F.collect_set(F.struct("start", "end")).alias("covers")))
-    _freed(spark)
+    freed(spark)
     whole = rows.join(lists, (F.col("key") == F.col("doc")) & (F.xxhash64("text") == F.col("print")), "left")
     return whole.select("key", "text", "covers").mapInArrow(_kept, "key long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
