@@ -81,10 +81,10 @@ def key_step(length: int) -> int:
     return (length - anchor_size(length)) // 3 + 1
 
 
-def _windows(data: np.ndarray, length: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
+def _windows(data: np.ndarray, length: int, anchors_only: bool = False) -> tuple[dict[int, np.ndarray], np.ndarray]:
     """Ranks of the sizes that are asked for at all positions, and the least rank of anchor size in each window."""
     size = anchor_size(length)
-    asked = (size, _half(length), _half(length - key_step(length) + 1))
+    asked = (size,) if anchors_only else (size, _half(length), _half(length - key_step(length) + 1))
     ranks = {n: mixed(r) for n, r in doubled(data, max(asked)) if n in asked}
     least, span, wanted = ranks[size], 1, length - size + 1
     while span * 2 <= wanted:
@@ -94,18 +94,19 @@ def _windows(data: np.ndarray, length: int) -> tuple[dict[int, np.ndarray], np.n
     return ranks, least
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, at_once: int = _AT_ONCE) -> Iterator[dict[str, np.ndarray]]:
+def runs_of(
+    data: np.ndarray, offsets: np.ndarray, length: int, at_once: int = _AT_ONCE, anchors_only: bool = False
+) -> Iterator[dict[str, np.ndarray]]:
     """Runs of the texts between offsets: text (its number), start (in the text), n (windows), anchor, digest.
 
-    A run is cut by its contents alone, not by where a task's look ends.
+    A run is cut by its contents alone, not by where a task's look ends.  With ``anchors_only`` digests mean nothing.
     """
     end, held = int(offsets[-1]), None
     for low in range(int(offsets[0]), end, at_once):
         piece = data[low : min(low + at_once + length - 1, end)]
         if len(piece) < length:
             break
-        ranks, least = _windows(piece, length)
-        one, other = _pair_of(ranks, length)
+        ranks, least = _windows(piece, length, anchors_only)
         count = len(least)
         first = int(np.searchsorted(offsets, low, "right")) - 1
         last = int(np.searchsorted(offsets, low + count - 1, "right")) - 1
@@ -115,7 +116,8 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, at_once: int = _
         if not len(fits):
             continue
         text, anchor = text[fits], least[fits]
-        whole = mixed(one[fits] * _BASE + other[fits])
+        one, other = (least, least) if anchors_only else _pair_of(ranks, length)
+        whole = anchor if anchors_only else mixed(one[fits] * _BASE + other[fits])
         begins = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
         runs = {
             "text": text[begins], "at": fits[begins] + low, "n": np.diff(begins, append=len(fits)), "anchor": anchor[begins],
@@ -187,10 +189,10 @@ def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tupl
     return data[np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])], offsets
 
 
-def _found(batch: pa.RecordBatch, length: int) -> Iterator[dict[str, np.ndarray]]:
+def _found(batch: pa.RecordBatch, length: int, anchors_only: bool = False) -> Iterator[dict[str, np.ndarray]]:
     """The runs of a batch of texts, many at a time."""
     held: list[dict[str, np.ndarray]] = []
-    for runs in runs_of(*_bytes_of(batch.column("text")), length):
+    for runs in runs_of(*_bytes_of(batch.column("text")), length, anchors_only=anchors_only):
         held.append(runs)
         if sum(len(r["n"]) for r in held) >= _BATCH:
             yield {name: np.concatenate([r[name] for r in held]) for name in held[0]}
@@ -203,7 +205,7 @@ def _anchors(length: int) -> Callable[[Batches], Batches]:
     def anchors(batches: Batches) -> Batches:
         for batch in batches:
             docs = batch.column("doc").to_numpy()
-            for runs in _found(batch, length):
+            for runs in _found(batch, length, anchors_only=True):
                 yield pa.RecordBatch.from_arrays([pa.array(runs["anchor"]), pa.array(docs[runs["text"]])], ["anchor", "doc"])
 
     return anchors
@@ -270,6 +272,28 @@ def _pairs(length: int) -> Callable[[Batches], Batches]:
     return pairs
 
 
+def _merged(batches: Batches) -> Batches:
+    """Overlapping or touching stretches of one text as one; they come ordered by doc, print and start."""
+    names = ("doc", "print", "start", "end")
+    held = None
+    for batch in batches:
+        doc, mark, start, end = (batch.column(n).to_numpy() for n in names)
+        if held is not None:
+            doc, mark, start, end = (np.concatenate([[h], c]) for h, c in zip(held, (doc, mark, start, end), strict=True))
+        if not len(doc):
+            continue
+        fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])
+        lift = np.cumsum(fresh) << 32  # so that no text's ends reach into the next one
+        reach = np.maximum.accumulate(end + lift)
+        begins = np.flatnonzero(fresh | np.concatenate([[True], (start + lift)[1:] > reach[:-1]]))
+        lasts = np.append(begins[1:] - 1, len(doc) - 1)
+        rows = [doc[begins], mark[begins], start[begins], (reach - lift)[lasts]]
+        held = [c[-1] for c in rows]
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1]) for c in rows], list(names))
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()) for c in held], list(names))
+
+
 def _kept(batches: Batches) -> Batches:
     """Documents without the bytes that are covered; the row goes through as it is."""
     for batch in batches:
@@ -300,7 +324,7 @@ def _meeting(rows: DataFrame, shared: DataFrame, *names: str) -> DataFrame:
 
 
 def covers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Columns doc, print, start, end: stretches of texts that are covered by strings of an earlier document.
+    """Columns doc, print, start, end: the maximal stretches of texts that are covered by strings of an earlier document.
 
     ``docs``: doc (long, not null), print (a hash of the text), text (binary).
     """
@@ -348,7 +372,8 @@ def covers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     freed(spark)
     same = (F.col("one") == F.col("_one")) & (F.col("other") == F.col("_other"))
     single = windows.join(least, same).filter(F.col("doc") > F.col("_least")).select("doc", "print", "start", (F.col("start") + length).alias("end"))
-    return whole.unionByName(single)
+    ordered = whole.unionByName(single).repartition("doc", "print").sortWithinPartitions("doc", "print", "start")
+    return ordered.mapInArrow(_merged, "doc long, print long, start long, end long")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -364,7 +389,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("key"), text.alias("text"))
     named = rows.filter("key is not null").select(F.col("key").alias("doc"), F.xxhash64("text").alias("print"), "text")
     found = covers(named.filter(F.octet_length("text") >= length), length)
-    lists = stored(found.groupBy("doc", "print").agg(F.collect_set(F.struct("start", "end")).alias("covers")))
+    lists = stored(found.groupBy("doc", "print").agg(F.collect_list(F.struct("start", "end")).alias("covers")))
     freed(spark)
     whole = rows.join(lists, (F.col("key") == F.col("doc")) & (F.xxhash64("text") == F.col("print")), "left")
     return whole.select("key", "text", "covers").mapInArrow(_kept, "key long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")

@@ -67,6 +67,8 @@ def test_runs_do_not_depend_on_where_a_look_ends():
 
     whole = rows(1 << 20)
     assert whole == rows(64) == rows(333)
+    anchors = [r for r in repeats.runs_of(data, offsets, 50, 1 << 20, anchors_only=True)]
+    assert [r[3] for r in whole] == [int(a) for r in anchors for a in r["anchor"]]
     assert [sum(r[2] for r in whole if r[0] == k) for k in range(len(texts))] == [max(0, len(t) - 49) for t in texts]
 
 
