@@ -256,6 +256,8 @@ ORACLE["merge_insert_new"] = f"""WITH {RAW_POSTINGS}, {EXISTING}
 SELECT posting_url, min(seq) AS seq, arg_min(source, seq) AS source FROM raw_postings
 WHERE posting_url NOT IN (SELECT posting_url FROM existing) GROUP BY posting_url"""
 
+ORACLE["merge_insert_keys"] = ORACLE["merge_insert_new"]
+
 ORACLE["dedup_last"] = f"""WITH {RAW_POSTINGS}
 SELECT posting_url, seq, company, position FROM (
   SELECT posting_url, seq, company, min(seq) OVER (PARTITION BY posting_url) AS position,
@@ -366,6 +368,24 @@ ORACLE["keyword_search"] = f"""WITH {POSTINGS}
 SELECT id AS job_id, company, keywords AS keywords_matched, posting_url
 FROM jobs WHERE is_active AND list_has_any(ks, ['Rewh', 'License', 'Absent'])"""
 
+ORACLE["keyword_search_lists"] = f"""WITH {POSTINGS}, changed AS (
+  SELECT * REPLACE (CASE WHEN id % 4 = 1 THEN ['Rewh', 'New'] ELSE ks END AS ks) FROM jobs)
+SELECT id AS job_id, company, array_to_string(ks, '|') AS keywords_matched, posting_url
+FROM changed WHERE is_active AND list_has_any(ks, ['Rewh', 'License', 'Absent'])"""
+
+ORACLE["sql_jobs_by_keywords"] = ORACLE["keyword_search"]
+ORACLE["sql_unnotified"] = f"""WITH {POSTINGS}
+SELECT id AS job_id, company, location, CAST(n AS BIGINT) AS keyword_match_count, posting_url FROM ({unnotified(1)})"""
+
+ORACLE["sql_archive_and_logs"] = f"""WITH {RAW_POSTINGS}, changed AS (
+  SELECT 'job' AS kind, scrape_timestamp AS stamped FROM raw_postings WHERE is_active AND scrape_timestamp < {AS_OF} - INTERVAL 90 DAY
+  UNION ALL SELECT CASE WHEN event_id % 2 = 0 THEN 'run' ELSE 'notification' END, ts FROM events WHERE ts < {EVENTS_AS_OF} - INTERVAL 15 DAY)
+SELECT kind, strftime(stamped, '%Y-%m-%d') AS day, count(*) AS n FROM changed GROUP BY ALL"""
+
+ORACLE["sql_jobs_by_source"] = f"""WITH {RAW_POSTINGS}
+SELECT id AS job_id, company, posting_url FROM raw_postings
+WHERE source = 'src3' AND scrape_timestamp >= {AS_OF} - INTERVAL 60 DAY"""
+
 ORACLE["keyword_match"] = ORACLE["keyword_match_join"] = f"""WITH texts AS (
   SELECT doc_id, lower(text) AS t FROM documents)
 SELECT doc_id, unnest({keyword_list('t', SAMPLE)}) AS keyword FROM texts"""

@@ -27,8 +27,8 @@ from contract.relations import (
 )
 from rolelake.functions import dates, text, urls
 from rolelake.operators import dedup, matching, matching_join, quality, ranking
-from rolelake.operators.durable import ensure_checkpoint_dir
-from rolelake.plans import cycle, logs, records, store, views
+from rolelake.operators.durable import cut_lineage, ensure_checkpoint_dir, shared_folder
+from rolelake.plans import cycle, index, logs, records, sqlfunctions, store, views
 from rolelake.sources import cards, links
 from rolelake.sources import payloads as payload_source
 
@@ -333,6 +333,67 @@ def keyword_search(spark, sf_dir):
     )
 
 
+@register
+def keyword_search_lists(spark, sf_dir):
+    """The search by posting lists, after a part of the postings got other keywords."""
+    jobs = stored_postings(spark, sf_dir).withColumn("scrape_date", F.to_date("scrape_timestamp"))
+    lists = index.KeywordIndex(spark, shared_folder(spark))
+    lists.add(jobs)
+    updates = jobs.where("id % 4 = 1").select("id", F.array(F.lit("Rewh"), F.lit("New")).alias("keywords_matched"))
+    changed = cut_lineage(store.relabelled(jobs, updates))
+    lists.add(changed.where("id % 4 = 1"))
+    return lists.search(changed, ["Rewh", "License", "Absent"]).select(
+        "job_id", "company", joined("keywords_matched").alias("keywords_matched"), "posting_url"
+    )
+
+
+@register
+def merge_insert_keys(spark, sf_dir):
+    """Rows with new URLs, found by the bucketed keys of the postings that are there."""
+    keys = index.UrlKeys(spark, shared_folder(spark))
+    keys.rebuild(_existing(spark, sf_dir))
+    return keys.absent(raw_postings(spark, sf_dir)).select("posting_url", "seq", "source")
+
+
+def _sql_relations(spark, sf_dir):
+    """The relations that the functions of SQL read, as views."""
+    stored_postings(spark, sf_dir).createOrReplaceTempView("sql_jobs")
+    log = table(spark, sf_dir, "events").select(F.col("ts").alias("scrape_start"), F.col("ts").alias("sent_at"), "event_id")
+    log.where("event_id % 2 = 0").createOrReplaceTempView("sql_runs")
+    log.where("event_id % 2 = 1").createOrReplaceTempView("sql_notices")
+    sqlfunctions.register(spark, "sql_jobs", "sql_runs", "sql_notices")
+
+
+@register
+def sql_jobs_by_keywords(spark, sf_dir):
+    _sql_relations(spark, sf_dir)
+    return spark.sql("""SELECT job_id, company, array_join(keywords_matched, '|') AS keywords_matched, posting_url
+                        FROM get_jobs_by_keywords(array('Rewh', 'License', 'Absent'))""")
+
+
+@register
+def sql_unnotified(spark, sf_dir):
+    _sql_relations(spark, sf_dir)
+    return spark.sql("SELECT job_id, company, location, CAST(keyword_match_count AS BIGINT) AS keyword_match_count, posting_url FROM get_unnotified_jobs()")
+
+
+@register
+def sql_archive_and_logs(spark, sf_dir):
+    """How many rows the two procedures of SQL would change, by day."""
+    _sql_relations(spark, sf_dir)
+    return spark.sql("""
+        SELECT 'job' AS kind, date_format(scrape_timestamp, 'yyyy-MM-dd') AS day, count(*) AS n
+        FROM get_jobs_to_archive(TIMESTAMP_NTZ '2024-02-01 00:00:00', 90) GROUP BY ALL
+        UNION ALL
+        SELECT log, date_format(logged_at, 'yyyy-MM-dd'), count(*) FROM get_old_logs(TIMESTAMP_NTZ '2024-01-30 12:00:00', 15) GROUP BY ALL""")
+
+
+@register
+def sql_jobs_by_source(spark, sf_dir):
+    _sql_relations(spark, sf_dir)
+    return spark.sql("SELECT job_id, company, posting_url FROM get_jobs_by_source('src3', TIMESTAMP_NTZ '2024-02-01 00:00:00', 60)")
+
+
 # -- keyword matching -----------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from rolelake.operators.quality import valid_rows
 from rolelake.operators.ranking import top_matches
 from rolelake.plans.logs import notification_log_rows, run_log_rows
 from rolelake.plans.records import stored_record
-from rolelake.plans.store import NOTIFICATIONS, POSTINGS, REPORTED, RUNS, PostingStore
+from rolelake.plans.store import NOTIFICATIONS, POSTINGS, RUNS, PostingStore
 from rolelake.plans.views import global_stats, unnotified
 from rolelake.schema import ALLOWED_SOURCES
 
@@ -60,13 +60,13 @@ def notify_once(
     A failed delivery is logged only, so that the next run tries again.  Returns how many
     were reported.
     """
-    batch = cut_lineage(unnotified(store.read(POSTINGS), min_keywords, store.read(REPORTED)))
+    batch = cut_lineage(unnotified(store.waiting(min_keywords), min_keywords))
     n = batch.count()
     if n == 0:
         return 0
     sent = bool(deliver(batch))
     if sent:
-        store.report(batch, as_of)
+        store.report(batch, as_of, min_keywords)
     store.append(
         NOTIFICATIONS,
         notification_log_rows(

@@ -2,31 +2,38 @@
 
 Postings are partitioned by ``scrape_date`` and inserted only where their URL is new.
 Which postings were reported is kept in an append-only table and laid over the postings
-on reading, so reporting rewrites nothing.  Archiving, re-labelling and log retention
+on reading, so reporting rewrites nothing.  What is still to be reported waits in a queue by day.
+Whether a URL is known is answered by a bucketed table of keys, which keywords a posting has by posting lists,
+and the next id by a stored mark, so an insert never reads the postings of earlier days.  Archiving, re-labelling and log retention
 rewrite only the partitions they affect; the new rows are cut off durably before the old
 files are replaced.
+
+One writer at a time: two inserts that run side by side can store one URL twice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from rolelake.dictionaries import priority_seed
 from rolelake.functions.dates import ago, timestamp_lit
 from rolelake.operators.dedup import insert_if_absent, merge_update
 from rolelake.operators.durable import cut_lineage
-from rolelake.operators.joins import absent_rows
+from rolelake.operators.joins import absent_rows, rows_with_key_in
 from rolelake.operators.quality import POSTING_CONSTRAINTS, constraint_errors
+from rolelake.plans.index import KeywordIndex, UrlKeys
 from rolelake.plans.logs import keep_recent
 from rolelake.plans.records import keyword_count, touched
-from rolelake.schema import KEYWORD_PRIORITY, NOTIFICATION_LOG, NOTIFIED, POSTING, REJECTED, RUN_LOG
+from rolelake.schema import INSERTS, KEYWORD_PRIORITY, NOTIFICATION_LOG, NOTIFIED, PENDING, POSTING, REJECTED, REPORTED_UPTO, RUN_LOG
 
 POSTINGS, RUNS, NOTIFICATIONS = "postings", "run_log", "notification_log"
 REPORTED, REJECTED_ROWS, PRIORITIES = "notified", "rejected", "keyword_priorities"
+QUEUE, UPTO, INSERT_MARKS = "pending", "reported_upto", "inserts"
 
 _SCHEMAS = {
     POSTINGS: POSTING,
@@ -35,7 +42,12 @@ _SCHEMAS = {
     REPORTED: NOTIFIED,
     REJECTED_ROWS: REJECTED,
     PRIORITIES: KEYWORD_PRIORITY,
+    QUEUE: PENDING,
+    UPTO: REPORTED_UPTO,
+    INSERT_MARKS: INSERTS,
 }
+# Tables partitioned by a day of their own.
+_DAY_OF = {POSTINGS: "scrape_date", REPORTED: "sent_day", QUEUE: "queue_day"}
 # Log tables are partitioned by the month of this column.
 _LOG_TIME = {RUNS: "scrape_start", NOTIFICATIONS: "sent_at"}
 
@@ -48,9 +60,14 @@ def new_postings(batch: DataFrame, existing: DataFrame, as_of: datetime) -> Data
 
     Ids continue after the highest existing id; they are unique but have gaps.
     """
-    stamp = timestamp_lit(as_of)
-    fresh = insert_if_absent(batch, existing, "posting_url", "seq").drop("seq")
     last_id = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    return as_new(insert_if_absent(batch, existing, "posting_url", "seq"), last_id, as_of)
+
+
+def as_new(rows: DataFrame, last_id: Column, as_of: datetime) -> DataFrame:
+    """Rows with new URLs as fresh postings, with ids after ``last_id``."""
+    stamp = timestamp_lit(as_of)
+    fresh = rows.drop("seq")
     null_time = F.lit(None).cast("timestamp_ntz")
     return fresh.withColumns(
         {
@@ -103,11 +120,13 @@ def archived(postings: DataFrame, as_of: datetime | str, days: int = 180) -> Dat
     return changed.withColumn("is_active", F.col("is_active") & ~F.col("_due")).drop("_due")
 
 
-def relabelled(postings: DataFrame, updates: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
-    """Postings with the keywords of ``updates`` (id, keywords_matched) put in by id."""
+def relabelled(
+    postings: DataFrame, updates: DataFrame, as_of: datetime | str | None = None, seq: str | None = None
+) -> DataFrame:
+    """Postings with the keywords of ``updates`` (id, keywords_matched) put in by id; of several, those with the highest ``seq``."""
     flagged = updates.withColumn("_changed", F.lit(True))
     merged = merge_update(
-        postings.withColumn("_changed", F.lit(False)), flagged, "id", ["keywords_matched", "_changed"]
+        postings.withColumn("_changed", F.lit(False)), flagged, "id", ["keywords_matched", "_changed"], seq
     )
     if as_of is None or "updated_at" not in postings.columns:
         return merged.withColumn("keyword_match_count", keyword_count()).drop("_changed")
@@ -149,13 +168,15 @@ class PostingStore:
             writer = _empty(spark, self._stored_schema(name)).write.mode("ignore")
             partition = self._partition(name)
             (writer.partitionBy(partition) if partition else writer).parquet(self._path(name))
+        self.keywords = KeywordIndex(spark, self._path("keyword_index"))
+        self.urls = UrlKeys(spark, self._path("url_keys"))
 
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def _partition(self, name: str) -> str | None:
-        if name == POSTINGS:
-            return "scrape_date"
+        if name in _DAY_OF:
+            return _DAY_OF[name]
         return "log_month" if name in _LOG_TIME else None
 
     def _stored_schema(self, name: str) -> StructType:
@@ -199,19 +220,74 @@ class PostingStore:
     def insert(self, batch: DataFrame, as_of: datetime) -> "Inserted":
         """Insert rows with new URLs; rows that break a constraint are kept apart.
 
-        ``batch`` has the stored record's columns and ``seq``.
+        ``batch`` has the stored record's columns and ``seq``.  Ids continue after the stored mark.  Posting lists and the queue
+        are written before the postings, where entries without a posting do no harm; keys after them, and if an
+        insert stopped in between, the next one makes the keys anew.
         """
+        self._settle_keys()
         checked = cut_lineage(batch.withColumn("errors", constraint_errors(POSTING_CONSTRAINTS)))
         good = checked.where(F.size("errors") == 0).drop("errors")
         bad = checked.where(F.size("errors") > 0)
-        fresh = cut_lineage(new_postings(good, self.read(POSTINGS), as_of))
+        last_id = self.read(INSERT_MARKS).agg(F.coalesce(F.max("high"), F.lit(0))).scalar()
+        fresh = cut_lineage(as_new(self.urls.absent(good), last_id, as_of))
+        high = fresh.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        self._mark_insert("begun", high, as_of)
+        self.keywords.add(fresh)
+        self._enqueue(fresh, as_of)
         # All of one day and already in tasks of a good size, so written without a shuffle.
         fresh.write.partitionBy("scrape_date").mode("append").parquet(self._path(POSTINGS))
+        self.urls.add(fresh)
+        self._mark_insert("done", high, as_of)
         self.append(REJECTED_ROWS, bad.withColumn("rejected_at", timestamp_lit(as_of)))
         found, invalid = checked.agg(F.count("*"), F.count_if(F.size("errors") > 0)).first()
         inserted = fresh.count()
         return Inserted(checked, fresh, inserted, found - invalid - inserted, invalid)
 
+    def _mark_insert(self, state: str, high: int, as_of: datetime) -> None:
+        row = self.spark.range(1).select(F.lit(state).alias("state"), F.lit(high).cast("bigint").alias("high"), timestamp_lit(as_of).alias("at"))
+        self.append(INSERT_MARKS, row)
+
+    def _settle_keys(self) -> None:
+        """Make keys and mark from the postings themselves if the store has none yet or an insert was cut short."""
+        begun, done = self.read(INSERT_MARKS).agg(F.count_if(F.col("state") == "begun"), F.count_if(F.col("state") == "done")).first()
+        if begun == done and done > 0:
+            return
+        postings = self.read(POSTINGS)
+        self.urls.rebuild(postings)
+        high, at = postings.agg(F.coalesce(F.max("id"), F.lit(0)), F.max("created_at")).first()
+        for state in ("begun",) * max(0, done + 1 - begun) + ("done",) * max(1, begun - done):
+            self._mark_insert(state, high, at or datetime(1970, 1, 1))
+
+    def _queue_day(self, as_of: datetime) -> Column:
+        """The day of ``as_of``, but none before the days that are closed, for a run that catches up on an earlier time."""
+        closed = self.read(UPTO).agg(F.max("day")).first()[0]
+        return F.lit(max(as_of.date(), closed) if closed else as_of.date())
+
+    def _enqueue(self, rows: DataFrame, as_of: datetime) -> None:
+        """Rows with keywords wait to be reported under the day that they came in."""
+        waiting = rows.where("keyword_match_count > 0").select("id", "scrape_date", self._queue_day(as_of).alias("queue_day"))
+        self.append(QUEUE, waiting)
+
+    def waiting(self, min_keywords: int = 1) -> DataFrame:
+        """Active postings with so many keywords that were not reported yet.
+
+        Starts at the last day up to which everything with so many keywords has been reported: queue and reports are read
+        from that day on, postings only on the days that the queue names.
+        """
+        upto = self.read(UPTO).where(F.col("min_keywords") <= min_keywords).agg(F.max("day")).first()[0]
+        queue, reported = self.read(QUEUE), self.read(REPORTED)
+        if upto is not None:
+            queue, reported = queue.where(F.col("queue_day") >= F.lit(upto)), reported.where(F.col("sent_day") >= F.lit(upto))
+        left = cut_lineage(queue.select("id", "scrape_date").distinct().join(reported.select("id"), "id", "left_anti"))
+        # One row for each day.
+        days = [r["scrape_date"] for r in left.select("scrape_date").distinct().collect()]
+        rows = rows_with_key_in(self.read(POSTINGS).where(F.col("scrape_date").isin(*days)), left, "id")
+        return rows.where(F.col("is_active") & ~F.col("is_notified") & (F.col("keyword_match_count") >= min_keywords))
+
+    def search(self, keywords: Sequence[str]) -> DataFrame:
+        """Active postings that have any of the keywords, best first, by posting lists."""
+        return self.keywords.search(self.read(POSTINGS), keywords)
+
     def archive(self, as_of: datetime, days: int = 180) -> int:
         """Set old active postings inactive, rewriting only their days; returns how many."""
         stored = self.read(POSTINGS)
@@ -225,18 +301,30 @@ class PostingStore:
             self._replace_partitions(POSTINGS, archived(affected, as_of, days))
         return sum(days_due.values())
 
-    def relabel(self, updates: DataFrame, as_of: datetime) -> None:
-        """Put new keywords into stored postings by id, rewriting only their days."""
+    def relabel(self, updates: DataFrame, as_of: datetime, seq: str | None = None) -> None:
+        """Put new keywords into stored postings by id, rewriting only their days; of several updates the one with the highest ``seq``.
+
+        Posting lists and the queue get entries for the new keywords first; a posting that got keywords and
+        wasn't reported yet waits under the day of the re-labelling.
+        """
         stored = self.read(POSTINGS)
-        hit = stored.select("id", "scrape_date").join(updates.select("id"), "id", "left_semi")
+        hit = stored.select("id", "scrape_date").join(updates.select("id").distinct(), "id", "left_semi")
         days = [r["scrape_date"] for r in hit.select("scrape_date").distinct().collect()]
         if days:
             affected = stored.where(F.col("scrape_date").isin(*days))
-            self._replace_partitions(POSTINGS, relabelled(affected, updates, as_of))
-
-    def report(self, jobs: DataFrame, as_of: datetime) -> None:
-        """Note that these postings were reported."""
-        self.append(REPORTED, jobs.select("id", timestamp_lit(as_of).alias("sent_at")))
+            changed = cut_lineage(relabelled(affected, updates, as_of, seq))
+            own = changed.join(updates.select("id").distinct(), "id", "left_semi")
+            self.keywords.add(own)
+            self._enqueue(own.join(self.read(REPORTED).select("id"), "id", "left_anti"), as_of)
+            self._replace_partitions(POSTINGS, changed)
+
+    def report(self, jobs: DataFrame, as_of: datetime, min_keywords: int | None = None) -> None:
+        """Note that these postings were reported; with ``min_keywords``, that nothing with so many keywords is left up to today."""
+        day = self._queue_day(as_of)
+        self.append(REPORTED, jobs.select("id", timestamp_lit(as_of).alias("sent_at"), day.alias("sent_day")))
+        if min_keywords is not None:
+            row = self.spark.range(1).select(F.lit(min_keywords).cast("int").alias("min_keywords"), day.alias("day"))
+            self.append(UPTO, row)
 
     def seed_priorities(self, seed: DataFrame | None = None) -> None:
         """Add seed rows to the keyword dimension where their keyword is missing."""

@@ -67,7 +67,16 @@ NOTIFICATION_LOG = _schema(
     job_ids=T.ArrayType(_COUNT),
 )
 
-NOTIFIED = _schema(id=_COUNT, sent_at=_TIME)
+NOTIFIED = _schema(id=_COUNT, sent_at=_TIME, sent_day=T.DateType())
+
+# Postings that wait to be reported, by the day that they came in or got keywords.
+PENDING = _schema(id=_COUNT, scrape_date=T.DateType(), queue_day=T.DateType())
+
+# Up to which day everything with so many keywords has been reported.
+REPORTED_UPTO = _schema(min_keywords=T.IntegerType(), day=T.DateType())
+
+# Begin and end of every insert, with the highest id that it gave.
+INSERTS = _schema(state=_TEXT, high=_COUNT, at=_TIME)
 
 KEYWORD_PRIORITY = _schema(keyword=_TEXT, priority=T.IntegerType(), category=_TEXT)
 
