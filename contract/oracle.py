@@ -217,6 +217,8 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, href, {clean('title')} AS job_title
   CASE WHEN starts_with(href, '/') THEN {ORIGIN} || href ELSE href END AS posting_url
 FROM firsts WHERE length({clean('title')}) >= 4"""
 
+ORACLE["page_links_hard"] = ORACLE["page_links"]
+
 ORACLE["page_cards"] = f"""WITH {ANCHORS}, blocks AS (
   SELECT page_id, array_to_string(list_filter(list_transform(titles, lambda x: trim(x)), lambda x: x <> ''), '|') AS block,
     titles[list_position(list_transform(hrefs, lambda h: contains(h, '/a')), true)] AS company
@@ -662,3 +664,26 @@ FROM fields"""
 ORACLE["union_fallback_overall"] = "SELECT event_id, event_type FROM events WHERE event_type = 'signup'"
 
 ORACLE["keyword_match_cased"] = f"SELECT doc_id, unnest({keyword_list('text', CASED)}) AS keyword FROM documents"
+
+OTHER_FAULTY = f"""{FAULTY}, other AS (SELECT * REPLACE (CASE WHEN source IS NOT NULL THEN 'Other' END AS source) FROM faulty), checked AS (
+  SELECT *, list_filter([
+    CASE WHEN coalesce(job_title, '') = '' THEN 'Missing required field: job_title' END,
+    CASE WHEN coalesce(posting_url, '') = '' THEN 'Missing required field: posting_url' END,
+    CASE WHEN source IS NULL THEN 'Missing required field: source' END,
+    CASE WHEN coalesce(posting_url, '') <> '' AND NOT regexp_matches(posting_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+')
+      THEN 'Invalid posting URL' END,
+    CASE WHEN source IS NULL THEN 'Invalid source: None' END
+  ], lambda e: e IS NOT NULL) AS errors FROM other)"""
+
+ORACLE["cycle_run_log"] = f"""WITH {OTHER_FAULTY}, latest AS (
+  SELECT * FROM checked WHERE len(errors) = 0 QUALIFY row_number() OVER (PARTITION BY posting_url ORDER BY seq DESC) = 1
+), rows AS (
+  SELECT id % 2 AS odd, 1 AS found, 0 AS new, CAST(len(errors) > 0 AS INTEGER) AS failed FROM checked
+  UNION ALL SELECT id % 2, 0, CAST(length(job_title) <= 500 AS INTEGER), CAST(length(job_title) > 500 AS INTEGER) FROM latest)
+SELECT CASE odd WHEN 1 THEN 'odd' ELSE 'even' END AS source, 'success' AS status, sum(found)::BIGINT AS jobs_found, sum(new)::BIGINT AS jobs_new,
+  sum(failed)::BIGINT AS jobs_failed, false AS has_error FROM rows GROUP BY odd
+UNION ALL SELECT 'empty', 'success', 0, 0, 0, false
+UNION ALL SELECT 'broken', 'failed', 0, 0, 0, true"""
+
+ORACLE["cycle_rejected"] = f"""WITH {OTHER_FAULTY}
+SELECT id, array_to_string(errors, '|') AS errors, md5(full_description) AS text_md5 FROM checked WHERE len(errors) > 0"""

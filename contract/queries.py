@@ -28,7 +28,7 @@ from contract.relations import (
 from rolelake.functions import dates, text, urls
 from rolelake.operators import dedup, matching, matching_join, quality, ranking
 from rolelake.operators.durable import cut_lineage, ensure_checkpoint_dir, shared_folder
-from rolelake.plans import cycle, index, logs, records, sqlfunctions, store, views
+from rolelake.plans import cycle, index, logs, records, runs, sqlfunctions, store, views
 from rolelake.sources import cards, links
 from rolelake.sources import payloads as payload_source
 
@@ -50,6 +50,16 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "pos", "href", "job_title", "posting_url")
 
 
+@register
+def page_links_hard(spark, sf_dir):
+    """The same links from pages whose attributes, comments and scripts hold what looks like markup."""
+    before = """<div title="<!--" data-a='<script>' data-b="<a href='/x'>"><!-- <a href="/no">no</a> --><script src="a>b">"<a href='/no'>"</script>"""
+    pages = table(spark, sf_dir, "pages", spread=True)
+    hard = pages.withColumn("html", F.concat(F.lit(before), "html", F.lit("""<style media="<!--">a</style><p title='--><!--'></p></div>""")))
+    found = links.page_links(hard, ["/th", "/d", "/"], min_title_length=4)
+    return found.select("page_id", "pos", "href", "job_title", "posting_url")
+
+
 @register
 def page_cards(spark, sf_dir):
     rules = cards.LinkRules(
@@ -196,7 +206,8 @@ def run_log_events(spark, sf_dir):
 @register
 def notification_log(spark, sf_dir):
     batch = views.unnotified(stored_postings(spark, sf_dir), 2)
-    rows = logs.notification_log_rows(batch, "team@example.com", AS_OF)
+    log = logs.notification_log_rows(batch, "team@example.com", AS_OF, batch_id="b1")
+    rows = logs.with_job_ids(log, logs.notification_id_rows(batch, AS_OF, "b1"))
     ids = F.array_join(F.transform("job_ids", lambda i: i.cast("string")), ",")
     return rows.select(
         "recipient", "subject", "jobs_count", "status", stamp("sent_at").alias("sent_at"),
@@ -208,7 +219,7 @@ def notification_log(spark, sf_dir):
 def job_alerts(spark, sf_dir):
     batch = views.unnotified(event_postings(spark, sf_dir), 3)
     rows = logs.job_alert_rows(batch, "team@example.com", EVENTS_AS_OF)
-    return rows.select("subject", "jobs_count", F.element_at("job_ids", 1).alias("job_id"))
+    return rows.select("subject", F.col("jobs_count").cast("bigint").alias("jobs_count"), F.col("id").alias("job_id"))
 
 
 @register
@@ -793,3 +804,35 @@ def stored_cycle(spark, sf_dir):
         stamp("created_at").alias("created_at"),
         stamp("notification_sent_at").alias("notification_sent_at"),
     )
+
+
+def _faulty_run(spark, sf_dir):
+    """A run over four sources: two with faulty rows, one without any, and one that breaks."""
+    ensure_checkpoint_dir(spark)
+    tables = store.PostingStore(spark, shared_folder(spark))
+    rows = with_faults(raw_postings(spark, sf_dir)).withColumn("source", F.when(F.col("source").isNotNull(), "Other"))
+    sources = {
+        "odd": lambda: rows.where("id % 2 = 1"),
+        "even": lambda: rows.where("id % 2 = 0"),
+        "empty": lambda: rows.where("id < 0"),
+        "broken": lambda: rows.withColumn("company", F.raise_error(F.lit("no answer"))),
+    }
+    log = runs.run_sources(tables, "run 1", sources, SAMPLE, AS_OF, lambda: AS_OF, text_columns=["job_title", "full_description"])
+    return tables, log
+
+
+@register
+def cycle_run_log(spark, sf_dir):
+    _, log = _faulty_run(spark, sf_dir)
+    return log.select("source", "status", "jobs_found", "jobs_new", "jobs_failed", F.col("error_message").isNotNull().alias("has_error"))
+
+
+@register
+def cycle_rejected(spark, sf_dir):
+    """Rows that validation rejected, read back from the whole rows that are kept of them."""
+    tables, _ = _faulty_run(spark, sf_dir)
+    rejected = tables.read(store.REJECTED_ROWS).where("stage = 'validation'")
+    of_record = lambda c: F.get_json_object("record", f"$.{c}")
+    return rejected.select(
+        of_record("id").cast("bigint").alias("id"), joined("errors").alias("errors"), F.md5(of_record("full_description")).alias("text_md5")
+    )

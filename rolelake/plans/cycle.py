@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -13,9 +14,9 @@ from rolelake.operators.durable import cut_lineage
 from rolelake.operators.matching import DEFAULT_TEXT_COLUMNS, with_keywords
 from rolelake.operators.quality import valid_rows
 from rolelake.operators.ranking import top_matches
-from rolelake.plans.logs import notification_log_rows, run_log_rows
+from rolelake.plans.logs import notification_id_rows, notification_log_rows, run_log_rows
 from rolelake.plans.records import stored_record
-from rolelake.plans.store import NOTIFICATIONS, POSTINGS, RUNS, PostingStore
+from rolelake.plans.store import NOTIFICATIONS, NOTIFIED_IDS, POSTINGS, RUNS, PostingStore
 from rolelake.plans.views import global_stats, unnotified
 from rolelake.schema import ALLOWED_SOURCES
 
@@ -67,16 +68,10 @@ def notify_once(
     sent = bool(deliver(batch))
     if sent:
         store.report(batch, as_of, min_keywords)
-    store.append(
-        NOTIFICATIONS,
-        notification_log_rows(
-            batch,
-            recipient,
-            as_of,
-            status="sent" if sent else "failed",
-            error_message=None if sent else "Email send failed",
-        ),
-    )
+    batch_id = uuid.uuid4().hex
+    status, error = ("sent", None) if sent else ("failed", "Email send failed")
+    store.append(NOTIFIED_IDS, notification_id_rows(batch, as_of, batch_id))
+    store.append(NOTIFICATIONS, notification_log_rows(batch, recipient, as_of, status, error, batch_id))
     return n if sent else 0
 
 

@@ -7,10 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rolelake.functions.dates import ago, timestamp_lit
-from rolelake.schema import NOTIFICATION_LOG, RUN_LOG
-
-# A notification row lists at most about this many ids; larger batches get more rows.
-IDS_PER_ROW = 100_000
+from rolelake.schema import NOTIFICATION_IDS, NOTIFICATION_LOG, RUN_LOG
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
@@ -87,50 +84,54 @@ def notification_log_rows(
     as_of: datetime | str,
     status: str = "sent",
     error_message: str | None = None,
-    ids_per_row: int = IDS_PER_ROW,
+    batch_id: str = "",
 ) -> DataFrame:
-    """Log of one batch with all its ids: one row, or several for a very large batch.
+    """Log of one batch: one row with its size, however large; an empty batch has one, too.
 
-    ``jobs_count`` is the number of ids in the row, so counts add up to the batch, whose size is in the
-    subject.  Ids are dealt to rows by hash, so that no row, and no task, has to hold an unlimited list.
-    An empty batch gives one row without ids.
+    Its ids are rows of a table of their own, see :func:`notification_id_rows`.
     """
-    total = jobs.agg(F.count("*")).scalar()
-    rows = F.greatest(F.ceil(total / F.lit(ids_per_row)), F.lit(1))
-    # A row without id stands for the batch, so that one without postings is logged, too.
-    batch = jobs.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("_part"), F.lit(None).cast("bigint").alias("id"))
-    dealt = jobs.select(F.pmod(F.xxhash64("id"), rows).cast("bigint").alias("_part"), F.col("id").cast("bigint").alias("id"))
-    listed = dealt.unionByName(batch).groupBy("_part").agg(F.sort_array(F.collect_list("id")).alias("job_ids"))
+    counted = jobs.agg(F.count("*").alias("jobs_count"))
     return _conform(
-        listed.withColumns(
+        counted.withColumns(
             {
                 "recipient": F.lit(recipient),
-                "subject": F.concat(total.cast("string"), F.lit(" New Job Matches")),
-                "jobs_count": F.size("job_ids"),
+                "subject": F.concat(F.col("jobs_count").cast("string"), F.lit(" New Job Matches")),
                 "sent_at": timestamp_lit(as_of),
                 "status": F.lit(status),
                 "error_message": F.lit(error_message),
+                "batch_id": F.lit(batch_id),
             }
         ),
         NOTIFICATION_LOG,
     )
 
 
+def notification_id_rows(jobs: DataFrame, as_of: datetime | str, batch_id: str = "") -> DataFrame:
+    """The ids of one batch."""
+    return _conform(jobs.select("id").withColumns({"batch_id": F.lit(batch_id), "sent_at": timestamp_lit(as_of)}), NOTIFICATION_IDS)
+
+
+def with_job_ids(log: DataFrame, ids: DataFrame) -> DataFrame:
+    """The log with each batch's ids as an ordered array, for batches that a reader can hold."""
+    listed = ids.groupBy("batch_id").agg(F.sort_array(F.collect_list("id")).alias("job_ids"))
+    none = F.array().cast("array<bigint>")
+    return log.join(listed, "batch_id", "left").withColumn("job_ids", F.coalesce("job_ids", none))
+
+
 def job_alert_rows(
     jobs: DataFrame, recipient: str, as_of: datetime | str, status: str = "sent"
 ) -> DataFrame:
-    """Log with one row per posting."""
-    return _conform(
-        jobs.select(
-            F.lit(recipient).alias("recipient"),
-            F.concat(F.lit("Job alert: job "), F.col("id").cast("string")).alias("subject"),
-            F.lit(1).alias("jobs_count"),
-            timestamp_lit(as_of).alias("sent_at"),
-            F.lit(status).alias("status"),
-            F.array("id").alias("job_ids"),
-        ),
-        NOTIFICATION_LOG,
+    """Log with one row, and one batch, per posting; its id stands beside it."""
+    alerts = jobs.select(
+        F.lit(recipient).alias("recipient"),
+        F.concat(F.lit("Job alert: job "), F.col("id").cast("string")).alias("subject"),
+        F.lit(1).alias("jobs_count"),
+        timestamp_lit(as_of).alias("sent_at"),
+        F.lit(status).alias("status"),
+        F.concat(F.lit("job "), F.col("id").cast("string"), F.lit(f" {as_of}")).alias("batch_id"),
+        F.col("id").cast("bigint").alias("id"),
     )
+    return alerts.select("*", F.lit(None).cast("string").alias("error_message")).select(*[f.name for f in NOTIFICATION_LOG.fields], "id")
 
 
 def keep_recent(log: DataFrame, time: str, as_of: datetime | str | Column, days: int = 90) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -29,27 +30,30 @@ from rolelake.operators.quality import POSTING_CONSTRAINTS, constraint_errors
 from rolelake.plans.index import KeywordIndex, UrlKeys
 from rolelake.plans.logs import keep_recent
 from rolelake.plans.records import keyword_count, touched
-from rolelake.schema import INSERTS, KEYWORD_PRIORITY, NOTIFICATION_LOG, NOTIFIED, PENDING, POSTING, REJECTED, REPORTED_UPTO, RUN_LOG
+from rolelake.schema import INSERTS, KEYWORD_PRIORITY, NOTIFICATION_IDS, NOTIFICATION_LOG, NOTIFIED, PENDING, POSTING, REJECTED, REPORTED_UPTO, RUN_EVENT, RUN_LOG
 
 POSTINGS, RUNS, NOTIFICATIONS = "postings", "run_log", "notification_log"
 REPORTED, REJECTED_ROWS, PRIORITIES = "notified", "rejected", "keyword_priorities"
+NOTIFIED_IDS, EVENTS = "notification_ids", "run_events"
 QUEUE, UPTO, INSERT_MARKS = "pending", "reported_upto", "inserts"
 
 _SCHEMAS = {
     POSTINGS: POSTING,
     RUNS: RUN_LOG,
     NOTIFICATIONS: NOTIFICATION_LOG,
+    NOTIFIED_IDS: NOTIFICATION_IDS,
     REPORTED: NOTIFIED,
     REJECTED_ROWS: REJECTED,
     PRIORITIES: KEYWORD_PRIORITY,
     QUEUE: PENDING,
     UPTO: REPORTED_UPTO,
+    EVENTS: RUN_EVENT,
     INSERT_MARKS: INSERTS,
 }
 # Tables partitioned by a day of their own.
 _DAY_OF = {POSTINGS: "scrape_date", REPORTED: "sent_day", QUEUE: "queue_day"}
 # Log tables are partitioned by the month of this column.
-_LOG_TIME = {RUNS: "scrape_start", NOTIFICATIONS: "sent_at"}
+_LOG_TIME = {RUNS: "scrape_start", NOTIFICATIONS: "sent_at", NOTIFIED_IDS: "sent_at"}
 
 
 # -- changes as plain DataFrame functions -------------------------------------------------
@@ -174,6 +178,10 @@ class PostingStore:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def collected_path(self, run_id: str, source: str) -> str:
+        """Where a run keeps what a source gave."""
+        return f"{self._path('collected')}/{quote(run_id, safe='')}/{quote(source, safe='')}"
+
     def _partition(self, name: str) -> str | None:
         if name in _DAY_OF:
             return _DAY_OF[name]
@@ -202,8 +210,10 @@ class PostingStore:
         return df
 
     def append(self, name: str, rows: DataFrame) -> None:
-        columns = [f.name for f in _SCHEMAS[name].fields]
-        shaped = self._with_partition(rows.select(*columns), name)
+        fields = _SCHEMAS[name].fields
+        # A column that the rows lack is null; logs that are made without a run have no run id.
+        columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        shaped = self._with_partition(rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, fields, strict=True)]), name)
         self._writer(shaped, name).mode("append").parquet(self._path(name))
 
     def _replace_partitions(self, name: str, rows: DataFrame) -> None:
@@ -238,7 +248,8 @@ class PostingStore:
         fresh.write.partitionBy("scrape_date").mode("append").parquet(self._path(POSTINGS))
         self.urls.add(fresh)
         self._mark_insert("done", high, as_of)
-        self.append(REJECTED_ROWS, bad.withColumn("rejected_at", timestamp_lit(as_of)))
+        whole = F.to_json(F.struct(*batch.columns))
+        self.append(REJECTED_ROWS, bad.withColumns({"rejected_at": timestamp_lit(as_of), "stage": F.lit("constraint"), "record": whole}))
         found, invalid = checked.agg(F.count("*"), F.count_if(F.size("errors") > 0)).first()
         inserted = fresh.count()
         return Inserted(checked, fresh, inserted, found - invalid - inserted, invalid)

@@ -55,6 +55,13 @@ RUN_LOG = _schema(
     error_message=_TEXT,
     duration_seconds=T.DecimalType(10, 2),
     created_at=_TIME,
+    run_id=_TEXT,
+)
+
+# What happened to a source in a run, one row for each step that began, ended or failed.
+RUN_EVENT = _schema(
+    run_id=_TEXT, source=_TEXT, event_time=_TIME, status=_TEXT, step=_TEXT, jobs_found=_COUNT, jobs_new=_COUNT,
+    jobs_updated=_COUNT, jobs_failed=_COUNT, error_message=_TEXT,
 )
 
 NOTIFICATION_LOG = _schema(
@@ -64,9 +71,12 @@ NOTIFICATION_LOG = _schema(
     sent_at=_TIME,
     status=_TEXT,
     error_message=_TEXT,
-    job_ids=T.ArrayType(_COUNT),
+    batch_id=_TEXT,
 )
 
+# The postings of a batch, one row each, so that a batch of any size has one row in the log.
+NOTIFICATION_IDS = _schema(batch_id=_TEXT, id=_COUNT, sent_at=_TIME)
+
 NOTIFIED = _schema(id=_COUNT, sent_at=_TIME, sent_day=T.DateType())
 
 # Postings that wait to be reported, by the day that they came in or got keywords.
@@ -81,5 +91,7 @@ INSERTS = _schema(state=_TEXT, high=_COUNT, at=_TIME)
 KEYWORD_PRIORITY = _schema(keyword=_TEXT, priority=T.IntegerType(), category=_TEXT)
 
 REJECTED = _schema(
-    job_title=_TEXT, posting_url=_TEXT, source=_TEXT, errors=_TEXTS, rejected_at=_TIME
+    job_title=_TEXT, posting_url=_TEXT, source=_TEXT, errors=_TEXTS, rejected_at=_TIME,
+    # Where it was rejected, and the whole row as JSON.
+    stage=_TEXT, record=_TEXT,
 )

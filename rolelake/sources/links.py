@@ -10,10 +10,12 @@ from rolelake.functions.html import TAG, decode_references, visible_text
 from rolelake.functions.text import clean_text, first_filled
 from rolelake.functions.urls import make_absolute_url
 
-_NOT_CONTENT = (
-    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+_RAW_ELEMENTS = "|".join(
+    rf"<{name}(?=[\s/>])(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+>.*?(?:</{name}\s*>|\z)" for name in ("script", "style")
 )
-_TOKEN = rf"(?s){TAG}|[^<]+|<"
+# Comments and raw elements are tokens like tags, so what looks like one in an attribute's value is none.
+_TOKEN = rf"(?is)<!--.*?(?:-->|\z)|{_RAW_ELEMENTS}|{TAG}|[^<]+|<"
+_NOT_CONTENT = r"(?i)^<(?:!--|(?:script|style)[\s/>])"
 _IS_ANCHOR = r"(?is)^<a(?=[\s/>]).*>$"
 # Stands before every anchor's tag; a character that no HTML text may hold.
 _MARK = "\u0001"
@@ -37,10 +39,13 @@ def anchors(html: Column | str) -> Column:
     ``body`` runs from inside the start tag to the next anchor; comments, scripts and
     style sheets do not count.
     """
-    content = F.regexp_replace(F.translate(F.coalesce(html, F.lit("")), _MARK, " "), _NOT_CONTENT, "")
+    content = F.translate(F.coalesce(html, F.lit("")), _MARK, " ")
     # Whole tags are told apart first, so neither ">" nor "<a" in an attribute's value misleads.
     tokens = F.regexp_extract_all(content, F.lit(_TOKEN), F.lit(0))
-    marked = F.transform(tokens, lambda t: F.when(t.rlike(_IS_ANCHOR), F.concat(F.lit(_MARK), t)).otherwise(t))
+    marked = F.transform(
+        tokens,
+        lambda t: F.when(t.rlike(_IS_ANCHOR), F.concat(F.lit(_MARK), t)).when(t.rlike(_NOT_CONTENT), "").otherwise(t),
+    )
     pieces = F.split(F.array_join(marked, ""), _MARK, -1)
     after_first = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
     return F.transform(

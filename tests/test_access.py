@@ -143,3 +143,46 @@ def test_functions_by_name(spark, store):
     assert store.read(st.NOTIFICATIONS).count() == 0
     with pytest.raises(ValueError):
         sqlfunctions.call(store, "CALL drop_everything(1)", AS_OF)
+
+
+def test_run_goes_on_where_it_stopped(spark, store, monkeypatch):
+    from rolelake.dictionaries import KeywordDictionary
+    from rolelake.plans import runs
+
+    moments = iter(AS_OF + timedelta(seconds=k) for k in range(100))
+    asked = []
+
+    def source(name, rows):
+        def load():
+            asked.append(name)
+            if rows is None:
+                raise OSError(f"{name} didn't answer\nsecond line")
+            return batch(spark, rows)
+        return load
+
+    good = [(1, "https://a.com/1", "Data Engineer", "Fuzu", None), (2, "no url", "Bad", "Fuzu", None), (3, "https://a.com/3", "T" * 501, "Fuzu", None)]
+    sources = {"good": source("good", good), "down": source("down", None), "empty": source("empty", [])}
+
+    def run():
+        log = runs.run_sources(store, "r1", sources, KeywordDictionary.of(), AS_OF, lambda: next(moments))
+        return {r["source"]: (r["status"], r["jobs_found"], r["jobs_new"], r["jobs_failed"], r["error_message"]) for r in log.collect()}
+
+    def broken(*args):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(store, "insert", broken)
+    with pytest.raises(RuntimeError):
+        run()
+    monkeypatch.undo()
+    partial = {r["source"]: (r["status"], r["scrape_end"]) for r in runs.run_rows(store.read(st.EVENTS)).collect()}
+    assert partial["good"] == ("partial", None) and partial["down"][0] == "failed"
+    assert run() == {
+        "good": ("success", 3, 1, 2, None), "empty": ("success", 0, 0, 0, None), "down": ("failed", 0, 0, 0, "down didn't answer"),
+    }
+    # What was collected wasn't asked for again, what failed was.
+    assert asked == ["good", "down", "empty", "down"]
+    sources["down"] = source("down", [(1, "https://a.com/1", "Known", "Fuzu", None), (2, "https://a.com/9", "SQL Clerk", "Other", None)])
+    assert run()["down"] == ("success", 2, 1, 0, None) and urls(store.read(st.POSTINGS)) == ["https://a.com/1", "https://a.com/9"]
+    rejected = {(r["stage"], r["posting_url"], tuple(r["errors"])) for r in store.read(st.REJECTED_ROWS).collect()}
+    assert rejected == {("validation", "no url", ("Invalid posting URL",)), ("constraint", "https://a.com/3", ("job_title is longer than 500",))}
+    assert {(r["source"], r["status"]) for r in store.read(st.RUNS).collect()} >= {("good", "success"), ("empty", "success"), ("down", "failed"), ("down", "success")}

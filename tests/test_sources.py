@@ -184,3 +184,18 @@ print("CARDS", len(raw_cards(pages, rules).first()["cards"]))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert "CARDS 1" in done.stdout, done.stderr[-1500:]
+
+
+def test_markup_inside_attributes_ends_nothing(spark):
+    hard = [
+        '<a title="<!--" href="/job/1">First job</a><a href="/job/2">Second job</a>',
+        '<div data-x="<script>"><a href="/job/3">Third job</a></div><p title="<style>">x</p><a href="/job/4">Fourth job</a>',
+        """<script data-a="x>y">'<a href="/job/no">no</a>'</script><!-- <a href="/job/no">no</a> --><a data-q='"' href="/job/5">Fifth job</a>""",
+        '<style>a > b {}</style ><a href="/job/6">Sixth <!-- "> --> job</a><script>never closed <a href="/job/no">no</a>',
+    ]
+    df = pages(spark, *hard)
+    got = links.page_links(df, ["/job/"], F.lit("https://a.com"), min_title_length=1).orderBy("page_id", "pos").select("page_id", "href", "job_title").collect()
+    assert [tuple(r)[:2] for r in got] == [(0, "/job/1"), (0, "/job/2"), (1, "/job/3"), (1, "/job/4"), (2, "/job/5"), (3, "/job/6")]
+    rules = cards.LinkRules(source="Other", base_url="https://a.com", patterns=("/job/",), climb=1, min_title_length=1, skip_own_url=True)
+    by_cards = cards.page_cards(df, rules, AS_OF).orderBy("page_id", "pos").select("page_id", "posting_url").collect()
+    assert [(r["page_id"], f"https://a.com{r['href']}") for r in got] == [tuple(r) for r in by_cards]

@@ -69,7 +69,7 @@ def test_notify_once(spark, store):
     assert cycle.notify_once(store, deliver(True), "a@b.c", AS_OF) == 1
     assert cycle.notify_once(store, deliver(True), "a@b.c", AS_OF) == 0
     assert seen == [["https://a.com/1"], ["https://a.com/1"]]
-    log = store.read(st.NOTIFICATIONS).orderBy("status").collect()
+    log = logs.with_job_ids(store.read(st.NOTIFICATIONS), store.read(st.NOTIFIED_IDS)).orderBy("status").collect()
     assert [(r["status"], r["jobs_count"], r["subject"], len(r["job_ids"])) for r in log] == [
         ("failed", 1, "1 New Job Matches", 1), ("sent", 1, "1 New Job Matches", 1)]
     reported = store.postings().where("is_notified").collect()
@@ -123,17 +123,18 @@ def test_seed_ignores_known_keys(spark, store):
     assert (len(got), got["SQL"], got["COBOL"]) == (21, 5, 1)
 
 
-def test_large_notification_is_split_without_loss(spark):
-    jobs = spark.range(1000)
-    rows = logs.notification_log_rows(jobs, "a@b.c", AS_OF, ids_per_row=100).collect()
-    assert 2 <= len(rows) <= 10
-    assert sorted(i for r in rows for i in r["job_ids"]) == list(range(1000))
-    assert all(r["jobs_count"] == len(r["job_ids"]) for r in rows) and {r["subject"] for r in rows} == {"1000 New Job Matches"}
-    empty = logs.notification_log_rows(jobs.where("id < 0"), "a@b.c", AS_OF).collect()
-    assert [(r["jobs_count"], r["job_ids"]) for r in empty] == [(0, [])]
-    alerts = logs.job_alert_rows(jobs.where("id < 2"), "a@b.c", AS_OF).orderBy("subject").collect()
-    assert [(r["subject"], r["jobs_count"], r["job_ids"]) for r in alerts] == [
-        ("Job alert: job 0", 1, [0]), ("Job alert: job 1", 1, [1])]
+def test_a_batch_has_one_row_at_any_size(spark):
+    for n in (0, 1, 250_000):
+        jobs = spark.range(n)
+        (row,) = logs.notification_log_rows(jobs, "a@b.c", AS_OF, batch_id="x").collect()
+        assert (row["jobs_count"], row["subject"], row["batch_id"]) == (n, f"{n} New Job Matches", "x")
+        ids = logs.notification_id_rows(jobs, AS_OF, "x")
+        assert ids.count() == n and ids.where("batch_id = 'x'").select("id").distinct().count() == n
+    log = logs.notification_log_rows(spark.range(0), "a@b.c", AS_OF, batch_id="x")
+    assert logs.with_job_ids(log, logs.notification_id_rows(spark.range(0), AS_OF, "x")).first()["job_ids"] == []
+    alerts = logs.job_alert_rows(spark.range(2), "a@b.c", AS_OF).orderBy("subject").collect()
+    assert [(r["subject"], r["jobs_count"], r["id"]) for r in alerts] == [("Job alert: job 0", 1, 0), ("Job alert: job 1", 1, 1)]
+    assert len({r["batch_id"] for r in alerts}) == 2
 
 
 def test_run_events_at_one_time_end_the_run(spark):
