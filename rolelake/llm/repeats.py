@@ -316,11 +316,16 @@ def _shared(ranks: DataFrame, *names: str) -> DataFrame:
     return ends.filter("_least < _most").select(*[F.col(n).alias(f"_{n}") for n in names])
 
 
+def _hashed(ranks: DataFrame) -> DataFrame:
+    """Ranks to be looked up, each in one row: dealt out evenly, so a partition of them fits in memory and the many rows needn't be sorted."""
+    return ranks.hint("shuffle_hash")
+
+
 def _meeting(rows: DataFrame, shared: DataFrame, *names: str) -> DataFrame:
     same = F.lit(True)
     for n in names:
         same = same & (F.col(n) == F.col(f"_{n}"))
-    return rows.join(shared, same, "left_semi")
+    return rows.join(_hashed(shared), same, "left_semi")
 
 
 def covers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -341,7 +346,7 @@ def covers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     firsts = stored(met.groupBy("anchor", "digest").agg(F.min("doc").alias("first")))
     named = firsts.select(F.col("anchor").alias("_anchor"), F.col("digest").alias("_digest"), "first")
     own = F.when(F.col("doc") == F.col("first"), F.col("anchor")).alias("anchor")
-    judged = met.join(named, (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest")))
+    judged = met.join(_hashed(named), (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest")))
     judged = stored(judged.select(own, "doc", "print", "start", "n"))
     dropped(met)
     freed(spark)
@@ -371,7 +376,7 @@ def covers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     least = stored(least.select(F.col("one").alias("_one"), F.col("other").alias("_other"), "_least"))
     freed(spark)
     same = (F.col("one") == F.col("_one")) & (F.col("other") == F.col("_other"))
-    single = windows.join(least, same).filter(F.col("doc") > F.col("_least")).select("doc", "print", "start", (F.col("start") + length).alias("end"))
+    single = windows.join(_hashed(least), same).filter(F.col("doc") > F.col("_least")).select("doc", "print", "start", (F.col("start") + length).alias("end"))
     ordered = whole.unionByName(single).repartition("doc", "print").sortWithinPartitions("doc", "print", "start")
     return ordered.mapInArrow(_merged, "doc long, print long, start long, end long")
 
