@@ -144,6 +144,17 @@ def _finished(runs: dict[str, np.ndarray], offsets: np.ndarray) -> dict[str, np.
     }
 
 
+def _first_least(ranks: np.ndarray, wanted: int) -> np.ndarray:
+    """Where the first of the least ranks of every ``wanted`` positions is."""
+    values, at, span = ranks, np.arange(len(ranks)), 1
+    while span < wanted:
+        shift = min(span, wanted - span)
+        count = max(0, len(values) - shift)
+        first = values[:count] <= values[shift:]
+        values, at, span = np.where(first, values[:count], values[shift:]), np.where(first, at[:count], at[shift:]), span + shift
+    return at
+
+
 def keyed_parts(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
     """Windows of strings, parted by the position that stands for them: text, at, n, and the pair of ranks of that position."""
     size, step = anchor_size(length), key_step(length)
@@ -153,9 +164,7 @@ def keyed_parts(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str,
     fits = np.flatnonzero(np.arange(length, length + len(least)) <= offsets[text + 1]) if len(least) else np.array([], np.int64)
     if not len(fits):
         return {name: np.array([], np.int64) for name in ("text", "at", "n", "one", "other")}
-    place = np.full(len(fits), -1)
-    for at in range(length - size, -1, -1):  # the first place of the anchor stays
-        place = np.where(ranks[size][fits + at] == least[fits], at, place)
+    place = _first_least(ranks[size], length - size + 1)[fits] - fits
     key = fits + place % step
     begins = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (text[fits][1:] != text[fits][:-1])]))
     at = key[begins]

@@ -72,6 +72,13 @@ def test_runs_do_not_depend_on_where_a_look_ends():
     assert [sum(r[2] for r in whole if r[0] == k) for k in range(len(texts))] == [max(0, len(t) - 49) for t in texts]
 
 
+def test_first_least():
+    rng = np.random.default_rng(2)
+    for wanted in (1, 2, 6, 35):
+        ranks = rng.integers(0, 9, 200).astype(np.uint64)
+        assert list(repeats._first_least(ranks, wanted)) == [s + int(np.argmin(ranks[s : s + wanted])) for s in range(200 - wanted + 1)]
+
+
 def test_long_text_and_many_copies(spark):
     rng = random.Random(3)
     long_ = " ".join(str(rng.random()) for _ in range(60_000))
