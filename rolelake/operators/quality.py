@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolelake.functions.urls import is_valid_url
 from rolelake.schema import ALLOWED_SOURCES, NOTIFICATION_STATES, RUN_STATES
 
+# Fields that a posting needs; the messages below are fixed, too.
 REQUIRED_FIELDS = ("job_title", "posting_url", "source")
 
 
