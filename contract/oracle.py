@@ -505,7 +505,7 @@ ORACLE["top_matches"] = f"""WITH {POSTINGS}
 SELECT seq, source, array_to_string(ks[1:4], '|') AS keywords_shown FROM jobs ORDER BY n DESC, seq LIMIT 5"""
 
 ORACLE["newest_unlabelled"] = f"""WITH {POSTINGS}
-SELECT id, {stamp('scrape_timestamp')} AS scrape_timestamp FROM jobs WHERE n - 3 = 0
+SELECT id, {stamp('scrape_timestamp')} AS scrape_timestamp, md5(job_title) AS title_md5, md5(full_description) AS text_md5 FROM jobs WHERE n = 0
 ORDER BY jobs.scrape_timestamp DESC, id LIMIT 100"""
 
 ORACLE["top_keywords"] = f"""WITH {POSTINGS}

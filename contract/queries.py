@@ -582,10 +582,11 @@ def top_matches(spark, sf_dir):
 
 @register
 def newest_unlabelled(spark, sf_dir):
-    jobs = stored_postings(spark, sf_dir).withColumns(
-        {"keyword_match_count": F.col("keyword_match_count") - 3, "full_description": F.lit("")}
+    """Whole stored rows, with a digest of the texts that are handed out."""
+    jobs = cut_lineage(postings(spark, sf_dir))
+    return ranking.newest_unlabelled(jobs, 100).select(
+        "id", stamp("scrape_timestamp").alias("scrape_timestamp"), F.md5("job_title").alias("title_md5"), F.md5("full_description").alias("text_md5")
     )
-    return ranking.newest_unlabelled(jobs, 100).select("id", stamp("scrape_timestamp").alias("scrape_timestamp"))
 
 
 @register
