@@ -9,6 +9,7 @@ shuffle, no Python.  Dictionaries that are kept in tables, too large for the dri
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -83,15 +84,28 @@ def _tail_regex(so_far: str, tails: list[str]) -> str:
     return f"(?:{body})" if "|" in body else body
 
 
-def all_variants_regex(dictionary: KeywordDictionary) -> str:
-    """Regex whose group 1 is, at each start, the longest variant standing there."""
+def _longest_ahead(dictionary: KeywordDictionary) -> str:
+    """Lookahead whose group 1 is the longest variant standing there."""
     variants = sorted({_folded(dictionary, v) for forms in dictionary.variants.values() for v in forms})
     branches = [
         f"{opening}(?:{_shared_prefix_regex(group)})"
         for opening in (_NOT_AFTER_WORD, _AFTER_WORD)
         if (group := [v for v in variants if _opening(v) == opening])
     ]
-    return f"{_flags(dictionary)}(?=({'|'.join(branches)}))"
+    return f"(?=({'|'.join(branches)}))"
+
+
+def all_variants_regex(dictionary: KeywordDictionary) -> str:
+    """Regex whose group 1 is, at each start, the longest variant standing there."""
+    return _flags(dictionary) + _longest_ahead(dictionary)
+
+
+def _pieces_regex(dictionary: KeywordDictionary) -> str:
+    """Regex that cuts a text after the first character of every start of a variant; group 1 is the variant.
+
+    What follows the last start is one more piece, without a variant.
+    """
+    return f"(?s){_flags(dictionary)}.*?{_longest_ahead(dictionary)}.|.+"
 
 
 def keyword_regex(dictionary: KeywordDictionary, keyword: str) -> str:
@@ -100,25 +114,49 @@ def keyword_regex(dictionary: KeywordDictionary, keyword: str) -> str:
     return f"{_flags(dictionary)}(?:{'|'.join(forms)})"
 
 
-def _implied_keywords(dictionary: KeywordDictionary) -> dict[str, list[str]]:
-    """Variant -> keywords that match wherever that variant stands.
+def _heads(dictionary: KeywordDictionary) -> dict[str, list[str]]:
+    """Variant -> the variants that stand wherever it stands.
 
-    Besides its own keywords these are the keywords of every shorter variant that the
-    variant starts with, given that the shorter one ends at a word boundary inside it.
+    Besides itself these are the shorter variants that it starts with and that end at a
+    word boundary inside it.
     """
-    owners: dict[str, set[str]] = {}
+    known = {_folded(dictionary, form) for forms in dictionary.variants.values() for form in forms}
+    return {
+        variant: [
+            variant[:end]
+            for end in range(1, len(variant))
+            if variant[:end] in known and _is_word(variant[end - 1]) != _is_word(variant[end])
+        ] + [variant]
+        for variant in known
+    }
+
+
+def _owners(dictionary: KeywordDictionary) -> dict[str, dict[str, int]]:
+    """Variant -> its keywords, each with the variant's place in the keyword's list."""
+    owners: dict[str, dict[str, int]] = {}
     for keyword, forms in dictionary.variants.items():
-        for form in forms:
-            owners.setdefault(_folded(dictionary, form), set()).add(keyword)
-    implied = {}
-    for variant in owners:
-        found: set[str] = set(owners[variant])
-        for end in range(1, len(variant)):
-            head = variant[:end]
-            if head in owners and _is_word(head[-1]) != _is_word(variant[end]):
-                found |= owners[head]
-        implied[variant] = sorted(found)
-    return implied
+        for place, form in enumerate(forms):
+            owners.setdefault(_folded(dictionary, form), {}).setdefault(keyword, place)
+    return owners
+
+
+def _implied_keywords(dictionary: KeywordDictionary) -> dict[str, list[str]]:
+    """Variant -> keywords that match wherever that variant stands."""
+    owners = _owners(dictionary)
+    return {v: sorted({k for head in heads for k in owners[head]}) for v, heads in _heads(dictionary).items()}
+
+
+def _implied_occurrences(dictionary: KeywordDictionary) -> dict[str, list[dict]]:
+    """Variant -> the keywords that match there, each with the length of its first variant that stands there."""
+    owners = _owners(dictionary)
+    found = {}
+    for variant, heads in _heads(dictionary).items():
+        first: dict[str, tuple[int, int]] = {}
+        for head in heads:
+            for keyword, place in owners[head].items():
+                first[keyword] = min(first.get(keyword, (place, len(head))), (place, len(head)))
+        found[variant] = [{"keyword": k, "size": size} for k, (_, size) in sorted(first.items())]
+    return found
 
 
 def _no_keywords() -> Column:
@@ -196,28 +234,112 @@ def with_keywords(
     )
 
 
+def _occurrences(df: DataFrame, dictionary: KeywordDictionary, text: str, matched: str) -> DataFrame:
+    """The columns of ``df`` but its text, with every start of a keyword in the text.
+
+    ``_pieces``: the text cut after the first character of every start of a variant.  ``_sizes``: their
+    lengths.  ``_groups``: for each keyword its starts (keyword, at, size) in text order; start ``at`` is
+    the last character of that piece.  One regex finds all variants, so the text is read the same
+    number of times whatever the dictionary's size, and nothing is cut up for each keyword.
+    """
+    kept = [c for c in df.columns if c != text]
+    regex = F.lit(_pieces_regex(dictionary))
+    scanned = df.select(
+        *kept,
+        F.regexp_extract_all(text, regex, F.lit(0)).alias("_pieces"),
+        F.regexp_extract_all(text, regex, F.lit(1)).alias("_hits"),
+    )
+    entry = "array<struct<keyword:string,size:int>>"
+    implied = constant_map(_implied_occurrences(dictionary), entry)
+    fold = (lambda c: c) if dictionary.case_sensitive else fold_case_column
+
+    def starts(hit: Column, at: Column) -> Column:
+        here = F.coalesce(F.try_element_at(implied, fold(hit)), F.array().cast(entry))
+        return F.transform(here, lambda k: F.struct(k["keyword"].alias("keyword"), at.alias("at"), k["size"].alias("size")))
+
+    found = F.sort_array(F.flatten(F.transform("_hits", starts)))
+    # A generator keeps what it makes from being computed again inside the functions below.
+    made = F.struct("_pieces", F.transform("_pieces", F.length).alias("_sizes"), found.alias("_starts"))
+    ready = scanned.select(*kept, F.inline(F.array(made)))
+    numbered = F.transform("_starts", lambda s, i: F.struct(s["keyword"].alias("keyword"), i.alias("at")))
+    heads = F.filter(
+        numbered, lambda s: (s["at"] == 0) | (F.get("_starts", s["at"] - 1)["keyword"] != s["keyword"])
+    )
+    headed = ready.select("*", F.inline(F.array(F.struct(heads.alias("_heads")))))
+    groups = F.transform(
+        "_heads",
+        lambda s, i: F.slice(
+            "_starts", s["at"] + 1, F.coalesce(F.get("_heads", i + 1)["at"], F.size("_starts")) - s["at"]
+        ),
+    )
+    known = F.filter(groups, lambda g: F.array_contains(matched, F.get(g, F.lit(0))["keyword"]))
+    return headed.select(*kept, "_pieces", "_sizes", known.alias("_groups"))
+
+
+def _reaches(first: Column, second: Column, sizes: str) -> Column:
+    """Whether the second start lies inside the first one's variant.
+
+    Pieces have a character at least, so no more of them are added up than the variant has characters.
+    """
+    between = F.slice(sizes, first["at"] + 2, F.least(second["at"] - first["at"], first["size"]))
+    return F.aggregate(between, F.lit(0), lambda total, size: total + size) < first["size"]
+
+
+def _chosen(group: Column, sizes: str) -> Column:
+    """Of one keyword's starts the occurrences: from the left, none inside the one before it."""
+    met = F.filter(group, lambda s, i: (i > 0) & _reaches(F.get(group, i - 1), s, sizes))
+    chosen = F.aggregate(
+        F.slice(group, 2, F.size(group)),
+        F.slice(group, 1, 1),
+        lambda done, s: F.when(_reaches(F.element_at(done, -1), s, sizes), done).otherwise(F.array_append(done, s)),
+    )
+    # Without starts that meet, which is nearly always so, there is nothing to choose.
+    return F.when(F.size(met) == 0, group).otherwise(chosen)
+
+
+def _counted(group: Column, sizes: str) -> Column:
+    """Number of one keyword's occurrences."""
+    none = F.struct(F.lit(0).alias("n"), F.lit(None).cast(_START).alias("last"))
+    return F.aggregate(
+        group,
+        none,
+        lambda so_far, s: F.when(F.coalesce(_reaches(so_far["last"], s, sizes), F.lit(False)), so_far).otherwise(
+            F.struct((so_far["n"] + 1).alias("n"), s.alias("last"))
+        ),
+        lambda so_far: so_far["n"],
+    )
+
+
+_START = "struct<keyword:string,at:int,size:int>"
+
+
 def keyword_frequency(
     df: DataFrame,
     dictionary: KeywordDictionary,
     text: str,
     matched: str = "keywords_matched",
 ) -> DataFrame:
-    """One row per (row, matched keyword) with its number of non-overlapping occurrences.
+    """One row per (row, matched keyword of the dictionary) with its number of non-overlapping occurrences.
 
-    Needs the ``matched`` column: a keyword's own regex runs only where it is known to match.
+    Needs the ``matched`` column; a keyword of it that doesn't stand in this text has 0.
     """
-    counts = [
-        F.when(
-            F.array_contains(matched, k),
-            F.struct(
-                F.lit(k).alias("keyword"),
-                F.regexp_count(text, F.lit(keyword_regex(dictionary, k))).alias("occurrences"),
-            ),
-        )
-        for k in dictionary.variants
-    ]
     kept = [c for c in df.columns if c not in (text, matched)]
-    return df.select(*kept, F.inline(F.array_compact(F.array(*counts))))
+    if dictionary.n_variants == 0:
+        return df.select(*kept, F.lit("").alias("keyword"), F.lit(0).alias("occurrences")).where("false")
+    found = _occurrences(df, dictionary, text, matched)
+    counts = F.transform(
+        "_groups",
+        lambda g: F.struct(F.get(g, F.lit(0))["keyword"].alias("keyword"), _counted(g, "_sizes").alias("occurrences")),
+    )
+    names = F.from_json(F.lit(json.dumps(sorted(dictionary.variants))), "array<string>")
+    there = F.transform("_groups", lambda g: F.get(g, F.lit(0))["keyword"])
+    absent = F.array_except(F.array_intersect(matched, names), F.coalesce(there, _no_keywords()))
+    zeros = F.transform(absent, lambda k: F.struct(k.alias("keyword"), F.lit(0).alias("occurrences")))
+    both = F.concat(F.coalesce(counts, F.array().cast(_COUNTS)), zeros)
+    return found.select(*kept, F.inline(both))
+
+
+_COUNTS = "array<struct<keyword:string,occurrences:int>>"
 
 
 def _around(between: str, hits: str, width: int) -> Column:
@@ -266,6 +388,23 @@ def regex_table(dictionary: KeywordDictionary, spark: SparkSession) -> DataFrame
     return spark.createDataFrame(rows, "keyword string, regex string")
 
 
+def _around_starts(starts: Column, width: int) -> Column:
+    """Contexts of occurrences, from the pieces of the text.
+
+    A piece has a character at least, so the nearest ones reach far enough, and of each no more than its
+    nearest characters count; the work for an occurrence doesn't grow with the text.
+    """
+
+    def around(start: Column) -> Column:
+        first = F.greatest(start["at"] - width, F.lit(0))
+        # The last character of the left side is the occurrence's first.
+        left = F.array_join(F.slice("_ends", first + 1, start["at"] - first + 1), "")
+        right = F.array_join(F.slice("_begins", start["at"] + 2, start["size"] + width), "")
+        return strip_ws(F.concat(F.right(left, F.lit(width + 1)), F.left(right, start["size"] - 1 + width)))
+
+    return F.transform(starts, around)
+
+
 def keyword_context(
     df: DataFrame,
     dictionary: KeywordDictionary,
@@ -274,21 +413,26 @@ def keyword_context(
     context_chars: int = 50,
 ) -> DataFrame:
     """One row per (row, matched keyword, occurrence) with the text around it."""
-
-    def cut(keyword: str) -> Column:
-        regex = keyword_regex(dictionary, keyword)
-        return F.struct(
-            F.lit(keyword).alias("keyword"),
-            F.split(text, regex, -1).alias("_between"),
-            F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("_hits"),
-        )
-
-    cuts = [F.when(F.array_contains(matched, k), cut(k)) for k in dictionary.variants]
     kept = [c for c in df.columns if c not in (text, matched)]
-    per_keyword = df.select(*kept, F.inline(F.array_compact(F.array(*cuts))))
-    return per_keyword.select(
-        *kept, "keyword", occurrences_in_context("_between", "_hits", context_chars)
+    if dictionary.n_variants == 0:
+        nothing = [F.lit("").alias("keyword"), F.lit(0).alias("occurrence"), F.lit("").alias("context")]
+        return df.select(*kept, *nothing).where("false")
+    longest = max(len(form) for forms in dictionary.variants.values() for form in forms)
+    found = _occurrences(df, dictionary, text, matched)
+    cut = F.struct(
+        F.transform("_pieces", lambda p: F.right(p, F.lit(context_chars + 1))).alias("_ends"),
+        F.transform("_pieces", lambda p: F.left(p, F.lit(longest + context_chars))).alias("_begins"),
+        F.transform("_groups", lambda g: _chosen(g, "_sizes")).alias("_chosen"),
+    )
+    ready = found.select(*kept, F.inline(F.array(cut)))
+    contexts = F.transform(
+        "_chosen",
+        lambda g: F.struct(
+            F.get(g, F.lit(0))["keyword"].alias("keyword"), _around_starts(g, context_chars).alias("_contexts")
+        ),
     )
+    per_keyword = ready.select(*kept, F.inline(contexts))
+    return per_keyword.select(*kept, "keyword", F.posexplode("_contexts").alias("occurrence", "context"))
 
 
 def skill_categories(matched: Column | str, dictionary: KeywordDictionary) -> Column:

@@ -3,11 +3,15 @@
 A text is cut into alternating word and separator runs.  A variant occurs at word
 boundaries exactly where its own runs equal consecutive runs of the text, provided that a
 separator run at either end of the variant has a word run beyond it.  So the texts' run
-sequences of the lengths that occur in the dictionary are exploded and equi-joined.
+sequences of the lengths that occur in the dictionary are exploded and equi-joined, those at
+least that begin with a run that some variant begins with: a bitmap of fixed size says so inside the
+text's own row.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rolelake.dictionaries import DEFAULT_CATEGORY, DEFAULT_WEIGHT, TITLE_BOOST
@@ -15,6 +19,8 @@ from rolelake.functions.text import WORD
 from rolelake.operators.joins import BROADCAST_ROWS, lookup_join
 from rolelake.operators.matching import each_keyword, fold_case_column, occurrences_in_context
 
+# Of the bitmap over the dictionary's first runs: 128 KB in the plan, whatever the dictionary's size.
+BITMAP_BITS = 1 << 20
 _SEPARATOR = r"[^\p{L}\p{N}_]"
 _RUNS = rf"{WORD}+|{_SEPARATOR}+"
 
@@ -34,24 +40,40 @@ def _shapes(variants: DataFrame) -> list[tuple[bool, int]]:
     return sorted((r["word"], r["n"]) for r in shapes.where("n > 0").distinct().collect())
 
 
-def _sequence_regex(word: bool, n: int) -> str:
-    """Regex whose group 1 is, at each start, the run sequence of that shape.
+def _bit(run: Column) -> Column:
+    return F.pmod(F.xxhash64(run), F.lit(BITMAP_BITS))
+
+
+def _bitmap(variants: DataFrame) -> Column:
+    """The first runs of all variants as bits by hash: words of 64 bits, folded into one literal."""
+    bits = variants.select(_bit(F.get(_runs(F.col("variant")), F.lit(0))).alias("bit")).where("bit is not null")
+    word = bits.select(
+        F.floor(F.col("bit") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("set")
+    )
+    words = [0] * (BITMAP_BITS // 64)
+    for row in word.groupBy("word").agg(F.bit_or("set").alias("set")).collect():
+        words[row["word"]] = row["set"]
+    return F.from_json(F.lit(json.dumps(words)), "array<bigint>")
+
+
+def _sequences(runs: str, places: str, shapes: list[tuple[bool, int]]) -> Column:
+    """Distinct run sequences of the given shapes that begin at the given places.
 
     A separator run at either end needs a word run beyond it.
     """
-    kinds = [word == (i % 2 == 0) for i in range(n)]
-    body = "".join(f"{WORD}++" if is_word else f"{_SEPARATOR}++" for is_word in kinds)
-    opening = f"(?<!{WORD})" if kinds[0] else f"(?<={WORD})"
-    closing = "" if kinds[-1] else f"(?={WORD})"
-    return f"{opening}(?=({body}){closing})"
 
+    def at(place: Column) -> Column:
+        word_here = _starts_with_word(F.col(runs)) == (place % 2 == 0)
+        found = []
+        for word, n in shapes:
+            ends_with_word = word == (n % 2 == 1)
+            fits = (word_here if word else ~word_here & (place > 0)) & (
+                place + n + (0 if ends_with_word else 1) <= F.size(runs)
+            )
+            found.append(F.when(fits, F.array_join(F.slice(runs, place + 1, F.lit(n)), "")))
+        return F.array(*found)
 
-def _sequences(text: Column, shapes: list[tuple[bool, int]]) -> Column:
-    """Distinct run sequences of the given shapes in a text."""
-    found = [
-        F.regexp_extract_all(text, F.lit(_sequence_regex(word, n)), F.lit(1)) for word, n in shapes
-    ]
-    return F.array_distinct(F.concat(*found))
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(places, at))))
 
 
 def keyword_pairs(
@@ -62,23 +84,26 @@ def keyword_pairs(
     case_sensitive: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """(key, keyword) per match, plus one (key, null) per text, from a dictionary table.
+    """(key, keyword) per match from a dictionary table; a pair may come more than once.
 
     ``key`` identifies a row of ``docs``; ``variants`` holds keyword and variant.
     """
     fold = (lambda c: c) if case_sensitive else fold_case_column
-    lookup = variants.select("keyword", fold(F.col("variant")).alias("_gram")).distinct()
-    shapes = _shapes(variants)
+    folded = variants.select("keyword", fold(F.col("variant")).alias("variant"))
+    lookup = folded.withColumnRenamed("variant", "_gram").distinct()
+    shapes = _shapes(folded)
     if not shapes:
-        return docs.select(key, F.lit(None).cast("string").alias("keyword"))
-    folded = docs.select(key, fold(F.coalesce(text, F.lit(""))).alias("_text"))
-    # The null sequence keeps texts without a match.
-    sequences = F.array_append(_sequences(F.col("_text"), shapes), F.lit(None).cast("string"))
-    grams = folded.select(key, F.explode(sequences).alias("_gram"))
+        return docs.select(key, F.lit(None).cast("string").alias("keyword")).where("false")
+    bitmap = _bitmap(folded)
+    cut = docs.select(key, _runs(fold(F.coalesce(text, F.lit("")))).alias("_runs"))
+    maybe = F.transform("_runs", lambda run, i: F.when(F.getbit(F.get(bitmap, F.floor(_bit(run) / 64).cast("int")), _bit(run) % 64) == 1, i))
+    # A generator keeps what it makes from being computed again for every place.
+    placed = cut.select(key, F.inline(F.array(F.struct("_runs", F.array_compact(maybe).alias("_places")))))
+    grams = placed.select(key, F.explode(_sequences("_runs", "_places", shapes)).alias("_gram"))
     joined = lookup_join(
-        grams, lookup, "_gram", spread_by=key, how="left", broadcast_rows=broadcast_rows
+        grams, lookup, "_gram", spread_by=key, how="inner", broadcast_rows=broadcast_rows
     )
-    return joined.where("keyword is not null or _gram is null").select(key, "keyword")
+    return joined.select(key, "keyword")
 
 
 def keywords_by_join(
@@ -91,10 +116,12 @@ def keywords_by_join(
 ) -> DataFrame:
     """(key, keywords_matched), one row per text, equal to the inlined matching.
 
-    A text's sequences sit in one task, so the set is built before the shuffle.
+    A text's sequences sit in one task, so the set is built before the shuffle.  Texts without a
+    match come from a second look at the keys alone.
     """
     pairs = keyword_pairs(docs, key, text, variants, case_sensitive, broadcast_rows)
-    return pairs.groupBy(key).agg(
+    everyone = docs.select(key, F.lit(None).cast("string").alias("keyword"))
+    return pairs.unionByName(everyone).groupBy(key).agg(
         F.sort_array(F.collect_set("keyword")).alias("keywords_matched")
     )
 

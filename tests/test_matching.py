@@ -137,6 +137,57 @@ def test_frequency_and_context_equal_brute_force(spark):
     assert {(r["id"], r["keyword"], r["occurrence"]): r["context"] for r in contexts} == expected_contexts
 
 
+def test_occurrences_with_thousands_of_variants(spark):
+    """Variants that overlap themselves and others, in a dictionary of 2,500 keywords, against brute force."""
+    rng = random.Random(5)
+    words = ["a", "b", "go", "x1", "é", "\U0001f600"]
+    odd = {
+        "Go go": ["go go", "go", "go go go"], "AB": ["a-b-a", "b-a", "a-b"], "Long first": ["go x1 go", "x1"], "Marks": ["--", "a--a", "b -- b"],
+    }
+    many = {f"Skill {i}": [f"skill{i}", f"skill {i}"] for i in range(2500)}
+    dictionary = KeywordDictionary.of([*odd, *many], {**odd, **many}, {}, {}, {})
+    assert dictionary.n_variants > 2000
+    texts = []
+    for _ in range(60):
+        pick = [rng.choice([*words, *words, "GO", f"skill{rng.randrange(2600)}", f"Skill {rng.randrange(2600)}"]) for _ in range(rng.randint(0, 40))]
+        texts.append("".join(p + rng.choice([" ", " ", "-", "--", "  ", " -- "]) for p in pick))
+    df = spark.createDataFrame([*enumerate(texts), (90, None), (91, "")], "id int, t string").coalesce(2)
+    labelled = df.withColumn("keywords_matched", matching.match_keywords(F.coalesce("t", F.lit("")), dictionary))
+    plain = [*odd, *(k for k in many if any(k[6:] in t for t in texts))]
+    counts, contexts = {}, {}
+    for i, text in enumerate(texts):
+        for keyword in plain:
+            spans = brute_force_spans(dictionary, keyword, text)
+            if spans:
+                counts[i, keyword] = len(spans)
+            for n, (start, end) in enumerate(spans):
+                contexts[i, keyword, n] = text[max(0, start - 4): end + 4].strip()
+    assert any(k == "Go go" and n > 2 for (_, k), n in counts.items())
+    got = matching.keyword_frequency(labelled, dictionary, "t").collect()
+    assert {(r["id"], r["keyword"]): r["occurrences"] for r in got} == counts and len(got) == len(counts)
+    got = matching.keyword_context(labelled, dictionary, "t", context_chars=4).collect()
+    assert {(r["id"], r["keyword"], r["occurrence"]): r["context"] for r in got} == contexts and len(got) == len(contexts)
+
+
+def test_occurrences_in_a_text_of_many_starts(spark):
+    df = spark.createDataFrame([(1, "go " * 30_000, ["Go", "SQL"])], "id int, t string, keywords_matched array<string>")
+    dictionary = KeywordDictionary.of(["Go", "SQL"], {"Go": ["go go", "go"]}, {}, {}, {})
+    got = matching.keyword_frequency(df, dictionary, "t").collect()
+    # A keyword that is matched elsewhere has no occurrence here.
+    assert {r["keyword"]: r["occurrences"] for r in got} == {"Go": 15_000, "SQL": 0}
+    assert matching.keyword_context(df, dictionary, "t").count() == 15_000
+
+
+def test_join_form_explodes_only_what_may_match(spark):
+    texts = [(i, "some words that stand in no dictionary at all") for i in range(50)] + [(50, "needs sql here"), (51, None)]
+    df = spark.createDataFrame(texts, "id int, t string")
+    variants = BUILT_IN.variant_table(spark)
+    assert matching_join.keyword_pairs(df, "id", "t", variants).collect() == [(50, "SQL")]
+    assert matching_join.keywords_by_join(df, "id", "t", variants).count() == 52
+    none = variants.where("false")
+    assert {tuple(r["keywords_matched"]) for r in matching_join.keywords_by_join(df, "id", "t", none).collect()} == {()}
+
+
 POSTINGS = [
     (1, "Senior Data Engineer", None, "Python and SQL on AWS with Docker"),
     (2, "Gardener", "", "Loves plants"),
