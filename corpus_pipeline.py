@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolelake.llm import jaccard, language, lines, mixing, pieces, words
 from rolelake.llm.queries import MIX_PASSES, MODEL_FILE
@@ -38,16 +38,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _documents(lines.cleaned(docs.select(*COLUMNS)))
 
 
+def _identity() -> Column:
+    """A key in the order of the ids, null last, then of a digest; rows with one key are equal in all columns."""
+    ids = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    rest = F.concat_ws("\0", *[F.coalesce(c, F.lit("\1")) for c in ("text", "lang", "source")])
+    return F.concat(F.coalesce(ids, F.lit("null")), F.md5(rest.cast("binary")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document with the smallest id.
+    """Of every group of near duplicates the document with the smallest id; without an id only if none has one.
 
-    Rows repeated with one id count as one document, and one of them stays.  Documents without an id have
-    nothing to be told apart by and all stay.
+    Rows equal in id, text, language and source count as one.  Rows that share an id but not the text are documents
+    of their own, and so are rows without an id.
     """
-    named, nameless = docs.filter(F.col("doc_id").isNotNull()), docs.filter(F.col("doc_id").isNull())
-    found = jaccard.near_duplicates(named).filter(F.col("key") == F.col("component")).select(F.col("key").alias("_key"))
-    kept = named.select(*COLUMNS).join(found, F.col("doc_id") == F.col("_key"), "left_semi").dropDuplicates(["doc_id"])
-    return _documents(kept.unionByName(nameless.select(*COLUMNS)))
+    keyed = docs.select(*COLUMNS).withColumn("_key", _identity())
+    found = jaccard.near_duplicates(keyed, key="_key").filter(F.col("key") == F.col("component")).select(F.col("key").alias("_kept"))
+    kept = keyed.join(found, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"])
+    return _documents(kept)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
