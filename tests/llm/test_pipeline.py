@@ -67,6 +67,20 @@ def test_encoding_covers_every_row(stages):
     assert all(r["ids"] == library.encode(texts[r["doc_id"]]) for r in stages["encoding"])
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark, documents, prose):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [
+        (7, a, "en", "s"), (5, a, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (None, b + " more", "en", "s"), (None, c, "en", "s"),
+        (None, c, "en", "s"), (-3, prose(4, 60), "en", "s"), (9, prose(4, 60), None, "s"), (8, None, "en", "s"), (8, None, "en", "t"), (None, None, None, None),
+    ]
+    got = corpus_pipeline.near_duplicates(spark, documents(rows), None).collect()
+    kept = Counter((r["doc_id"], r["text"], r["lang"], r["source"]) for r in got)
+    assert kept == Counter([
+        (5, a, "en", "s"), (5, b, "en", "s"), (None, c, "en", "s"), (-3, prose(4, 60), "en", "s"), (8, None, "en", "s"), (8, None, "en", "t"),
+        (None, None, None, None),
+    ])
+
+
 def test_empty_documents(spark, documents):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
