@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolelake.llm import chat, jaccard, language, lattice, lines, maintext, mixing, pieces, repair, repeats, sequences, sharding, trie, words
 from rolelake.llm.oracle import LLM_ORACLE  # noqa: F401
@@ -104,15 +104,20 @@ def op8_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, and what the written shards hold of it."""
     docs = _table(spark, sf_dir, "documents")
-    size = (F.octet_length(words.as_text("text")) + 1).cast("long")
-    # A row's place in the stored table tells equal rows apart, so that they are dealt to all buckets.
-    placed = docs.withColumns({"_file": F.xxhash64("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
-    sharded = sharding.shuffled_shards(placed, SHARDS, sharding.bucket_count(docs, size, BUCKET_BYTES), by=["_file", "_place"])
-    whole = F.struct(*[F.col(f"_row.`{c}`") for c in docs.columns], "bucket").alias("_row")
-    written = sharding.written_shards(sharded.select(whole, "shard", "slot"), shared_folder(spark))
+
+    def size(text: str) -> Column:
+        return (F.octet_length(words.as_text(text)) + 1).cast("long")
+
+    # A row's place in the stored table tells equal rows apart, so that they are dealt to all buckets.  The
+    # file's name without its folders: the same table elsewhere has the same order.
+    file = docs.metadataColumn("_metadata")
+    sharded = sharding.shuffled_shards(
+        docs, SHARDS, sharding.bucket_count(docs, size("text"), BUCKET_BYTES), by=[F.xxhash64(file["file_name"]), file["row_index"]]
+    )
+    written = sharding.written_shards(sharded, shared_folder(spark))
     return written.select(
-        "doc_id", size.alias("size"), F.crc32(words.as_text("text").cast("binary")).alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
-        F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "bucket",
+        "_row.doc_id", size("_row.text").alias("size"), F.crc32(words.as_text("_row.text").cast("binary")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "bucket",
     )
 
 

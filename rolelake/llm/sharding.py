@@ -24,18 +24,18 @@ def bucket_count(rows: DataFrame, size: Column, bucket_bytes: int) -> int:
 
 
 def shuffled_shards(
-    rows: DataFrame, shards: int, buckets: int, seed: int = 1, by: list[str] | None = None
+    rows: DataFrame, shards: int, buckets: int, seed: int = 1, by: list[Column] | None = None
 ) -> DataFrame:
     """Every row with its shard and its slot in it.
 
     Returns ``_row`` (struct: the whole input row), ``bucket``, ``shard`` (0 to shards - 1) and ``slot``
-    (0, 1, 2 .. in every shard, in the order to write).  ``by``: columns that are hashed, all by default;
-    they should tell rows apart, since rows equal in all of them share a bucket.
+    (0, 1, 2 .. in every shard, in the order to write).  ``by``: what is hashed, all columns by default;
+    it should tell rows apart, since rows equal in all of it share a bucket.
 
     Nulls in any column: hashed like any value.  Equal rows: all kept.  Fewer rows than shards: some
     shards stay empty.  Empty table: no rows.  Input columns stay inside ``_row``, so no name can clash.
     """
-    hashed = [F.col(f"`{c}`") for c in by or rows.columns]
+    hashed = by or [F.col(f"`{c}`") for c in rows.columns]
     # Seeded by a leading column: the hash of later columns starts from it.
     scattered = rows.select(
         F.xxhash64(F.lit(seed), *hashed).alias("_hash"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
@@ -68,13 +68,32 @@ def shuffled_shards(
     )
 
 
+def _own_names(columns: list[str]) -> tuple[str, str, str]:
+    """Names for bucket, slot and shard that no column of the rows has; more underscores where one has."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in ("_bucket", "_slot", "_shard"):
+        while name in taken:
+            name = "_" + name
+        found.append(name)
+    return tuple(found)
+
+
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Write one folder per shard; each bucket's task writes its rows in slot order."""
-    sharded.select("_row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot")).write.partitionBy("_shard").parquet(path)
+    """Write one folder per shard; each bucket's task writes its rows in slot order.
+
+    Files hold the rows' columns, ``_bucket`` and ``_slot``, folders are named by ``_shard``; a name that the rows
+    have themselves gets another underscore.
+    """
+    bucket, slot, shard = _own_names(sharded.schema["_row"].dataType.names)
+    sharded.select("_row.*", F.col("bucket").alias(bucket), F.col("slot").alias(slot), F.col("shard").alias(shard)).write.partitionBy(shard).parquet(path)
 
 
 def written_shards(sharded: DataFrame, path: str) -> DataFrame:
-    """Write the shards and read them back: the rows' columns, ``_slot`` and ``_shard``."""
+    """Write the shards and read them back: ``_row`` (struct: the whole row), ``bucket``, ``shard`` and ``slot``."""
     write_shards(sharded, path)
-    rows = sharded.select("_row.*", F.col("slot").alias("_slot"), F.col("shard").alias("_shard"))
-    return sharded.sparkSession.read.schema(rows.schema).parquet(path)
+    names = sharded.schema["_row"].dataType.names
+    bucket, slot, shard = _own_names(names)
+    layout = sharded.select("_row.*", F.col("bucket").alias(bucket), F.col("slot").alias(slot), F.col("shard").alias(shard)).schema
+    back = sharded.sparkSession.read.schema(layout).parquet(path)
+    return back.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(bucket).alias("bucket"), F.col(shard).alias("shard"), F.col(slot).alias("slot"))

@@ -1,3 +1,4 @@
+import shutil
 from collections import Counter, defaultdict
 
 import pytest
@@ -72,3 +73,20 @@ def test_query_shards_whole_rows_and_spreads_equal_ones(spark, documents, tmp_pa
     for r in got:
         by[r["shard"]].append(r["slot"])
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(by) == 16
+
+
+def test_query_stands_clashing_columns_and_another_path(spark, tmp_path, monkeypatch):
+    from rolelake.llm import queries
+
+    rows = [(i, None if i == 3 else f"text {i % 40}", "b", "s", "S", "f", "p", "h", "i", "m", "r") for i in range(90)]
+    named = "doc_id long, text string, bucket string, _slot string, _Shard string, _file string, _place string, _hash string, _items string, _metadata string, _row string"
+    spark.createDataFrame(rows, named).coalesce(1).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    shutil.copytree(tmp_path / "a", tmp_path / "b")
+    monkeypatch.setattr(queries, "BUCKET_BYTES", 200)
+    got = []
+    for name in ("a", "b"):
+        monkeypatch.setattr(queries, "shared_folder", lambda spark, name=name: str(tmp_path / f"shards-{name}"))
+        got.append(sorted(map(tuple, queries.op9_two_pass_shards(spark, str(tmp_path / name)).collect())))
+    assert got[0] == got[1] and len(got[0]) == 90
+    back = spark.read.parquet(str(tmp_path / "shards-a")).select("doc_id", "text", "bucket", "_slot", "_Shard", "_file", "_metadata").collect()
+    assert sorted(tuple(r) for r in back if r["text"]) == sorted((r[0], r[1], "b", "s", "S", "f", "m") for r in rows if r[1])
