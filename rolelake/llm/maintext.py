@@ -130,6 +130,7 @@ class _Lines:
     def __init__(self) -> None:
         self.lines: list[tuple[str, int, int | None]] = []
         self.open: list[str] = []
+        self.places: dict[str, list[int]] = {}  # of each tag in ``open``, in order
         self.begun = 0  # articles and mains so far
         self.region: dict[str, int] = {}
         self.suspects: list[_Suspect] = []  # all, in order
@@ -142,7 +143,7 @@ class _Lines:
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            region = next((self.region[t] for t in ("article", "main") if t in self.open), None)
+            region = next((self.region[t] for t in ("article", "main") if self.places.get(t)), None)
             self.add(text, max(0, len(text) - self.linked), region)
         self.pieces, self.linked = [], 0
 
@@ -182,13 +183,15 @@ class _Lines:
         if text and self.out_at is None:
             text = unescape(text)
             self.pieces.append(text)
-            if "a" in self.open:
+            if self.places.get("a"):
                 self.linked += len(text.strip())
 
     def close_to(self, size: int) -> None:
         """Close the innermost elements until ``size`` are open; the line ends while they still count."""
         if self.out_at is None and (any(t in _BLOCKS for t in self.open[size:]) or self.suspect is not None and self.suspect.at >= size):
             self.flush()
+        for tag in self.open[size:]:
+            self.places[tag].pop()
         del self.open[size:]
         while self.suspect is not None and self.suspect.at >= size:
             self.suspect = self.suspect.around
@@ -198,12 +201,10 @@ class _Lines:
 
     def innermost(self, tag: str, until: frozenset[str]) -> int | None:
         """Position of the innermost open ``tag``, not looking past an element of ``until``."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k] == tag:
-                return k
-            if self.open[k] in until:
-                return None
-        return None
+        if not self.places.get(tag):
+            return None
+        k = self.places[tag][-1]
+        return None if any(self.places.get(other, [])[-1:] > [k] for other in until) else k
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in _BLOCKS:
@@ -221,19 +222,21 @@ class _Lines:
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCKS:
             return
         if self.out_at is None:
-            mark = _mark(tag, attributes, "article" in self.open)
+            in_article = bool(self.places.get("article"))
+            mark = _mark(tag, attributes, in_article)
             if mark == _OUT:
                 self.gap()
                 self.out_at = len(self.open)
             elif mark != _KEPT:
                 self.flush()
-                self.suspect = _Suspect(len(self.open), mark, "article" in self.open, self.suspect)
+                self.suspect = _Suspect(len(self.open), mark, in_article, self.suspect)
                 self.suspects.append(self.suspect)
             elif tag in ("article", "main") and self.suspect is not None:
                 self.suspect.holds_article = True
-        if tag in ("article", "main") and tag not in self.open:
+        if tag in ("article", "main") and not self.places.get(tag):
             self.begun += 1
             self.region[tag] = self.begun
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(tag)
 
     def end(self, tag: str) -> None:

@@ -1,6 +1,8 @@
 import html
 import re
 
+import time
+
 import pytest
 
 from rolelake.llm import maintext
@@ -106,3 +108,10 @@ def test_doubtful_names_go_by_their_links():
     page = '<article>{}<div class="related-links"><h3>More</h3>{}</div></article>'
     assert maintext.main_text(page.format(BODY, links)) == BODY_TEXT
     assert "long title" in maintext.main_text(page.format(BODY, links.replace("<a ", "<b ").replace("</a>", "</b>")))
+
+
+@pytest.mark.parametrize("tag", ["<b>", "<p><i>", "<div>", "<div class=related>", "<li><span>", "<article>", "<p></b>", "<a href=x>", "<nav>", "<", "<!--", "<a b='"])
+def test_time_grows_with_the_page(tag):
+    start = time.process_time()
+    maintext.main_text(f"<body>{BODY}" + f"{tag}some words " * 50_000)
+    assert time.process_time() - start < 5
