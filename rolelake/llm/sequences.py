@@ -6,8 +6,9 @@ with cycle-walking to stay in range, gives its global slot.  Slots are cut into
 a shard is a run of records of equal size, so the record of a slot is found by arithmetic and
 reading can start anywhere.
 
-Sequences are stored once, and their index counts from how many each task has made, so nothing is numbered in
-one place.
+Sequences are stored once, compressed in large pages, and their index counts from how many each task has made, so
+nothing is numbered in one place.  A sequence is shuffled as a compressed record; only the shards hold plain ids.
+The index follows the tasks of the scan: the same table read in other splits has another order, under the same key.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rolelake.operators.durable import stored
+from rolelake.operators.durable import shared_folder, stored
 from rolelake.shipping import ship
 
 #: Fixed value: how the rank file's vocabulary splits a text before merging.
@@ -139,11 +141,31 @@ def packed(docs: DataFrame, rank_file: str, length: int, text: str = "text") ->
     ship(docs.sparkSession)
     texts = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
     made = texts.mapInArrow(_packer(rank_file, length), "place long, n_tokens int, ids binary")
-    return stored(made.withColumn("task", F.spark_partition_id()))
+    numbered, path = made.withColumn("task", F.spark_partition_id()), shared_folder(docs.sparkSession)
+    numbered.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
+@F.pandas_udf(T.BinaryType())
+def _squeezed(ids: pd.Series) -> pd.Series:
+    squeeze = zstandard.ZstdCompressor(level=3, write_checksum=False)
+    return pd.Series([squeeze.compress(i) for i in ids], dtype=object)
+
+
+@F.pandas_udf(T.BinaryType())
+def _plain(ids: pd.Series) -> pd.Series:
+    plain = zstandard.ZstdDecompressor()
+    return pd.Series([plain.decompress(i) for i in ids], dtype=object)
 
 
 def in_training_order(sequences: DataFrame, shard_records: int, key: int = 1) -> DataFrame:
     """Sequences with ``slot``, ``shard`` and ``record`` (place in the shard), one partition per shard, in order."""
+    return _placed(sequences, shard_records, key).withColumn("ids", _plain("ids"))
+
+
+def _placed(sequences: DataFrame, shard_records: int, key: int) -> DataFrame:
+    """As ``in_training_order``, with compressed ids."""
+    ship(sequences.sparkSession)
     counts = sequences.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -156,7 +178,8 @@ def in_training_order(sequences: DataFrame, shard_records: int, key: int = 1) ->
     # One row of 12 bytes for each task that packed sequences, some MB for a million tasks.
     indexed = sequences.join(F.broadcast(starts), F.col("task") == F.col("_task")).withColumn("slot", slot_of(F.col("_start") + F.col("place")))
     placed = indexed.select(
-        "slot", F.expr(f"cast(slot div {shard_records} as int)").alias("shard"), (F.col("slot") % shard_records).alias("record"), "n_tokens", "ids"
+        "slot", F.expr(f"cast(slot div {shard_records} as int)").alias("shard"), (F.col("slot") % shard_records).alias("record"), "n_tokens",
+        _squeezed("ids").alias("ids"),
     )
     shards = max(1, -(-total // shard_records))
     return placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
@@ -221,3 +244,21 @@ def read_shards(written: DataFrame, folder: str, rank_file: str, length: int, sh
     # One task for each file.
     dealt = written.repartitionById(max(1, written.count()), F.col("shard"))
     return dealt.mapInArrow(read, "slot long, shard int, record long, n_tokens int, ids binary")
+
+
+def read_from(folder: str, slot: int, shard_records: int, stride: int) -> Iterator[bytes]:
+    """Records in training order from a slot on, as a trainer that resumes reads them.
+
+    The slot's file is opened at its record; the files before are not touched.  Ends with the last record; a slot
+    past it gives none.
+    """
+    if slot < 0:
+        raise ValueError("slots count from 0")
+    system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    shard, record = divmod(slot, shard_records)
+    while system.get_file_info(path := f"{root}/shard-{shard:06d}.bin").type == fs.FileType.File:
+        with system.open_input_file(path) as data:
+            data.seek(min(record * stride, data.size()))
+            while ids := data.read(stride):
+                yield ids
+        shard, record = shard + 1, 0

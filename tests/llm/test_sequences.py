@@ -39,6 +39,11 @@ def test_shards_hold_every_text_once(spark, documents, prose, tmp_path):
         with open(file["path"], "rb") as stream:
             stream.seek(r["record"] * file["stride"])
             assert stream.read(file["stride"]) == bytes(r["ids"])
+    in_slots = [bytes(r["ids"]) for r in sorted(got, key=lambda r: r["slot"])]
+    for first in (0, 1, 49, 50, 73, total - 1, total, total + 500):
+        assert list(sequences.read_from(f"{tmp_path}/shards", first, 50, 128)) == in_slots[first:]
+    with pytest.raises(ValueError):
+        next(sequences.read_from(f"{tmp_path}/shards", -1, 50, 128))
     tokens = sequences.Tokens(RANK_FILE)
     in_order = sorted(made.collect(), key=lambda r: (r["task"], r["place"]))
     ids = np.concatenate([np.frombuffer(r["ids"], dtype="<u2")[: r["n_tokens"]] for r in in_order])
