@@ -28,6 +28,8 @@ from rolelake.shipping import ship
 MARK = "▁"
 #: Encodings of segments that a task remembers in each of two generations.
 _REMEMBERED = 120_000
+#: Pairs of pieces whose answer a task remembers, 9 bytes each, and how many are sorted in at a time.
+_PAIRS, _LATE = 2_000_000, 20_000
 #: Characters that are indexed at a time; a longer segment is indexed by itself.
 _INDEXED = 300_000
 
@@ -61,7 +63,9 @@ class Pieces:
         self.segment = re.compile(f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.memory = _Remembered(self)
         self.place_of = {w: k for k, w in enumerate(self.sorted)}
-        self._fits: dict[int, bool] = {}
+        # Pairs whose answer is known, in order, and the latest ones, which are sorted in when there are many.
+        self._pairs, self._fit = np.array([np.iinfo(np.int64).max]), np.zeros(1, dtype=bool)
+        self._late: dict[int, bool] = {}
 
     def normalized(self, text: str | None) -> str:
         """White space marks for spaces, and one before the text."""
@@ -91,16 +95,31 @@ class Pieces:
             offer(i)
         return [p for p in part if p is not None]
 
-    def fits(self, left: int, right: int) -> bool:
-        """Whether two pieces (places in ``sorted``) next to each other are encoded as just these; left -1: nothing before."""
-        key = left * len(self.sorted) + right
-        known = self._fits.get(key)
-        if known is None:
-            if len(self._fits) >= 300_000:
-                self._fits.clear()
-            both = [*([self.sorted[left]] if left >= 0 else []), self.sorted[right]]
-            known = self._fits[key] = self.merged("".join(both)) == both
-        return known
+    def _fits_alone(self, pair: int) -> bool:
+        left, right = divmod(pair, len(self.sorted))
+        both = [*([self.sorted[left]] if left >= 0 else []), self.sorted[right]]
+        return self.merged("".join(both)) == both
+
+    def fits(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether two pieces next to each other are encoded as just these.
+
+        A pair is the first's place in ``sorted`` (-1: nothing before) times their number, plus the second's place.
+        """
+        at = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+        out, known = self._fit[at], self._pairs[at] == pairs
+        for k in np.flatnonzero(~known).tolist():
+            pair = int(pairs[k])
+            if pair not in self._late:
+                self._late[pair] = self._fits_alone(pair)
+            out[k] = self._late[pair]
+        if len(self._late) > _LATE:
+            late = np.fromiter(self._late, dtype=np.int64, count=len(self._late))
+            fit = np.fromiter(self._late.values(), dtype=bool, count=len(self._late))
+            if len(self._pairs) < _PAIRS:
+                late, fit = np.concatenate([self._pairs, late]), np.concatenate([self._fit, fit])
+            order = np.argsort(late)
+            self._pairs, self._fit, self._late = late[order], fit[order], {}
+        return out
 
     def unknown_numbers(self, character: str) -> list[int]:
         """A character without piece as its bytes."""
@@ -126,7 +145,7 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
         shifted = np.zeros_like(rank)
         shifted[: max(0, len(rank) - reach)] = rank[reach:] + 1
         key = rank * (len(rank) + 2) + shifted
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         reach *= 2
         if reach >= depth:
             return order
@@ -177,7 +196,8 @@ def _relaxed(text: str, begins: np.ndarray, stops: np.ndarray, pieces: Pieces) -
     place, which = place[inside], which[inside]
     end = (place + pieces.size[which]).astype(np.int32)
     distance = end - begin_of[place]
-    order = np.argsort(distance, kind="stable")
+    # Small numbers are sorted by radix.
+    order = np.argsort(distance.astype(np.uint16) if distance.max(initial=0) < 1 << 16 else distance, kind="stable")
     place, which, end, distance = place[order], which[order], end[order], distance[order]
     start = place == begin_of[place]
     steps = np.searchsorted(distance, np.arange(1, int(distance.max(initial=0)) + 2))
@@ -188,7 +208,7 @@ def _relaxed(text: str, begins: np.ndarray, stops: np.ndarray, pieces: Pieces) -
             continue
         left = np.where(start[lo:hi], -1, last[place[lo:hi]])  # 64 bits
         pairs, back = np.unique(left * many + which[lo:hi], return_inverse=True)
-        fit = np.array([pieces.fits(int(p) // many, int(p) % many) for p in pairs])[back]
+        fit = pieces.fits(pairs)[back]
         last[end[lo:hi][fit]] = which[lo:hi][fit]
     return last
 
