@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -30,8 +31,10 @@ MARK = "▁"
 _REMEMBERED = 120_000
 #: Pairs of pieces whose answer a task remembers, 9 bytes each, and how many are sorted in at a time.
 _PAIRS, _LATE = 2_000_000, 20_000
+#: Bytes of text that are cut into segments at a time.
+_SLICE = 1 << 20
 #: Characters that are indexed at a time; a longer segment is indexed by itself.
-_INDEXED = 300_000
+_INDEXED = 150_000
 
 
 class Pieces:
@@ -177,10 +180,11 @@ def occurrences(text: str, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
                 start = lo
             else:
                 low[open_], high[open_] = start, lo
+    # 32 bits are enough for places and keep the edges small.
     many = high - low
-    which = np.repeat(np.arange(len(size)), many)
-    within = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-    return order[low[which] + within], which
+    within = np.arange(int(many.sum()), dtype=np.int32)
+    within += np.repeat((low - (np.cumsum(many) - many)).astype(np.int32), many)
+    return order.astype(np.int32)[within], np.repeat(np.arange(len(size), dtype=np.int32), many)
 
 
 def _relaxed(text: str, begins: np.ndarray, stops: np.ndarray, pieces: Pieces) -> np.ndarray:
@@ -188,13 +192,13 @@ def _relaxed(text: str, begins: np.ndarray, stops: np.ndarray, pieces: Pieces) -
 
     Edges are relaxed by the distance of their end from the segment's begin, all segments at once.
     """
-    # With the separator after each segment.  32 bits are enough for places and keep the edges small.
+    # With the separator after each segment.
     begin_of = np.repeat(begins, stops - begins + 1).astype(np.int32)
     stop_of = np.repeat(stops, stops - begins + 1).astype(np.int32)
-    place, which = (x.astype(np.int32) for x in occurrences(text, pieces))
-    inside = place + pieces.size[which] <= stop_of[place]
-    place, which = place[inside], which[inside]
-    end = (place + pieces.size[which]).astype(np.int32)
+    place, which = occurrences(text, pieces)
+    end = place + pieces.size.astype(np.int32)[which]
+    inside = end <= stop_of[place]
+    place, which, end = place[inside], which[inside], end[inside]
     distance = end - begin_of[place]
     # Small numbers are sorted by radix.
     order = np.argsort(distance.astype(np.uint16) if distance.max(initial=0) < 1 << 16 else distance, kind="stable")
@@ -293,20 +297,29 @@ class _Remembered:
         return list(map(young.__getitem__, segments))
 
 
-def _encoder(model_file: str):
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where runs of texts with about so many bytes begin, and how many texts they have; a longer text ends a run."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    run = (np.cumsum(sizes) - sizes) // _SLICE
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    yield from zip(starts.tolist(), np.diff(starts, append=len(texts)).tolist(), strict=True)
+
+
+def _encoder(model_file: str, place: int | None):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Numbers of each whole text; segments of a batch that aren't remembered are matched together."""
         pieces = _pieces(model_file)
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                part = batch.slice(start, 512)
-                split = [pieces.segment.findall(pieces.normalized(t)) for t in part.column("text").to_pylist()]
+            rows = batch.column("row")
+            texts = batch.column("text") if place is None else rows.field(place)
+            for start, many in _slices(texts):
+                split = [pieces.segment.findall(pieces.normalized(t)) for t in texts.slice(start, many).to_pylist()]
                 flat = pieces.memory.of([s for segments in split for s in segments])
                 sizes = np.cumsum([0, *map(len, flat)]) // 4
                 ends = sizes[np.cumsum([0, *map(len, split)])]
                 ids = np.frombuffer(b"".join(flat), dtype="<i4")
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("row"), lists], ["row", "ids"])
+                yield pa.RecordBatch.from_arrays([rows.slice(start, many), lists], ["row", "ids"])
         # A worker stays alive for tasks of other kinds.
         pieces.memory = _Remembered(pieces)
 
@@ -321,9 +334,12 @@ def with_ids(docs: DataFrame, model_file: str, text: str = "text", into: str = "
     """
     ship(docs.sparkSession)
     kept = [c for c in docs.columns if c != into]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    # A text that is among the columns kept isn't handed over twice.
+    place = kept.index(text) if text in kept and docs.schema[text].dataType == T.StringType() else None
+    apart = [F.col(f"`{text}`").cast("string").alias("text")] if place is None else []
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), *apart)
     row_type = rows.schema["row"].dataType.simpleString()
-    done = rows.mapInArrow(_encoder(model_file), f"row {row_type}, ids array<int>")
+    done = rows.mapInArrow(_encoder(model_file, place), f"row {row_type}, ids array<int>")
     return done.select(*[F.col(f"row.`{c}`") for c in kept], F.col("ids").alias(into))
 
 

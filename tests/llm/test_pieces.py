@@ -42,3 +42,19 @@ def test_every_occurrence_is_found():
     got = sorted((int(p), model.sorted[w]) for p, w in zip(place, which))
     want = sorted((i, text[i:j]) for i in range(len(text)) for j in range(i + 1, len(text) + 1) if text[i:j] in model.number)
     assert got == want
+
+
+def test_texts_of_all_sizes_keep_their_rows(spark, prose, monkeypatch):
+    from rolelake.llm import pieces as module
+
+    monkeypatch.setattr(module, "_SLICE", 64)
+    assert [list(module._slices(module.pa.array(t, module.pa.string()))) for t in ([], [None], ["a" * 70, "", None, "b", "c" * 200, "d"])] == [
+        [], [(0, 1)], [(0, 1), (1, 4), (5, 1)]]
+    rows = [(i, None if i % 7 == 3 else prose(i, i * 11 % 90)) for i in range(60)]
+    named = spark.createDataFrame(rows, "n int, text string")
+    want = {r["n"]: r["ids"] for r in named.transform(lambda d: module.with_ids(d, MODEL_FILE)).collect()}
+    # A text that is replaced, one of another type, and one under another name.
+    over = module.with_ids(named, MODEL_FILE, into="text").collect()
+    cast = module.with_ids(named.selectExpr("n", "cast(text AS binary) AS body"), MODEL_FILE, text="body").collect()
+    assert {r["n"]: r["text"] for r in over} == want == {r["n"]: r["ids"] for r in cast}
+    assert all(want[n] == [] for n, t in rows if not t) and sum(map(len, want.values())) > 500
