@@ -687,3 +687,6 @@ UNION ALL SELECT 'broken', 'failed', 0, 0, 0, true"""
 
 ORACLE["cycle_rejected"] = f"""WITH {OTHER_FAULTY}
 SELECT id, array_to_string(errors, '|') AS errors, md5(full_description) AS text_md5 FROM checked WHERE len(errors) > 0"""
+
+for _view in ("daily_stats", "trending_keywords", "company_stats", "global_stats"):
+    ORACLE[f"summarised_{_view}"] = ORACLE[_view]

@@ -28,7 +28,7 @@ from contract.relations import (
 from rolelake.functions import dates, text, urls
 from rolelake.operators import dedup, matching, matching_join, quality, ranking
 from rolelake.operators.durable import cut_lineage, ensure_checkpoint_dir, shared_folder
-from rolelake.plans import cycle, index, logs, records, runs, sqlfunctions, store, views
+from rolelake.plans import cycle, index, logs, records, runs, sqlfunctions, store, summaries, views
 from rolelake.sources import cards, links
 from rolelake.sources import payloads as payload_source
 
@@ -558,6 +558,40 @@ def global_stats(spark, sf_dir):
     )
 
 
+def _summarised(spark, jobs):
+    """Postings with their day, and the daily summaries made from them."""
+    dated = jobs.withColumn("scrape_date", F.to_date("scrape_timestamp"))
+    made = summaries.DailySummaries(spark, shared_folder(spark))
+    made.replace(dated)
+    return made, dated
+
+
+@register
+def summarised_daily_stats(spark, sf_dir):
+    made, jobs = _summarised(spark, event_postings(spark, sf_dir))
+    return made.daily_stats(jobs, EVENTS_AS_OF, 30).withColumn("scrape_date", F.date_format("scrape_date", "yyyy-MM-dd"))
+
+
+@register
+def summarised_trending_keywords(spark, sf_dir):
+    made, jobs = _summarised(spark, stored_postings(spark, sf_dir))
+    return made.trending_keywords(jobs, AS_OF).withColumn("last_seen", stamp("last_seen"))
+
+
+@register
+def summarised_company_stats(spark, sf_dir):
+    made, jobs = _summarised(spark, stored_postings(spark, sf_dir))
+    return made.company_stats(jobs, AS_OF).withColumns(
+        {"first_seen": stamp("first_seen"), "last_seen": stamp("last_seen"), "job_boards": joined("job_boards")}
+    )
+
+
+@register
+def summarised_global_stats(spark, sf_dir):
+    made, jobs = _summarised(spark, event_postings(spark, sf_dir))
+    return made.global_stats(jobs, EVENTS_AS_OF).withColumn("last_scrape", stamp("last_scrape"))
+
+
 @register
 def batch_analysis(spark, sf_dir):
     listed = F.transform("top_keywords", lambda e: F.concat(e["keyword"], F.lit(":"), e["n"].cast("string")))

@@ -13,9 +13,10 @@ One writer at a time: two inserts that run side by side can store one URL twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -30,12 +31,14 @@ from rolelake.operators.quality import POSTING_CONSTRAINTS, constraint_errors
 from rolelake.plans.index import KeywordIndex, UrlKeys
 from rolelake.plans.logs import keep_recent
 from rolelake.plans.records import keyword_count, touched
-from rolelake.schema import INSERTS, KEYWORD_PRIORITY, NOTIFICATION_IDS, NOTIFICATION_LOG, NOTIFIED, PENDING, POSTING, REJECTED, REPORTED_UPTO, RUN_EVENT, RUN_LOG
+from rolelake.plans.summaries import DailySummaries
+from rolelake.schema import CHANGED_DAYS, INSERTS, KEYWORD_PRIORITY, NOTIFICATION_IDS, NOTIFICATION_LOG, NOTIFIED, PENDING, POSTING, REJECTED, REPORTED_UPTO, RUN_EVENT, RUN_LOG, SUMMARISED
 
 POSTINGS, RUNS, NOTIFICATIONS = "postings", "run_log", "notification_log"
 REPORTED, REJECTED_ROWS, PRIORITIES = "notified", "rejected", "keyword_priorities"
 NOTIFIED_IDS, EVENTS = "notification_ids", "run_events"
 QUEUE, UPTO, INSERT_MARKS = "pending", "reported_upto", "inserts"
+CHANGES, SUMMED_CHANGES = "changed_days", "summarised"
 
 _SCHEMAS = {
     POSTINGS: POSTING,
@@ -49,6 +52,8 @@ _SCHEMAS = {
     UPTO: REPORTED_UPTO,
     EVENTS: RUN_EVENT,
     INSERT_MARKS: INSERTS,
+    CHANGES: CHANGED_DAYS,
+    SUMMED_CHANGES: SUMMARISED,
 }
 # Tables partitioned by a day of their own.
 _DAY_OF = {POSTINGS: "scrape_date", REPORTED: "sent_day", QUEUE: "queue_day"}
@@ -174,6 +179,7 @@ class PostingStore:
             (writer.partitionBy(partition) if partition else writer).parquet(self._path(name))
         self.keywords = KeywordIndex(spark, self._path("keyword_index"))
         self.urls = UrlKeys(spark, self._path("url_keys"))
+        self.summaries = DailySummaries(spark, self._path("summaries"))
 
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -244,6 +250,7 @@ class PostingStore:
         self._mark_insert("begun", high, as_of)
         self.keywords.add(fresh)
         self._enqueue(fresh, as_of)
+        self._changing(fresh)
         # All of one day and already in tasks of a good size, so written without a shuffle.
         fresh.write.partitionBy("scrape_date").mode("append").parquet(self._path(POSTINGS))
         self.urls.add(fresh)
@@ -309,6 +316,7 @@ class PostingStore:
         days_due = {r["scrape_date"]: r["n"] for r in due.collect()}
         if days_due:
             affected = old.where(F.col("scrape_date").isin(*days_due))
+            self._changing(affected)
             self._replace_partitions(POSTINGS, archived(affected, as_of, days))
         return sum(days_due.values())
 
@@ -327,11 +335,45 @@ class PostingStore:
             own = changed.join(updates.select("id").distinct(), "id", "left_semi")
             self.keywords.add(own)
             self._enqueue(own.join(self.read(REPORTED).select("id"), "id", "left_anti"), as_of)
+            self._changing(changed)
             self._replace_partitions(POSTINGS, changed)
 
+    def _changing(self, rows: DataFrame) -> None:
+        """Note the days of rows that are about to change."""
+        self.append(CHANGES, rows.select(F.lit(uuid.uuid4().hex).alias("change"), "scrape_date").distinct())
+
+    def _unsummarised(self) -> tuple[list[date] | None, DataFrame]:
+        """Days that changed since they were summarised, None for all before the first time; and the changes."""
+        done = self.read(SUMMED_CHANGES)
+        open_ = self.read(CHANGES).join(done, "change", "left_anti")
+        if done.isEmpty():
+            return None, open_
+        # One row for each day.
+        return [r["scrape_date"] for r in open_.select("scrape_date").distinct().collect()], open_
+
+    def summarise(self) -> None:
+        """Bring the daily summaries up to date; reads and rewrites only days that changed."""
+        days, changes = self._unsummarised()
+        if days == []:
+            return
+        held = cut_lineage(changes.select("change").distinct().union(self.spark.range(1).select(F.lit("made"))))
+        self.summaries.replace(self.postings(), days)
+        self.append(SUMMED_CHANGES, held)
+
+    def analysis(self, view: str, as_of: datetime, **options: int) -> DataFrame:
+        """``daily_stats``, ``trending_keywords``, ``company_stats`` or ``global_stats`` as of now, from the daily summaries.
+
+        Days that changed since the last ``summarise`` are read from the postings.
+        """
+        days, _ = self._unsummarised()
+        if days is None:
+            days = [r["scrape_date"] for r in self.read(POSTINGS).select("scrape_date").distinct().collect()]
+        return getattr(self.summaries, view)(self.postings(), as_of, stale=days, **options)
+
     def report(self, jobs: DataFrame, as_of: datetime, min_keywords: int | None = None) -> None:
         """Note that these postings were reported; with ``min_keywords``, that nothing with so many keywords is left up to today."""
         day = self._queue_day(as_of)
+        self._changing(self.read(POSTINGS).select("id", "scrape_date").join(jobs.select("id"), "id", "left_semi"))
         self.append(REPORTED, jobs.select("id", timestamp_lit(as_of).alias("sent_at"), day.alias("sent_day")))
         if min_keywords is not None:
             row = self.spark.range(1).select(F.lit(min_keywords).cast("int").alias("min_keywords"), day.alias("day"))

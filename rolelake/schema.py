@@ -88,6 +88,10 @@ REPORTED_UPTO = _schema(min_keywords=T.IntegerType(), day=T.DateType())
 # Begin and end of every insert, with the highest id that it gave.
 INSERTS = _schema(state=_TEXT, high=_COUNT, at=_TIME)
 
+# Days whose postings a change touches, noted before it, and the changes that the daily summaries hold.
+CHANGED_DAYS = _schema(change=_TEXT, scrape_date=T.DateType())
+SUMMARISED = _schema(change=_TEXT)
+
 KEYWORD_PRIORITY = _schema(keyword=_TEXT, priority=T.IntegerType(), category=_TEXT)
 
 REJECTED = _schema(
