@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rolelake.llm.components import components
 from rolelake.operators.durable import stored
@@ -179,30 +179,6 @@ def _bits(values: DataFrame, column: str) -> np.ndarray:
     return np.unpackbits(bits.view(np.uint8), bitorder="little")
 
 
-def _shared_grams(bits: np.ndarray):
-    packed = np.packbits(bits)
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (gram, id, n, central, place) of the prefix n-grams that may occur elsewhere, too."""
-        held = np.unpackbits(packed)
-        for batch in batches:
-            lists = batch.column("prefix")
-            many = np.asarray(lists.value_lengths())
-            flat = lists.flatten().to_numpy()
-            row = np.repeat(np.arange(len(batch)), many)
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(many) - many, many)
-            kept = np.flatnonzero(held[np.mod(flat, BITS)])
-            for start in range(0, len(kept), 100_000):
-                some = kept[start : start + 100_000]
-                rows = pa.array(row[some])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat[some]), *(batch.column(c).take(rows) for c in ("id", "n", "central")), pa.array(place[some])],
-                    ["gram", "id", "n", "central", "place"],
-                )
-
-    return shared
-
-
 def _could_link(percent: int) -> str:
     """Length filter and positional filter on a pair with a shared n-gram at place in one set and place_b in the other."""
     least = f"ceil({percent} * (n + n_b) / {100 + percent}.0D)"
@@ -212,6 +188,28 @@ def _could_link(percent: int) -> str:
     )
 
 
+def _met(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Each document once for every leader that it shares a prefix n-gram with: id, b and whether the pair could link.
+
+    Leaders are rows, too, unless they are alone with all their n-grams.  Documents may come more than once.
+    The prefixes are dealt out by n-gram once; there every n-gram's documents come the most central first, so the
+    leader is known before the others pass and no group is gathered.
+    """
+    grams_ = prefixes.select("id", "n", "central", F.posexplode("prefix").alias("place", "gram"))
+    central_first = Window.partitionBy("gram").orderBy(F.desc("central"), F.desc("id"))
+    led = grams_.select(
+        "id", "n", "place", F.lead("id").over(central_first).alias("next"),
+        F.first(F.struct(*(F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "central"))))
+        .over(central_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_leader"),
+    )
+    # Most n-grams occur in one document only: their rows are leaders without a next document.
+    led = led.select("id", "n", "place", "next", "_leader.*").withColumnRenamed("id_b", "b").filter("id <> b or next <> b")
+    could = F.expr(_could_link(percent)) & (F.col("id") != F.col("b"))
+    return led.withColumn("could", could).groupBy("id", "b").agg(
+        F.max("could").alias("could"), F.max("central_b").alias("central_b"), F.max("n").alias("n"), F.max("n_b").alias("n_b")
+    )
+
+
 def _texts_of(bits: np.ndarray, n: int):
     packed = np.packbits(bits)
 
@@ -374,23 +372,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     )
     prefixes = stored(prefixes.filter("n > 0").join(named, _is_first()).select("id", "n", "central", "prefix", "bits"))
 
-    # Most prefix n-grams occur in one document only; the rest is what has to be joined.
-    often = prefixes.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    held = _bits(often.select("gram"), "gram")
-    shared = prefixes.select("id", "n", "central", "prefix").mapInArrow(
-        _shared_grams(held), "gram long, id long, n long, central long, place long"
-    )
-    shared = stored(shared.distinct())
-    rank = F.expr("shiftleft(central, 46) + pmod(xxhash64(id), shiftleft(1L, 46))")
-    leaders = shared.withColumn("rank", rank).groupBy("gram").agg(
-        F.max_by("id", "rank").alias("b"), F.max_by("n", "rank").alias("n_b"), F.max_by("place", "rank").alias("place_b"),
-        F.max("rank").alias("rank_b"), F.min("id").alias("_least"), F.max("id").alias("_most"),
-    )
-    leaders = leaders.filter("_least <> _most").select(F.col("gram").alias("_gram"), "b", "n_b", "place_b", "rank_b")
-    led = shared.join(leaders, F.col("gram") == F.col("_gram"))
-    led = led.withColumn("could", F.expr(_could_link(percent)) & (F.col("id") != F.col("b")))
-    # Each document once for every leader that it shares a prefix n-gram with.
-    met = stored(led.groupBy("id", "b").agg(F.max("could").alias("could"), F.max("rank_b").alias("rank_b"), F.max("n").alias("n"), F.max("n_b").alias("n_b")))
+    met = stored(_met(prefixes, percent))
     signed = prefixes.select("id", "n", "bits").dropDuplicates(["id"])
 
     # First step: every document with the nearest leader, by signature.
@@ -406,7 +388,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         met.filter("could").join(bits_of("id"), F.col("id") == F.col("_id")).join(bits_of("b"), F.col("b") == F.col("_b"))
         .withColumn("differ", differ)
         .filter(f"differ <= n + n_b - 2 * ceil({percent} * (n + n_b) / {100 + percent}.0D)")
-        .groupBy(F.col("id").alias("a")).agg(F.min(F.struct("differ", -F.col("rank_b"), "b")).alias("_best"))
+        .groupBy(F.col("id").alias("a")).agg(F.min(F.struct("differ", -F.col("central_b"), "b")).alias("_best"))
         .select("a", F.col("_best.b").alias("b"))
     )
     links = _links(stars, rows, classes, n, percent)

@@ -101,3 +101,26 @@ def test_signatures_fold():
     sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (60, 64, 65, 100, 130, 500)]
     got = jaccard.differing([jaccard.signature(x) for x in sets], [jaccard.signature(x) for x in sets])
     assert (np.diag(got) == 0).all() and (got == got.T).all() and got[1, 2] > 50
+
+
+def test_prefixes_are_dealt_out_once(spark):
+    rng = np.random.default_rng(9)
+    # Many n-grams that only their own document has, alike in the bits that pick a counter, and a few shared ones.
+    sets = {d: [int(v) << 24 for v in rng.integers(0, 2**38, 40)] for d in range(30)}
+    for gram, held in ((1, (3, 4, 5)), (2, (4, 9)), (3, (7,)), (4, range(10, 20))):
+        for d in held:
+            sets[d].insert(int(rng.integers(0, 40)), gram)
+    central = {d: int(rng.integers(0, 5)) for d in sets}
+    rows = [(d, 5 * len(sets[d]), central[d], sets[d]) for d in sets]
+    frame = spark.createDataFrame(rows + rows[3:12], "id long, n long, central long, prefix array<long>")
+    met = jaccard._met(frame, 80)
+    want = set()
+    for gram in {g for s in sets.values() for g in s}:
+        held = [d for d in sets if gram in sets[d]]
+        leader = max(held, key=lambda d: (central[d], d))
+        want |= {(d, leader) for d in held if len(held) > 1}
+    got = met.collect()
+    assert sorted((r["id"], r["b"]) for r in got) == sorted(want)
+    assert not any(r["could"] for r in got if r["id"] == r["b"])
+    plan = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("hashpartitioning(gram") == 1 and plan.count("Join") == 0
