@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 import zstandard
 from pyarrow import fs
@@ -31,11 +32,12 @@ from rolelake.shipping import ship
 #: Fixed value: how the rank file's vocabulary splits a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ROUNDS = 4
-_REMEMBERED = 200_000
+#: Bytes of text that are encoded together.
+_TOGETHER = 8 << 20
 
 
 class Tokens:
-    """Encoding by a rank file, with the encodings of frequent words remembered."""
+    """Encoding by a rank file, of many texts at a time."""
 
     def __init__(self, rank_file: str) -> None:
         with open(rank_file, "rb") as lines:
@@ -43,26 +45,53 @@ class Tokens:
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
         self.bytes = 2 if self.end < 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        self.kind = np.dtype(f"<u{self.bytes}")
+        #: How many bytes of text an id stands for.
+        self.width = np.zeros(self.end, dtype=np.int64)
+        self.width[list(ranks.values())] = [len(r) for r in ranks]
 
     def raw(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), dtype=f"<u{self.bytes}").tobytes()
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
 
     def of(self, text: str) -> bytes:
         """Ids of a whole text, without end mark."""
-        # A single space between other characters always begins a new unit, so the parts can be encoded apart.
-        parts = text.split(" ")
-        if len(parts) < 8 or any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-            return self.raw(text)
-        known, out = self.known, [self.raw(parts[0])]
-        if len(known) > _REMEMBERED:
-            known.clear()
-        for part in parts[1:]:
-            ids = known.get(part)
-            if ids is None:
-                ids = known[part] = self.raw(" " + part)
-            out.append(ids)
-        return b"".join(out)
+        return self.of_all(pa.array([text], pa.string()))[: -self.bytes]
+
+    def of_all(self, texts: pa.StringArray) -> bytes:
+        """Ids of whole texts, none of them null, one after another, an end mark after each."""
+        if not len(texts):
+            return b""
+        # A single space between other characters always begins a new unit, so the parts can be encoded apart: each
+        # distinct one once, all of them in one call.
+        parts = pc.split_pattern(texts, " ")
+        begin, words = parts.offsets.to_numpy(), parts.values.dictionary_encode()
+        first, distinct, at = begin[:-1], words.dictionary, words.indices.to_numpy()
+        apart = pc.and_(pc.equal(pc.utf8_trim_whitespace(distinct), distinct), pc.not_equal(distinct, ""))
+        known = distinct.filter(apart)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), " ")[0].as_py()
+        known_ids = self._ids(" " + joined if joined else "")
+        ends = np.cumsum(pc.binary_length(known).to_numpy().astype(np.int64) + 1)
+        known_sizes = np.diff(np.searchsorted(np.cumsum(self.width[known_ids]), ends) + 1, prepend=0) if len(known) else ends
+        # Texts that can't be cut come as a whole in the place of their first part.
+        apart = apart.to_numpy(zero_copy_only=False)
+        whole = np.logical_or.reduceat(~apart[at], first) | (np.diff(begin) < 8)
+        firsts = [self._ids((text if uncut else part).as_py()) for text, part, uncut in zip(texts, distinct.take(pa.array(at[first])), whole.tolist(), strict=True)]
+        # Entries: the end mark, nothing, the distinct parts, what the texts begin with.
+        pool = np.concatenate([np.array([self.end], dtype=self.kind), known_ids, *firsts])
+        sizes = np.concatenate([[1, 0], known_sizes, [len(f) for f in firsts]]).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        entry = np.where(apart, np.cumsum(apart) + 1, 1)[at]
+        entry[np.repeat(whole, np.diff(begin))] = 1
+        entry[first] = 2 + len(known) + np.arange(len(texts))
+        entry = np.insert(entry, begin[1:], 0)
+        out = []
+        for k in range(0, len(entry), 1 << 18):
+            many = sizes[some := entry[k : k + (1 << 18)]]
+            out.append(pool[np.repeat(starts[some] - (np.cumsum(many) - many), many) + np.arange(many.sum())])
+        return np.concatenate(out).tobytes()
 
 
 _loaded: dict[str, Tokens] = {}
@@ -91,9 +120,12 @@ def _packer(rank_file: str, length: int):
             )
 
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                texts = batch.slice(start, 512).column("text")
-                rest += b"".join(tokens.of(t.as_py()) + end for t in texts if t.is_valid and len(t.as_py()))
+            texts = batch.column("text")
+            texts = texts.filter(pc.greater(pc.binary_length(texts), 0))
+            till = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // _TOGETHER
+            cuts = [0, *(np.flatnonzero(np.diff(till)) + 1).tolist(), len(texts)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                rest += tokens.of_all(texts.slice(lo, hi - lo))
                 whole = len(rest) // record * record
                 if whole:
                     yield rows(rest[:whole], place)

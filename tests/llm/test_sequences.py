@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rolelake.llm import sequences
@@ -23,6 +24,30 @@ def test_words_encode_alike_apart_and_together(prose):
         assert tokens.of(text) == tokens.raw(text)
 
 
+class Counted:
+    """An encoding that counts how often it is asked."""
+
+    def __init__(self, encoding):
+        self.encoding, self.calls = encoding, 0
+
+    def __getattr__(self, name):
+        self.calls += 1
+        return getattr(self.encoding, name)
+
+
+def test_distinct_words_are_encoded_in_one_call(prose, monkeypatch):
+    odd = ["a b c d e f g h" + c + "i j" + e for c in ("  ", " \n", "\x1c ", " \x85", "\xa0", "\u2028 ", "\n\n", "\t") for e in ("", " ", "\u3000")]
+    texts = [prose(k, 150, "fr") + f" w{k}" for k in range(40)] + odd + [" lead it is not so at all no", "", None, " ", "x", "w " * 5000, "it's a b c d e f's 12 日本 é"]
+    tokens = sequences.Tokens(RANK_FILE)
+    want = [tokens.raw(t) + tokens.end.to_bytes(tokens.bytes, "little") for t in texts if t]
+    tokens.encoding = Counted(tokens.encoding)
+    monkeypatch.setitem(sequences._loaded, RANK_FILE, tokens)
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(some, pa.string())}) for some in (texts[:50], [None], [], texts[50:])]
+    out = [row for made in sequences._packer(RANK_FILE, 64)(iter(batches)) for row in made.to_pylist()]
+    assert b"".join(r["ids"][: r["n_tokens"] * tokens.bytes] for r in out) == b"".join(want)
+    assert tokens.encoding.calls <= len(want) + len(batches)
+
+
 def test_shards_hold_every_text_once(spark, documents, prose, tmp_path):
     texts = {i: prose(i, 3 + i * 5 % 200) for i in range(80)}
     rows = [(i, t, "en", "s") for i, t in texts.items()] + [(90, None, "en", "s"), (91, "", "en", "s"), (92, "word " * 20_000, "en", "s"), (1, texts[1], "en", "s")]
