@@ -19,14 +19,15 @@ def _hung(links: DataFrame) -> DataFrame:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # Not as a union, which would have the driver plan the links twice.
+    both = links.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     return _hung(both).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    hung = _hung(links)
-    ends = hung.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return ends.unionByName(hung.select("a", F.col("m").alias("b")))
+    # Links come from a large-star step, so a is above m, and only ends can hang on themselves.
+    both = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+    return _hung(links).select(F.inline(both)).filter("a <> b")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

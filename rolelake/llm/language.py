@@ -205,12 +205,13 @@ def fit(
     part = F.pmod(order, F.lit(1 << 52)) / F.lit(1 << 52)
     sample = rows.select("lang", "text", order.alias("order")).filter(part < rate).distinct()
     schema = "lang string, k int, at array<int>, centroid array<float>, least array<double>"
-    fitted = sorted(sample.groupBy("lang").applyInPandas(_clusters(idf, centroids, slack), schema).collect(), key=lambda r: (r["lang"], r["k"]))
+    # As Arrow: rows would be an object for every number, in the driver's JVM and in its Python.
+    fitted = sample.groupBy("lang").applyInPandas(_clusters(idf, centroids, slack), schema).toArrow().sort_by([("lang", "ascending"), ("k", "ascending")])
     rows = np.zeros((len(fitted), BUCKETS), dtype=np.float32)
-    for row, r in zip(rows, fitted, strict=True):
-        row[r["at"]] = r["centroid"]
-    least = np.array([r["least"] for r in fitted]).reshape(-1, len(_SIZES))
-    return Model(idf, tuple(r["lang"] for r in fitted), rows, least)
+    for row, at, centroid in zip(rows, fitted["at"], fitted["centroid"], strict=True):
+        row[at.values.to_numpy()] = centroid.values.to_numpy()
+    least = np.array(fitted["least"].to_pylist()).reshape(-1, len(_SIZES))
+    return Model(idf, tuple(fitted["lang"].to_pylist()), rows, least)
 
 
 _PREDICTION = T.StructType(

@@ -153,8 +153,9 @@ def mix(
     sized = totals.join(named, F.col("n.source").eqNullSafe(F.col("_w_source")), "left").select(
         F.col("n.source").alias("source"), "source_size", F.coalesce("weight", F.lit(0)).alias("weight")
     )
-    targets = source_targets(sized, max_passes)
-    cut = _cut(_running(narrow, blocks, targets), blocks, max_passes)
+    # Both are read several times; stored, the driver plans each of their steps once.
+    targets = stored(source_targets(sized, max_passes))
+    cut = _cut(stored(_running(narrow, blocks, targets)), blocks, max_passes)
 
     def is_taken(turn: int) -> Column:
         if cut is None:

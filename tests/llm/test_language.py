@@ -56,6 +56,15 @@ def test_nothing_to_learn_from(documents):
     assert language.predict(documents([]), model).count() == 0
 
 
+def test_the_driver_gets_no_row_objects_of_numbers(documents, prose, monkeypatch):
+    docs, kinds = documents([(i, prose(i, 30, lang), lang, "s") for i in range(12) for lang in ("en", "fr")]), []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: kinds.extend(k for _, k in df.dtypes) or collect(df))
+    model = language.fit(docs)
+    assert set(model.langs) == {"en", "fr"} and np.allclose(np.linalg.norm(model.centroids, axis=1), 1, atol=1e-4)
+    assert kinds and not any("array" in k for k in kinds)
+
+
 LETTERS = {"finnish": "aaaaiiiittnneessllooukkäämmvrjhyypdö", "cyrillic": "абвгдежзийклмнопрстуфхцчшщыьэюяоооееаии", "cjk": "".join(map(chr, range(0x4E00, 0x55D0)))}
 
 

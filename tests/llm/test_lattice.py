@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from rolelake.llm import lattice
+from rolelake.llm import components as components_of, lattice
 from rolelake.llm.components import components
 
 
@@ -99,3 +99,11 @@ def test_components(spark, shape):
     vertices = {v for link in links for v in link}
     want = {v: (v // 10 * 10 if shape == "rings" else 0) for v in vertices}
     assert {v: got.get(v, v) for v in vertices} == want
+
+
+def test_the_driver_plans_a_step_of_components_once(spark, monkeypatch):
+    plans, stored = [], components_of.stored
+    monkeypatch.setattr(components_of, "stored", lambda df: plans.append(df) or stored(df))
+    components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
+    # A step's plan grows with every use of the one below; its links are used twice in each star.
+    assert all(df._jdf.queryExecution().optimizedPlan().toString().count("parquet") <= 4 for df in plans[1:])

@@ -71,3 +71,12 @@ def test_nulls_repeats_and_runs_agree(documents):
 
 def test_empty_table(documents):
     assert mixed(documents([])).count() == 0
+
+
+def test_the_driver_plans_the_running_totals_once(documents, prose, monkeypatch):
+    plans, stored = [], mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df: plans.append(df) or stored(df))
+    got = mixed(documents([(i, prose(i, 5 + i), "en", f"s{i % 3}") for i in range(20)]))
+    # A cut that can't be planned from a stored table has the targets' windows in it, too.
+    assert [c for df in plans for c in df.columns if c in ("target", "finished")] == ["target", "target", "finished"]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
